@@ -62,24 +62,22 @@ def impute_chain_cells(df: DataFrame, cols: list[str], levels: list[Level]) -> D
     cells = df.groupBy(*finest).agg(*aggs)
     cells = cells.withColumns({f"f__{c}": F.lit(None).cast("double") for c in cols})
 
-    for i, keys in enumerate(levels):
-        # Mean of the level as the rows see it: observed values plus the
-        # fills earlier levels gave to this cell's nulls.
-        lv = []
+    # Each level is a window over the (small) cell table, so the chain adds
+    # one exchange per level on cells and never re-plans earlier levels.
+    for keys in levels:
+        w = Window.partitionBy(*keys)
+        ok = _all_not_null(keys)
+        upd = {}
         for c in cols:
-            filled = F.col(f"f__{c}").isNotNull()
-            num = F.coalesce(F.col(f"s__{c}"), F.lit(0.0)) + F.when(filled, F.col(f"f__{c}") * F.col(f"m__{c}")).otherwise(0.0)
-            den = F.col(f"n__{c}") + F.when(filled, F.col(f"m__{c}")).otherwise(0)
-            lv += [F.sum(num).alias(f"ls__{c}"), F.sum(den).alias(f"ln__{c}")]
-        level_means = (cells.filter(_all_not_null(keys)).groupBy(*keys).agg(*lv)
-                       .select(*keys, *[(F.col(f"ls__{c}") / F.nullif(F.col(f"ln__{c}"), F.lit(0)))
-                                        .alias(f"g__{c}") for c in cols]))
-        # Cells with a null key of this level get no match (inner-key equality).
-        cells = (cells.join(level_means, on=keys, how="left")
-                 .withColumns({f"f__{c}": F.when(F.col(f"f__{c}").isNull() & (F.col(f"m__{c}") > 0),
-                                                 F.col(f"g__{c}")).otherwise(F.col(f"f__{c}"))
-                               for c in cols})
-                 .drop(*[f"g__{c}" for c in cols]))
+            f, m = F.col(f"f__{c}"), F.col(f"m__{c}")
+            filled = f.isNotNull()
+            # Mean of the level as the rows see it: observed values plus the
+            # fills earlier levels gave to this cell's nulls.
+            num = F.coalesce(F.col(f"s__{c}"), F.lit(0.0)) + F.when(filled, f * m).otherwise(0.0)
+            den = F.col(f"n__{c}") + F.when(filled, m).otherwise(0)
+            g = F.sum(num).over(w) / F.nullif(F.sum(den).over(w), F.lit(0))
+            upd[f"f__{c}"] = F.when(f.isNull() & (m > 0) & ok, g).otherwise(f)
+        cells = cells.withColumns(upd)
 
     fills = cells.select(*[F.col(k).alias(f"k__{k}") for k in finest],
                          *[F.col(f"f__{c}") for c in cols])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from airshed.plans import catalog_staging  # noqa: F401
+from airshed.plans import catalog_staging, catalog_star  # noqa: F401
 from airshed.plans.queries import ORACLES, QUERIES
 
 
 def flagship(spark, sf_dir):
-    return QUERIES["stage_emissions"](spark, sf_dir)
+    return QUERIES["sum_by_country"](spark, sf_dir)
 
 
 __all__ = ["QUERIES", "ORACLES", "flagship"]

@@ -25,12 +25,30 @@ def placeholders(template: str) -> list[str]:
     return sorted(set(_PLACEHOLDER.findall(template)))
 
 
-def run_sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
+# Named row filters applied to a driver table before a template runs:
+# an "as of" snapshot of the orders (old and new loads of the same source).
+SNAPSHOTS = {
+    None: {},
+    "until_1998": {"orders": "o_orderdate < CAST('1999-01-01' AS TIMESTAMP)"},
+    "from_1997": {"orders": "o_orderdate >= CAST('1997-01-01' AS TIMESTAMP)"},
+}
+
+
+def run_sql(spark: SparkSession, sf_dir: str, template: str, snapshot: str | None = None) -> DataFrame:
     """Spark: bind each ``{name}`` to the driver table of that name."""
-    names = placeholders(template)
-    return spark.sql(template, **{n: load(spark, sf_dir, n) for n in names})
+    filters = SNAPSHOTS[snapshot]
+    dfs = {}
+    for n in placeholders(template):
+        df = load(spark, sf_dir, n)
+        dfs[n] = df.filter(filters[n]) if n in filters else df
+    return spark.sql(template, **dfs)
 
 
-def as_duckdb(template: str) -> str:
+def as_duckdb(template: str, snapshot: str | None = None) -> str:
     """The same template for DuckDB, where the tables are plain views."""
-    return _PLACEHOLDER.sub(lambda m: m.group(1), template)
+    filters = SNAPSHOTS[snapshot]
+
+    def sub(m):
+        n = m.group(1)
+        return f"(SELECT * FROM {n} WHERE {filters[n]})" if n in filters else n
+    return _PLACEHOLDER.sub(sub, template)

@@ -186,8 +186,8 @@ STUDIES_HEADERS = {
 D1_TIE_BREAK = [f"_t{i}" for i in range(1, 10)]
 
 
-def raw_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = run_sql(spark, sf_dir, RAW_AIR_QUALITY_SQL)
+def raw_air_quality(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
+    df = run_sql(spark, sf_dir, RAW_AIR_QUALITY_SQL, snapshot)
     return df.withColumn("_ord", F.struct("_ord", *D1_TIE_BREAK)).drop(*D1_TIE_BREAK)
 
 
@@ -195,13 +195,13 @@ def _with_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
     return df.select("_ord", *[F.col(k).alias(v) for k, v in headers.items()])
 
 
-def raw_apportionment_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_headers(run_sql(spark, sf_dir, RAW_APPORTIONMENT_SQL), BOOK_HEADERS)
+def raw_apportionment_book(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
+    return _with_headers(run_sql(spark, sf_dir, RAW_APPORTIONMENT_SQL, snapshot), BOOK_HEADERS)
 
 
-def raw_apportionment_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_headers(run_sql(spark, sf_dir, RAW_APPORTIONMENT_SQL), STUDIES_HEADERS)
+def raw_apportionment_studies(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
+    return _with_headers(run_sql(spark, sf_dir, RAW_APPORTIONMENT_SQL, snapshot), STUDIES_HEADERS)
 
 
-def raw_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql(spark, sf_dir, RAW_EMISSIONS_SQL)
+def raw_emissions(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
+    return run_sql(spark, sf_dir, RAW_EMISSIONS_SQL, snapshot)
