@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.plans import catalog_analytics, catalog_staging, catalog_star  # noqa: F401
+from airshed.plans import catalog_analytics, catalog_operators, catalog_staging, catalog_star  # noqa: F401
 from airshed.plans.queries import ORACLES, QUERIES
 
 

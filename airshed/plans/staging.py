@@ -187,28 +187,42 @@ def stage_air_quality(raw: DataFrame, method: str = "cells", keep_ord: bool = Fa
 
 
 # E2
-def stage_apportionment_studies(raw: DataFrame, head_n: int | None = 527,
-                                method: str = "cells") -> DataFrame:
-    """S2, P2, P6, A1, I4, I5 (file 1 of d2)."""
+def studies_conformed(raw: DataFrame, head_n: int | None = 527) -> DataFrame:
+    """S2, P2, P6 of file 1 of d2."""
     df = scan_head_n(raw, head_n) if head_n is not None else raw
     df = shape.rename_columns(df, D2_STUDIES_RENAME)
     df = df.withColumns({c: F.col(c).cast("string") for c in D2_STUDIES_TEXT})
     df = df.withColumns({c: fx.to_int_or_zero(c, "bigint") for c in D2_STUDIES_INT})
-    df = df.withColumns({c: fx.to_numeric_coerce(c) for c in D2_STUDIES_FLOAT})
-    df = dedupe.agg_mean_first_concat(df, D2_STUDIES_KEY, D2_STUDIES_MEAN, D2_STUDIES_FIRST,
-                                      D2_STUDIES_CONCAT)
+    return df.withColumns({c: fx.to_numeric_coerce(c) for c in D2_STUDIES_FLOAT})
+
+
+def studies_aggregated(raw: DataFrame, head_n: int | None = 527) -> DataFrame:
+    """... then A1 by (country, city, year)."""
+    return dedupe.agg_mean_first_concat(studies_conformed(raw, head_n), D2_STUDIES_KEY, D2_STUDIES_MEAN,
+                                        D2_STUDIES_FIRST, D2_STUDIES_CONCAT)
+
+
+def stage_apportionment_studies(raw: DataFrame, head_n: int | None = 527,
+                                method: str = "cells") -> DataFrame:
+    """S2, P2, P6, A1, I4, I5 (file 1 of d2)."""
+    df = studies_aggregated(raw, head_n)
     df = impute.impute_chain(df, D2_CONC, D2_CONC_LEVELS, method)
     return impute.impute_chain(df, D2_SHARES, D2_SHARE_LEVELS, method)
 
 
 # E3
-def stage_apportionment_book(raw: DataFrame, year_col: str = "study_year") -> DataFrame:
-    """R1, P3, P4, P5, P6, A3, A5, P6 (file 2 of d2)."""
+def book_conformed(raw: DataFrame, year_col: str = "study_year") -> DataFrame:
+    """R1, P3, P4, P5, P6 of file 2 of d2."""
     df = reshape.explode_dash_years(raw, year_col)
     df = shape.normalise_headers(df)
     df = shape.alias_columns(df, D2_ALIASES)
     df = shape.add_missing_columns(df, D2_EXPECTED)
-    df = shape.conform_types(df, D2_EXPECTED)
+    return shape.conform_types(df, D2_EXPECTED)
+
+
+def stage_apportionment_book(raw: DataFrame, year_col: str = "study_year") -> DataFrame:
+    """R1, P3, P4, P5, P6, A3, A5, P6 (file 2 of d2)."""
+    df = book_conformed(raw, year_col)
     df = dedupe.collapse_duplicates(df, D2_KEY, D2_COLLAPSE_MEAN, D2_COLLAPSE_FIRST)
     # Unique keys after the collapse; A5 would be the identity here.
     df = df.withColumns({"study_year": fx.to_int_or_zero("study_year", "bigint", from_text=False),
