@@ -59,16 +59,27 @@ def trim_lower(c) -> Column:
 
 # F3 is F.coalesce; F4 is F.md5; F5 is F.concat / F.concat_ws.
 
+_DIGIT_CHARS = "0123456789"
+_NUMBER_CHARS = _DIGIT_CHARS + "+-.eE \t"
+
+
+def number_shaped(s: Column, extra: str = "") -> Column:
+    """Only digits, sign, point, exponent and blanks, with at least one
+    digit. A character-table check (``translate``), not a regex: this runs
+    on every cell of every numeric column."""
+    return ((F.length(F.translate(s, _NUMBER_CHARS + extra, "")) == 0)
+            & (F.length(F.translate(s, _DIGIT_CHARS, "")) < F.length(s)))
+
+
 # F6
-def to_numeric_coerce(c, pattern: str = SIGNED_NUMBER_PATTERN) -> Column:
+def to_numeric_coerce(c) -> Column:
     """Text -> double, anything that is not a finite decimal number -> null.
 
     ``try_cast`` alone would accept 'inf', 'NaN' and Java suffixes such as
-    '2010d', so the text is validated first.
-    """
+    '2010d'; those never pass the character check, so only number-shaped
+    text reaches the cast."""
     s = _c(c).cast("string")
-    clean = F.regexp_replace(F.trim(s), "_", "")
-    return F.when(s.rlike(pattern), clean.try_cast("double"))
+    return F.when(number_shaped(s), F.trim(s).try_cast("double"))
 
 
 # F7

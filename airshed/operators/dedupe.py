@@ -34,11 +34,13 @@ def agg_distinct_concat(df: DataFrame, keys: list[str], cols: list[str], order:
                      F.inline(F.array(*[F.struct(F.lit(c).alias("__c"),
                                                  F.col(c).cast("string").alias("__v"))
                                         for c in cols])))
-    firsts = (long.filter(F.col("__v").isNotNull())
-              .groupBy(*keys, "__c", "__v").agg(F.min("__o").alias("__o")))
+    # Null values stay in the first aggregation (so a key with only nulls
+    # still yields '') and are skipped when the list is collected.
+    firsts = long.groupBy(*keys, "__c", "__v").agg(F.min("__o").alias("__o"))
     lists = (firsts.groupBy(*keys, "__c")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))),
-                                           lambda s: s["__v"]), sep).alias("__s")))
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+                 F.when(F.col("__v").isNotNull(), F.struct("__o", "__v")))), lambda s: s["__v"]), sep)
+                  .alias("__s")))
     wide = lists.groupBy(*keys).pivot("__c", cols).agg(F.first("__s"))
     return wide.select(*keys, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in cols])
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.functions import NUMBER_PATTERN
+from airshed.functions import NUMBER_PATTERN, number_shaped
 
 # ---------------------------------------------------------------------------
 # Fixed values that must match the reference for equal results.
@@ -42,10 +42,12 @@ def dash_years(c) -> "F.Column":
     parts = F.split(col.cast("string"), "-", -1)
 
     def to_year(p):
-        clean = F.regexp_replace(F.trim(p), "_", "")
-        v = clean.try_cast("double")
-        ok = p.rlike(NUMBER_PATTERN) & (F.abs(v) < F.lit(_INT_LIMIT))
-        return F.when(ok, v.cast("int"))
+        # Python's float() also reads '2_010'; only such rare parts pay for
+        # the full pattern, the rest pass a character-table check.
+        has_us = F.locate("_", p) > 0
+        ok = number_shaped(p, "_") & (~has_us | p.rlike(NUMBER_PATTERN))
+        v = F.when(ok, F.trim(F.replace(p, F.lit("_"), F.lit(""))).try_cast("double"))
+        return F.when(F.abs(v) < F.lit(_INT_LIMIT), v.cast("int"))
 
     years = F.filter(F.transform(parts, to_year), lambda y: y.isNotNull())
     return F.coalesce(years, F.array().cast(T.ArrayType(T.IntegerType())))

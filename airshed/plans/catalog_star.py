@@ -11,26 +11,45 @@ from airshed.plans import oracle_sql as osql
 from airshed.plans import staging as st
 from airshed.plans import star as sk
 from airshed.plans.queries import finish, register
-from airshed.session import ensure_checkpoint_dir
+from airshed.session import materialize
 from airshed.sources import driver_landing as dl
 
 _CACHE: dict = {}
 
 
-def stagings(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[str, DataFrame]:
-    """The three staged sources, checkpointed once per session (cuts the
-    lineage the star and the analytics would otherwise recompute)."""
-    key = ("stg", spark.sparkContext.applicationId, sf, snapshot)
+_STAGE = {
+    "d1": lambda spark, sf, snap: st.stage_air_quality(dl.raw_air_quality(spark, sf, snap)),
+    "d2": lambda spark, sf, snap: st.stage_apportionment_book(dl.raw_apportionment_book(spark, sf, snap)),
+    "d3": lambda spark, sf, snap: st.stage_emissions(dl.raw_emissions(spark, sf, snap)),
+}
+
+
+def staged(spark: SparkSession, sf: str, dataset: str, snapshot: str | None = None) -> DataFrame:
+    """One staged source, written once per session as a table in the shared
+    folder (cuts the lineage the star and the analytics would recompute)."""
+    key = ("stg", spark.sparkContext.applicationId, sf, dataset, snapshot)
     if key not in _CACHE:
-        ensure_checkpoint_dir(spark)
-        _CACHE[key] = {
-            "d1": st.stage_air_quality(dl.raw_air_quality(spark, sf, snapshot)).checkpoint(),
-            "d2": st.stage_apportionment_book(dl.raw_apportionment_book(spark, sf, snapshot)).checkpoint(),
-            "d3": st.stage_emissions(dl.raw_emissions(spark, sf, snapshot)).checkpoint(),
-        }
+        _CACHE[key] = materialize(_STAGE[dataset](spark, sf, snapshot), f"staging_{dataset}")
     return _CACHE[key]
 
 
+class _Stagings(dict):
+    """Lazy mapping d1/d2/d3 -> staged frame."""
+
+    def __init__(self, spark, sf, snapshot):
+        super().__init__()
+        self._args = (spark, sf, snapshot)
+
+    def __missing__(self, dataset):
+        spark, sf, snapshot = self._args
+        self[dataset] = staged(spark, sf, dataset, snapshot)
+        return self[dataset]
+
+
+def stagings(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[str, DataFrame]:
+    return _Stagings(spark, sf, snapshot)
+
+
 def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.Star:
     """The star loaded from empty tables; dimensions checkpointed before the
     facts use them."""
@@ -39,9 +58,9 @@ def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.Star:
         s = stagings(spark, sf, snapshot)
         cur = sk.create_star_schema(spark)
         dims = sk.load_dimensions(spark, s["d1"], s["d2"], s["d3"], cur)
-        dims = {k: v.checkpoint() for k, v in dims.items()}
-        facts = sk.load_facts(s, dims, cur)
-        facts = {k: v.checkpoint() for k, v in facts.items()}
+        dims = {k: materialize(v, k) for k, v in dims.items()}
+        facts = sk.load_facts({d: s[d] for d in ("d1", "d2", "d3")}, dims, cur)
+        facts = {k: materialize(v, k) for k, v in facts.items()}
         _CACHE[key] = sk.Star({**dims, **facts})
     return _CACHE[key]
 

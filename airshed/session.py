@@ -70,6 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{warehouse_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Cut lineage through a written Parquet table in the shared folder.
+
+    One computation (``checkpoint()`` runs the plan once for the job and
+    again to write the files), columnar read-back with pruning, real file
+    sizes for AQE's broadcast decision, and it survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a file: scheme for os-level checks in local tests."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -84,4 +96,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "warehouse_root",
-           "scratch_path", "path_exists", "local_path"]
+           "scratch_path", "path_exists", "local_path", "materialize"]
