@@ -559,3 +559,24 @@ def q_run_pipeline(spark, sf):
     second = pl.run_pipeline(spark, sf, store)
     assert first["staging_d1"] == "loaded" and second["staging_d1"] == "unchanged", (first, second)
     return pl.table_counts(store, ["staging_d1", "staging_d2", "staging_d3", *sk.STAR_SCHEMAS])
+
+
+# ------------------------------------------------------------- W1, J7
+@register("group_transform", _imp_sql(D1C, "d1_ren", ["concentration_pm10"], [["city"]],
+                                      "country, city, year, concentration_pm10", ["year", "concentration_pm10"]))
+def q_group_transform(spark, sf):
+    # The whole-partition window form of I1 (the cross-check of the cell plan).
+    df = impute.impute_group_mean_window(renamed_d1(spark, sf), ["concentration_pm10"], ["city"])
+    return finish(df.select("country", "city", "year", "concentration_pm10"))
+
+
+@register("lateral_join", osql.star_sql(
+    "SELECT time_id, location_id, src, v_co2, v_pct FROM (" + " UNION ALL ".join(
+        f"SELECT time_id, location_id, '{n}' AS src, CAST({v} AS DOUBLE) AS v_co2, CAST({c} AS DOUBLE) AS v_pct "
+        f"FROM d3_tl WHERE {v} IS NOT NULL" for n, v, c in reshape.EMISSION_SOURCES) + ")", ["v_co2", "v_pct"]))
+def q_lateral_join(spark, sf):
+    # JOIN LATERAL (VALUES ...) over outer columns becomes a generator in
+    # the same stage: inline(array(struct(...))), no join at all.
+    s = star(spark, sf)
+    d3 = sk.join_location_national(sk.join_time_by_year(stagings(spark, sf)["d3"], s["dim_time"]), s["dim_location"])
+    return finish(reshape.unpivot_emission_pairs(d3, ["time_id", "location_id"]))

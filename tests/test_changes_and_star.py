@@ -89,3 +89,19 @@ def test_table_store_versions_and_gate(spark, tmp_path):
     got = sorted((r["country"], r["co2"]) for r in store.read("staging_x").collect())
     assert got == [("a", 1.0), ("b", 5.0), ("c", 3.0)]
     assert store.version("staging_x") == 2
+
+
+def test_streaming_landing_upserts_new_files(spark, tmp_path):
+    from airshed.plans import staging as st
+    from airshed.sources import driver_landing as dl
+    from airshed.sources.tables import TableStore
+    from airshed.streaming.landing_stream import stream_landing_to_staging
+    raw = dl.raw_emissions(spark, "/root/testdata/sf0.001")
+    land = str(tmp_path / "landing")
+    raw.write.parquet(land + "/batch1")
+    store = TableStore(spark, str(tmp_path / "wh"))
+    q = stream_landing_to_staging(spark, land + "/*", raw.schema, st.stage_emissions, store, "staging_d3",
+                                  st.D3_KEY, str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    expected = st.stage_emissions(raw).count()
+    assert store.read("staging_d3").count() == expected
