@@ -124,10 +124,13 @@ def insert_if_absent(target: DataFrame, candidates: DataFrame, natural_key: list
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a one-row aggregate to every row (broadcast
-    equi-join on a constant; the side is one row by construction)."""
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one"))
+    """Add the columns of a one-row aggregate (global max, mean, std...) to
+    every row as literals. The aggregate runs once (one bounded row reaches
+    the driver); no join, so no nested-loop join in the plan."""
+    schema = one_row.schema
+    js = one_row.select(F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))).first()
+    value = F.from_json(F.lit(js[0] if js is not None else None), schema)  # a constant, folded once
+    return df.withColumns({f.name: value[f.name] for f in schema.fields})
 
 
 # U4 / U5

@@ -48,13 +48,26 @@ def impute_chain_window(df: DataFrame, cols: list[str], levels: list[Level]) ->
 
 
 # I1 -- cell-table form
-def impute_chain_cells(df: DataFrame, cols: list[str], levels: list[Level]) -> DataFrame:
-    finest: list[str] = []
-    for keys in levels:
-        for k in keys:
-            if k not in finest:
-                finest.append(k)
+# A fill table whose written size is at most this is broadcast; a larger one
+# is joined back with a shuffle join.
+BROADCAST_FILL_BYTES = 32 << 20
+
+Spec = tuple[list[str], list[Level]]
 
+
+def impute_many_cells(df: DataFrame, specs: list[Spec]) -> DataFrame:
+    """Several independent chains (disjoint column sets) over one cell table:
+    the rows are read once for the cell aggregate and once for the join
+    back, whatever the number of chains and levels."""
+    from airshed.session import materialize_sized
+
+    finest: list[str] = []
+    for _, levels in specs:
+        for keys in levels:
+            for k in keys:
+                if k not in finest:
+                    finest.append(k)
+    cols = [c for cs, _ in specs for c in cs]
     aggs = []
     for c in cols:
         aggs += [F.sum(c).alias(f"s__{c}"), F.count(c).alias(f"n__{c}"),
@@ -62,31 +75,59 @@ def impute_chain_cells(df: DataFrame, cols: list[str], levels: list[Level]) -> D
     cells = df.groupBy(*finest).agg(*aggs)
     cells = cells.withColumns({f"f__{c}": F.lit(None).cast("double") for c in cols})
 
-    # Each level is a window over the (small) cell table, so the chain adds
-    # one exchange per level on cells and never re-plans earlier levels.
-    for keys in levels:
-        w = Window.partitionBy(*keys)
-        ok = _all_not_null(keys)
-        upd = {}
-        for c in cols:
-            f, m = F.col(f"f__{c}"), F.col(f"m__{c}")
-            filled = f.isNotNull()
-            # Mean of the level as the rows see it: observed values plus the
-            # fills earlier levels gave to this cell's nulls.
-            num = F.coalesce(F.col(f"s__{c}"), F.lit(0.0)) + F.when(filled, f * m).otherwise(0.0)
-            den = F.col(f"n__{c}") + F.when(filled, m).otherwise(0)
-            g = F.sum(num).over(w) / F.nullif(F.sum(den).over(w), F.lit(0))
-            upd[f"f__{c}"] = F.when(f.isNull() & (m > 0) & ok, g).otherwise(f)
-        cells = cells.withColumns(upd)
-
-    fills = cells.select(*[F.col(k).alias(f"k__{k}") for k in finest],
-                         *[F.col(f"f__{c}") for c in cols])
+    # Each level is a window over the (small) cell table, so a chain adds one
+    # exchange per level on cells and never re-plans earlier levels.
+    for spec_cols, levels in specs:
+        for keys in levels:
+            w = Window.partitionBy(*keys)
+            ok = _all_not_null(keys)
+            upd = {}
+            for c in spec_cols:
+                f, m = F.col(f"f__{c}"), F.col(f"m__{c}")
+                filled = f.isNotNull()
+                # Mean of the level as the rows see it: observed values plus
+                # the fills earlier levels gave to this cell's nulls.
+                num = F.coalesce(F.col(f"s__{c}"), F.lit(0.0)) + F.when(filled, f * m).otherwise(0.0)
+                den = F.col(f"n__{c}") + F.when(filled, m).otherwise(0)
+                g = F.sum(num).over(w) / F.nullif(F.sum(den).over(w), F.lit(0))
+                upd[f"f__{c}"] = F.when(f.isNull() & (m > 0) & ok, g).otherwise(f)
+            cells = cells.withColumns(upd)
+
+    # Only cells that received a fill matter for the join back.
+    any_fill = reduce(lambda a, b: a | b, [F.col(f"f__{c}").isNotNull() for c in cols])
+    fills = cells.filter(any_fill).select(*[F.col(k).alias(f"k__{k}") for k in finest],
+                                          *[F.col(f"f__{c}") for c in cols])
+    fills, size = materialize_sized(fills, "impute_fills")
+    if size <= BROADCAST_FILL_BYTES:
+        fills = F.broadcast(fills)
     cond = [F.col(k).eqNullSafe(F.col(f"k__{k}")) for k in finest]
     joined = df.join(fills, on=reduce(lambda a, b: a & b, cond), how="left")
     out = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"f__{c}")) for c in cols})
     return out.select(*df.columns)
 
 
+def impute_chain_cells(df: DataFrame, cols: list[str], levels: list[Level]) -> DataFrame:
+    return impute_many_cells(df, [(cols, levels)])
+
+
+def impute_many(df: DataFrame, specs: list[Spec], method: str = "cells") -> DataFrame:
+    """Independent chains on disjoint columns (e.g. pollutants by city then
+    country, and population by country) in one pass."""
+    seen: set[str] = set()
+    for cs, _ in specs:
+        if seen & set(cs):
+            raise ValueError("chains of impute_many must have disjoint columns")
+        seen |= set(cs)
+    if method == "window":
+        out = df
+        for cs, levels in specs:
+            out = impute_chain_window(out, cs, levels)
+        return out
+    if method == "cells":
+        return impute_many_cells(df, specs)
+    raise ValueError(f"unknown method {method!r}")
+
+
 def impute_chain(df: DataFrame, cols: list[str], levels: list[Level],
                  method: str = "cells") -> DataFrame:
     """Fill nulls level by level (finest first)."""

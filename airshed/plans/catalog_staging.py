@@ -10,20 +10,21 @@ from airshed.sources import driver_landing as dl
 
 @register("stage_air_quality", osql.e1_sql())
 def q_stage_air_quality(spark, sf):
-    return finish(st.stage_air_quality(dl.raw_air_quality(spark, sf)))
+    return finish(st.stage_air_quality(dl.land(dl.raw_air_quality(spark, sf), "d1")))
 
 
 @register("stage_apportionment_studies", osql.e2_sql())
 def q_stage_apportionment_studies(spark, sf):
     # The whole sheet: the reference's 527-row cap is the scan_head_n operator.
-    return finish(st.stage_apportionment_studies(dl.raw_apportionment_studies(spark, sf), head_n=None))
+    return finish(st.stage_apportionment_studies(dl.land(dl.raw_apportionment_studies(spark, sf), "d2s"),
+                                                 head_n=None))
 
 
 @register("stage_apportionment_book", osql.e3_sql())
 def q_stage_apportionment_book(spark, sf):
-    return finish(st.stage_apportionment_book(dl.raw_apportionment_book(spark, sf)))
+    return finish(st.stage_apportionment_book(dl.land(dl.raw_apportionment_book(spark, sf), "d2")))
 
 
 @register("stage_emissions", osql.e4_sql())
 def q_stage_emissions(spark, sf):
-    return finish(st.stage_emissions(dl.raw_emissions(spark, sf)))
+    return finish(st.stage_emissions(dl.land(dl.raw_emissions(spark, sf), "d3")))

@@ -18,9 +18,10 @@ _CACHE: dict = {}
 
 
 _STAGE = {
-    "d1": lambda spark, sf, snap: st.stage_air_quality(dl.raw_air_quality(spark, sf, snap)),
-    "d2": lambda spark, sf, snap: st.stage_apportionment_book(dl.raw_apportionment_book(spark, sf, snap)),
-    "d3": lambda spark, sf, snap: st.stage_emissions(dl.raw_emissions(spark, sf, snap)),
+    "d1": lambda spark, sf, snap: st.stage_air_quality(dl.land(dl.raw_air_quality(spark, sf, snap), "d1")),
+    "d2": lambda spark, sf, snap: st.stage_apportionment_book(
+        dl.land(dl.raw_apportionment_book(spark, sf, snap), "d2")),
+    "d3": lambda spark, sf, snap: st.stage_emissions(dl.land(dl.raw_emissions(spark, sf, snap), "d3")),
 }
 
 

@@ -174,10 +174,11 @@ def stage_air_quality(raw: DataFrame, method: str = "cells", keep_ord: bool = Fa
     """P1, P2, I2, I6, F6, F8, P12, A5 in the reference's order."""
     df = shape.drop_columns_if_present(raw, D1_DROP)
     df = shape.rename_columns(df, D1_RENAME)
-    cols = D1_POLLUTANTS + D1_COVERAGE
-    df = impute.impute_chain(df, cols, [["city"], ["country"]], method)
+    # I2 and I6 touch disjoint columns, so they share one pass.
+    specs = [(D1_POLLUTANTS + D1_COVERAGE, [["city"], ["country"]])]
     if "population" in df.columns:
-        df = impute.impute_chain(df, ["population"], [["country"]], method)
+        specs.append((["population"], [["country"]]))
+    df = impute.impute_many(df, specs, method)
     df = df.withColumns({"latitude": fx.to_numeric_coerce("latitude"),
                          "longitude": fx.to_numeric_coerce("longitude")})
     df = df.withColumns({c: fx.to_string_nan(c) for c in D1_TEXT})
@@ -206,8 +207,7 @@ def stage_apportionment_studies(raw: DataFrame, head_n: int | None = 527,
                                 method: str = "cells") -> DataFrame:
     """S2, P2, P6, A1, I4, I5 (file 1 of d2)."""
     df = studies_aggregated(raw, head_n)
-    df = impute.impute_chain(df, D2_CONC, D2_CONC_LEVELS, method)
-    return impute.impute_chain(df, D2_SHARES, D2_SHARE_LEVELS, method)
+    return impute.impute_many(df, [(D2_CONC, D2_CONC_LEVELS), (D2_SHARES, D2_SHARE_LEVELS)], method)
 
 
 # E3
@@ -234,10 +234,11 @@ def stage_apportionment_book(raw: DataFrame, year_col: str = "study_year") -> Da
 def stage_emissions(raw: DataFrame, min_year: int = D3_MIN_YEAR, method: str = "cells") -> DataFrame:
     """P8, I3, I7, I6, I8, P9, I9, P7."""
     df = shape.filter_after_year(raw, "year", min_year)
-    df = impute.impute_chain(df, D3_EMISSIONS, D3_LEVELS, method)
-    df = impute.balance_fill_single_missing(df, D3_TOTAL, D3_BALANCE_PARTS)
+    # I6 (gdp, population by country) reads and writes columns that I3 and
+    # I7 never touch, so it shares I3's pass; I7 then sees I3's fills.
     extra = [c for c in ["gdp"] if c in df.columns]
-    df = impute.impute_chain(df, extra + ["population"], [["country"]], method)
+    df = impute.impute_many(df, [(D3_EMISSIONS, D3_LEVELS), (extra + ["population"], [["country"]])], method)
+    df = impute.balance_fill_single_missing(df, D3_TOTAL, D3_BALANCE_PARTS)
     df = impute.derive_per_capita(df, D3_PER_CAPITA)
     df = shape.filter_not_all_null(df, D3_CORE)
     df = impute.derive_share_pct(df, D3_SHARE_SOURCES, D3_TOTAL)

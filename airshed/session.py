@@ -82,6 +82,18 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def materialize_sized(df, name: str):
+    """``materialize`` plus the written size in bytes (a proven bound for a
+    broadcast decision)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+    return spark.read.parquet(path), size
+
+
 def local_path(path: str) -> str:
     """Strip a file: scheme for os-level checks in local tests."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -96,4 +108,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "warehouse_root",
-           "scratch_path", "path_exists", "local_path", "materialize"]
+           "scratch_path", "path_exists", "local_path", "materialize",
+           "materialize_sized"]

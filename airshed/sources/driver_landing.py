@@ -205,3 +205,12 @@ def raw_apportionment_studies(spark: SparkSession, sf_dir: str, snapshot: str |
 
 def raw_emissions(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
     return run_sql(spark, sf_dir, RAW_EMISSIONS_SQL, snapshot)
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """S1 for derived inputs: write the raw frame once as the landed file
+    (a table in the shared folder) and read it back, so a staging job that
+    reads its input twice (cell aggregate, join back) scans a file instead
+    of recomputing the derivation."""
+    from airshed.session import materialize
+    return materialize(df, f"landing_{name}")
