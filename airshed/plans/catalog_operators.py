@@ -27,7 +27,6 @@ D1C, _ = osql.stage_d1_ctes()
 D2BC, _ = osql.stage_d2_book_ctes()
 D2SC, _ = osql.stage_d2_studies_ctes()
 D3C, _ = osql.stage_d3_ctes()
-T_COLS = ", ".join(f"_t{i}" for i in range(1, 10))
 D1_RAW_DOUBLES = ["year", "pm10_concentration", "pm25_concentration", "no2_concentration", "pm10_tempcov",
                   "pm25_tempcov", "no2_tempcov", "population"]
 D1_REN_DOUBLES = ["year"] + st.D1_POLLUTANTS + st.D1_COVERAGE + ["population"]
@@ -51,7 +50,7 @@ def book(spark, sf):
 
 
 # ------------------------------------------------------------- S1-S7
-@register("scan_landing", R(W(D1C, f"SELECT * EXCLUDE (_ord, {T_COLS}) FROM d1_raw"), D1_RAW_DOUBLES))
+@register("scan_landing", R(W(D1C, "SELECT * EXCLUDE (_ord) FROM d1_raw"), D1_RAW_DOUBLES))
 def q_scan_landing(spark, sf):
     df = raw_d1(spark, sf).drop("_ord")
     path = scratch_path(spark, "landing_d1")
@@ -99,12 +98,12 @@ def q_stamp_updated_at(spark, sf):
 
 # ------------------------------------------------------------- P1-P14
 @register("drop_columns_if_present",
-          R(W(D1C, f"SELECT * EXCLUDE (_ord, {T_COLS}, reference, web_link) FROM d1_raw"), D1_RAW_DOUBLES))
+          R(W(D1C, "SELECT * EXCLUDE (_ord, reference, web_link) FROM d1_raw"), D1_RAW_DOUBLES))
 def q_drop_columns_if_present(spark, sf):
     return finish(shape.drop_columns_if_present(raw_d1(spark, sf), st.D1_DROP).drop("_ord"))
 
 
-@register("rename_columns", R(W(D1C, f"SELECT * EXCLUDE (_ord, {T_COLS}) FROM d1_ren"), D1_REN_DOUBLES))
+@register("rename_columns", R(W(D1C, "SELECT * EXCLUDE (_ord) FROM d1_ren"), D1_REN_DOUBLES))
 def q_rename_columns(spark, sf):
     return finish(renamed_d1(spark, sf).drop("_ord"))
 
@@ -329,7 +328,7 @@ def q_count_duplicates(spark, sf):
 
 @register("dedupe_keep_first", R(W(D1C, f"""
 SELECT country, city, year, concentration_pm10, station_type FROM (
-  SELECT *, row_number() OVER (PARTITION BY country, city, year ORDER BY _ord, {T_COLS}) AS rn FROM d1_ren)
+  SELECT *, row_number() OVER (PARTITION BY country, city, year ORDER BY _ord) AS rn FROM d1_ren)
 WHERE rn = 1"""), ["year", "concentration_pm10"]))
 def q_dedupe_keep_first(spark, sf):
     df = renamed_d1(spark, sf).select("_ord", "country", "city", "year", "concentration_pm10", "station_type")

@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from airshed.sources.driver import run_sql
 
-# d1: station readings, one row per lineitem.
+# d1: station readings, one row per lineitem. (l_orderkey, l_linenumber) is
+# not unique in the driver's lineitem; the file-order stand-in packs it with
+# part, supplier and quantity into one BIGINT (unique at sf0.001-0.1, fits 63
+# bits up to sf1), so "first row" is a min over an integer.
 RAW_AIR_QUALITY_SQL = """
 SELECT
-  l.l_orderkey * 8 + l.l_linenumber AS _ord,
-  l.l_partkey AS _t1, l.l_suppkey AS _t2, l.l_quantity AS _t3, l.l_extendedprice AS _t4,
-  l.l_discount AS _t5, l.l_tax AS _t6, l.l_returnflag AS _t7, l.l_linestatus AS _t8,
-  l.l_shipdate AS _t9,
+  (l.l_orderkey * 8 + l.l_linenumber) * 274877906944
+    + (l.l_partkey * 16384 + l.l_suppkey) * 64 + CAST(l.l_quantity AS BIGINT) AS _ord,
   r.r_name AS who_region,
   'N' || CAST(n.n_nationkey AS STRING) AS iso3,
   n.n_name AS country_name,
@@ -181,14 +182,8 @@ STUDIES_HEADERS = {
 }
 
 
-# (l_orderkey, l_linenumber) is not unique in the driver's lineitem; the
-# file-order stand-in is that pair followed by every other column.
-D1_TIE_BREAK = [f"_t{i}" for i in range(1, 10)]
-
-
 def raw_air_quality(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> DataFrame:
-    df = run_sql(spark, sf_dir, RAW_AIR_QUALITY_SQL, snapshot)
-    return df.withColumn("_ord", F.struct("_ord", *D1_TIE_BREAK)).drop(*D1_TIE_BREAK)
+    return run_sql(spark, sf_dir, RAW_AIR_QUALITY_SQL, snapshot)
 
 
 def _with_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
