@@ -27,6 +27,14 @@ def check_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
+def require_unique(df: DataFrame, keys: list[str], what: str = "table") -> DataFrame:
+    """Raise DuplicateKeyError if ``keys`` repeat (run it on a written
+    version before publishing it; it reads the key columns only)."""
+    if not check_unique_key(df.select(*keys), keys).isEmpty():
+        raise DuplicateKeyError(f"{what} has several rows for one key {keys}")
+    return df
+
+
 # J8
 def check_foreign_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows whose ``key`` has no row in ``dim`` (must be empty)."""
@@ -49,7 +57,9 @@ def _prepare_batch(batch: DataFrame, keys: list[str], on_duplicate: str,
         if order is None:
             raise ValueError("on_duplicate='first' needs an order column")
         return dedupe_keep_first(batch, keys, order)
-    if on_duplicate == "trust":
+    if on_duplicate in ("trust", "defer"):
+        # "defer": the caller validates the written result (require_unique)
+        # before publishing it, instead of evaluating the batch twice.
         return batch
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 

@@ -14,7 +14,7 @@ from airshed.plans import oracle_sql as osql
 from airshed.plans import pipeline as pl
 from airshed.plans import staging as st
 from airshed.plans import star as sk
-from airshed.plans.catalog_star import stagings, star
+from airshed.plans.catalog_star import dim_star, stagings, star
 from airshed.plans.queries import finish, register
 from airshed.session import scratch_path
 from airshed.sources import driver_landing as dl
@@ -537,7 +537,7 @@ SELECT CAST((SELECT coalesce(max(location_id), 0) FROM a_dim_location)
 
 @register("insert_if_absent", _insert_if_absent_sql())
 def q_insert_if_absent(spark, sf):
-    old = star(spark, sf, "until_1998")["dim_location"]
+    old = dim_star(spark, sf, "until_1998")["dim_location"]
     s = stagings(spark, sf)
     cand = sk.location_candidates(s["d1"], s["d2"], s["d3"])
     return finish(changes.insert_if_absent(old, cand, sk.LOCATION_KEY, "location_id")
@@ -576,6 +576,6 @@ def q_group_transform(spark, sf):
 def q_lateral_join(spark, sf):
     # JOIN LATERAL (VALUES ...) over outer columns becomes a generator in
     # the same stage: inline(array(struct(...))), no join at all.
-    s = star(spark, sf)
+    s = dim_star(spark, sf)
     d3 = sk.join_location_national(sk.join_time_by_year(stagings(spark, sf)["d3"], s["dim_time"]), s["dim_location"])
     return finish(reshape.unpivot_emission_pairs(d3, ["time_id", "location_id"]))

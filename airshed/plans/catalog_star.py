@@ -51,18 +51,33 @@ def stagings(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[
     return _Stagings(spark, sf, snapshot)
 
 
+def dims(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[str, DataFrame]:
+    """The four dimensions loaded from empty tables, written once."""
+    key = ("dims", spark.sparkContext.applicationId, sf, snapshot)
+    if key not in _CACHE:
+        s = stagings(spark, sf, snapshot)
+        loaded = sk.load_dimensions(spark, s["d1"], s["d2"], s["d3"], sk.create_star_schema(spark))
+        _CACHE[key] = {k: materialize(v, k) for k, v in loaded.items()}
+    return _CACHE[key]
+
+
+def dim_star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.Star:
+    return sk.Star(dict(dims(spark, sf, snapshot)))
+
+
 def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.Star:
-    """The star loaded from empty tables; dimensions checkpointed before the
-    facts use them."""
+    """The star loaded from empty tables: dimensions written before the
+    facts use them; each fact version is written, checked for duplicate
+    keys (D5) on its key columns, then used."""
     key = ("star", spark.sparkContext.applicationId, sf, snapshot)
     if key not in _CACHE:
         s = stagings(spark, sf, snapshot)
+        d = dims(spark, sf, snapshot)
         cur = sk.create_star_schema(spark)
-        dims = sk.load_dimensions(spark, s["d1"], s["d2"], s["d3"], cur)
-        dims = {k: materialize(v, k) for k, v in dims.items()}
-        facts = sk.load_facts({d: s[d] for d in ("d1", "d2", "d3")}, dims, cur)
-        facts = {k: materialize(v, k) for k, v in facts.items()}
-        _CACHE[key] = sk.Star({**dims, **facts})
+        facts = sk.load_facts({x: s[x] for x in ("d1", "d2", "d3")}, d, cur, on_duplicate="defer")
+        facts = {k: changes.require_unique(materialize(v, k), sk.STAR_SCHEMAS[k][1], k)
+                 for k, v in facts.items()}
+        _CACHE[key] = sk.Star({**d, **facts})
     return _CACHE[key]
 
 
@@ -162,16 +177,16 @@ register("unpivot_source_shares", osql.star_sql(
         f"SELECT time_id, location_id, '{n}' AS src, CAST({c} AS DOUBLE) AS val FROM d2_tl WHERE {c} IS NOT NULL"
         for n, c in reshape.SHARE_SOURCES) + ")", ["val"]))(
     lambda spark, sf: finish(reshape.unpivot_source_shares(
-        sk.join_location_city(sk.join_time_by_year(stagings(spark, sf)["d2"], star(spark, sf)["dim_time"]),
-                              star(spark, sf)["dim_location"]), ["time_id", "location_id"])))
+        sk.join_location_city(sk.join_time_by_year(stagings(spark, sf)["d2"], dim_star(spark, sf)["dim_time"]),
+                              dim_star(spark, sf)["dim_location"]), ["time_id", "location_id"])))
 
 register("unpivot_emission_pairs", osql.star_sql(
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT time_id, location_id, '{n}' AS src, CAST({v} AS DOUBLE) AS v_co2, CAST({c} AS DOUBLE) AS v_pct "
         f"FROM d3_tl WHERE {v} IS NOT NULL" for n, v, c in reshape.EMISSION_SOURCES) + ")", ["v_co2", "v_pct"]))(
     lambda spark, sf: finish(reshape.unpivot_emission_pairs(
-        sk.join_location_national(sk.join_time_by_year(stagings(spark, sf)["d3"], star(spark, sf)["dim_time"]),
-                                  star(spark, sf)["dim_location"]), ["time_id", "location_id"])))
+        sk.join_location_national(sk.join_time_by_year(stagings(spark, sf)["d3"], dim_star(spark, sf)["dim_time"]),
+                                  dim_star(spark, sf)["dim_location"]), ["time_id", "location_id"])))
 
 
 # ----------------------------------------------------------- joins J1-J6
@@ -179,7 +194,7 @@ register("unpivot_emission_pairs", osql.star_sql(
     "SELECT t.time_id, s.country, s.city, s.year FROM stg_d1 s JOIN dim_time t ON t.year = s.year"))
 def q_join_time_by_year(spark, sf):
     d1 = stagings(spark, sf)["d1"].select("country", "city", "year")
-    return sk.join_time_by_year(d1, star(spark, sf)["dim_time"]).select("time_id", "country", "city", "year")
+    return sk.join_time_by_year(d1, dim_star(spark, sf)["dim_time"]).select("time_id", "country", "city", "year")
 
 
 @register("join_location_city", osql.star_sql(
@@ -187,7 +202,7 @@ def q_join_time_by_year(spark, sf):
     "ON l.country = s.country AND l.city = split_part(s.city, '/', 1)"))
 def q_join_location_city(spark, sf):
     d1 = stagings(spark, sf)["d1"].select("country", "city", "year")
-    return sk.join_location_city(d1, star(spark, sf)["dim_location"]).select("location_id", "country", "city", "year")
+    return sk.join_location_city(d1, dim_star(spark, sf)["dim_location"]).select("location_id", "country", "city", "year")
 
 
 @register("join_location_national", osql.star_sql(
@@ -195,7 +210,7 @@ def q_join_location_city(spark, sf):
     "ON l.country = s.country AND l.city IS NULL"))
 def q_join_location_national(spark, sf):
     d3 = stagings(spark, sf)["d3"].select("country", "year")
-    return sk.join_location_national(d3, star(spark, sf)["dim_location"]).select("location_id", "country", "year")
+    return sk.join_location_national(d3, dim_star(spark, sf)["dim_location"]).select("location_id", "country", "year")
 
 
 @register("join_source_by_name", osql.star_sql(
@@ -203,7 +218,7 @@ def q_join_location_national(spark, sf):
         f"SELECT '{n}' AS src FROM d2_tl WHERE {c} IS NOT NULL" for n, c in reshape.SHARE_SOURCES)
     + ") u JOIN dim_source ds ON ds.source_name = u.src GROUP BY ds.source_id, u.src"))
 def q_join_source_by_name(spark, sf):
-    s = star(spark, sf)
+    s = dim_star(spark, sf)
     d2 = sk.join_location_city(sk.join_time_by_year(stagings(spark, sf)["d2"], s["dim_time"]), s["dim_location"])
     long = sk.join_source_by_name(reshape.unpivot_source_shares(d2, ["time_id", "location_id"]), s["dim_source"])
     return long.groupBy("source_id", "src").agg(F.count(F.lit(1)).alias("n_rows"))
