@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from airshed.plans import catalog_analytics, catalog_operators, catalog_staging, catalog_star  # noqa: F401
+from airshed.plans import catalog_star  # noqa: F401  (first: the others import it)
+from airshed.plans import catalog_analytics, catalog_operators, catalog_staging  # noqa: F401
 from airshed.plans.queries import ORACLES, QUERIES
 
 

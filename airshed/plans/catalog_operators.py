@@ -14,7 +14,7 @@ from airshed.plans import oracle_sql as osql
 from airshed.plans import pipeline as pl
 from airshed.plans import staging as st
 from airshed.plans import star as sk
-from airshed.plans.catalog_star import dim_star, stagings, star
+from airshed.plans.catalog_star import dim_star, landed, stagings, star
 from airshed.plans.queries import finish, register
 from airshed.session import scratch_path
 from airshed.sources import driver_landing as dl
@@ -34,7 +34,7 @@ D3_RAW_DOUBLES = [c for c in st.D3_COLUMNS if c not in ("country", "year", "iso_
 
 
 def raw_d1(spark, sf):
-    return dl.raw_air_quality(spark, sf)
+    return landed(spark, sf, "d1")
 
 
 def renamed_d1(spark, sf):
@@ -42,11 +42,15 @@ def renamed_d1(spark, sf):
 
 
 def raw_d3(spark, sf):
-    return dl.raw_emissions(spark, sf)
+    return landed(spark, sf, "d3")
 
 
 def book(spark, sf):
-    return dl.raw_apportionment_book(spark, sf)
+    return landed(spark, sf, "d2")
+
+
+def studies(spark, sf):
+    return landed(spark, sf, "d2s")
 
 
 # ------------------------------------------------------------- S1-S7
@@ -61,7 +65,7 @@ def q_scan_landing(spark, sf):
 
 @register("scan_head_n", W(D2SC, "SELECT _ord, country, city FROM d2s_raw ORDER BY _ord LIMIT 527"))
 def q_scan_head_n(spark, sf):
-    raw = dl.raw_apportionment_studies(spark, sf)
+    raw = studies(spark, sf)
     return landing.scan_head_n(raw, 527).select("_ord", F.col("Country").alias("country"),
                                                 F.col("Site Location").alias("city"))
 
@@ -214,7 +218,7 @@ def q_impute_year_then_country(spark, sf):
 @register("impute_three_level", _imp_sql(D2SC, "d2s_a", st.D2_CONC, st.D2_CONC_LEVELS,
                                          "country, city, year, " + ", ".join(st.D2_CONC), st.D2_CONC))
 def q_impute_three_level(spark, sf):
-    df = st.studies_aggregated(dl.raw_apportionment_studies(spark, sf), head_n=None)
+    df = st.studies_aggregated(studies(spark, sf), head_n=None)
     df = impute.impute_chain(df, st.D2_CONC, st.D2_CONC_LEVELS)
     return finish(df.select("country", "city", "year", *st.D2_CONC))
 
@@ -222,7 +226,7 @@ def q_impute_three_level(spark, sf):
 @register("impute_four_level", _imp_sql(D2SC, "d2s_a", st.D2_SHARES, st.D2_SHARE_LEVELS,
                                         "country, city, year, " + ", ".join(st.D2_SHARES), st.D2_SHARES))
 def q_impute_four_level(spark, sf):
-    df = st.studies_aggregated(dl.raw_apportionment_studies(spark, sf), head_n=None)
+    df = st.studies_aggregated(studies(spark, sf), head_n=None)
     df = impute.impute_chain(df, st.D2_SHARES, st.D2_SHARE_LEVELS)
     return finish(df.select("country", "city", "year", *st.D2_SHARES))
 
@@ -295,13 +299,13 @@ A1_DOUBLES = st.D2_STUDIES_MEAN + ["latitude", "longitude"]
 
 @register("agg_mean_first_concat", R(W(D2SC, "SELECT * FROM d2s_a"), A1_DOUBLES))
 def q_agg_mean_first_concat(spark, sf):
-    return finish(st.studies_aggregated(dl.raw_apportionment_studies(spark, sf), head_n=None))
+    return finish(st.studies_aggregated(studies(spark, sf), head_n=None))
 
 
 @register("agg_distinct_concat", W(D2SC, "SELECT country, city, year, " + ", ".join(
     f"coalesce({c}, '') AS {c}" for c in st.D2_STUDIES_CONCAT) + " FROM d2s_cat_w"))
 def q_agg_distinct_concat(spark, sf):
-    df = st.studies_conformed(dl.raw_apportionment_studies(spark, sf), head_n=None).dropna(subset=st.D2_STUDIES_KEY)
+    df = st.studies_conformed(studies(spark, sf), head_n=None).dropna(subset=st.D2_STUDIES_KEY)
     return dedupe.agg_distinct_concat(df, st.D2_STUDIES_KEY, st.D2_STUDIES_CONCAT)
 
 

@@ -17,11 +17,28 @@ from airshed.sources import driver_landing as dl
 _CACHE: dict = {}
 
 
+_RAW = {
+    "d1": dl.raw_air_quality,
+    "d2": dl.raw_apportionment_book,
+    "d2s": dl.raw_apportionment_studies,
+    "d3": dl.raw_emissions,
+}
+
+
+def landed(spark: SparkSession, sf: str, dataset: str, snapshot: str | None = None) -> DataFrame:
+    """A raw input landed once per session as a table in the shared folder
+    (S1): operators that read their input twice scan it instead of
+    recomputing the derivation."""
+    key = ("raw", spark.sparkContext.applicationId, sf, dataset, snapshot)
+    if key not in _CACHE:
+        _CACHE[key] = dl.land(_RAW[dataset](spark, sf, snapshot), dataset)
+    return _CACHE[key]
+
+
 _STAGE = {
-    "d1": lambda spark, sf, snap: st.stage_air_quality(dl.land(dl.raw_air_quality(spark, sf, snap), "d1")),
-    "d2": lambda spark, sf, snap: st.stage_apportionment_book(
-        dl.land(dl.raw_apportionment_book(spark, sf, snap), "d2")),
-    "d3": lambda spark, sf, snap: st.stage_emissions(dl.land(dl.raw_emissions(spark, sf, snap), "d3")),
+    "d1": lambda spark, sf, snap: st.stage_air_quality(landed(spark, sf, "d1", snap)),
+    "d2": lambda spark, sf, snap: st.stage_apportionment_book(landed(spark, sf, "d2", snap)),
+    "d3": lambda spark, sf, snap: st.stage_emissions(landed(spark, sf, "d3", snap)),
 }
 
 
