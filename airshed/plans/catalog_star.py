@@ -74,7 +74,7 @@ def dims(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[str,
     if key not in _CACHE:
         s = stagings(spark, sf, snapshot)
         loaded = sk.load_dimensions(spark, s["d1"], s["d2"], s["d3"], sk.create_star_schema(spark))
-        _CACHE[key] = {k: materialize(v, k) for k, v in loaded.items()}
+        _CACHE[key] = {k: materialize(loaded[k], k) for k in sk.DIMENSIONS}
     return _CACHE[key]
 
 
@@ -82,19 +82,41 @@ def dim_star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.St
     return sk.Star(dict(dims(spark, sf, snapshot)))
 
 
-def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> sk.Star:
-    """The star loaded from empty tables: dimensions written before the
-    facts use them; each fact version is written, checked for duplicate
-    keys (D5) on its key columns, then used."""
+class LazyStar:
+    """The star loaded from empty tables. Dimensions are written before any
+    fact uses them; each fact is built on first use, written, and checked
+    for duplicate keys (D5) on its key columns."""
+
+    def __init__(self, spark: SparkSession, sf: str, snapshot: str | None):
+        self._args = (spark, sf, snapshot)
+        self._facts: dict[str, DataFrame] = {}
+
+    @property
+    def dims(self) -> dict[str, DataFrame]:
+        return dims(*self._args)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        d = self.dims
+        if name in d:
+            return d[name]
+        if name not in self._facts:
+            spark, sf, snapshot = self._args
+            src, fn = sk.FACT_BATCHES[name]
+            keys = sk.STAR_SCHEMAS[name][1]
+            batch = fn(staged(spark, sf, src, snapshot), d)
+            loaded = changes.upsert_changed_only(sk.empty_table(spark, name), batch, keys, on_duplicate="defer")
+            self._facts[name] = changes.require_unique(materialize(loaded, name), keys, name)
+        return self._facts[name]
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in sk.STAR_SCHEMAS}
+
+
+def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> LazyStar:
     key = ("star", spark.sparkContext.applicationId, sf, snapshot)
     if key not in _CACHE:
-        s = stagings(spark, sf, snapshot)
-        d = dims(spark, sf, snapshot)
-        cur = sk.create_star_schema(spark)
-        facts = sk.load_facts({x: s[x] for x in ("d1", "d2", "d3")}, d, cur, on_duplicate="defer")
-        facts = {k: changes.require_unique(materialize(v, k), sk.STAR_SCHEMAS[k][1], k)
-                 for k, v in facts.items()}
-        _CACHE[key] = sk.Star({**d, **facts})
+        _CACHE[key] = LazyStar(spark, sf, snapshot)
     return _CACHE[key]
 
 
@@ -164,7 +186,7 @@ UNION ALL SELECT 'dim_pollutant', pollutant_id, {_txt_sql('pollutant_name', 'uni
 
 @register("load_dimensions", osql.star_sql(DIMS_LONG_SQL))
 def q_load_dimensions(spark, sf):
-    return _dims_long(star(spark, sf).tables)
+    return _dims_long(dims(spark, sf))
 
 
 # ------------------------------------------------------------- U11-U14

@@ -48,4 +48,5 @@ def with_global_max(df: DataFrame, col: str = "year", name: str = "max_year") ->
 # S3
 def scan_star_query(star: Star, sql: str, spark) -> DataFrame:
     """Run SQL over the star tables bound by name (``{fact_air_quality}``...)."""
-    return spark.sql(sql, **{k: v for k, v in star.tables.items() if "{" + k + "}" in sql})
+    from airshed.plans.star import STAR_SCHEMAS
+    return spark.sql(sql, **{k: star[k] for k in STAR_SCHEMAS if "{" + k + "}" in sql})

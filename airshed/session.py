@@ -36,6 +36,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -70,6 +71,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{warehouse_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``airshed`` importable in executor Python workers (the grouped
+    maps pickle functions by module): zip the package into the shared
+    checkpoint folder once per application and ``addPyFile`` it."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    data = buf.getvalue()
+    path = f"{ensure_checkpoint_dir(spark)}/airshed-pkg-{hashlib.md5(data).hexdigest()[:12]}/airshed.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        out = fs.create(hpath)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def materialize(df, name: str):
     """Cut lineage through a written Parquet table in the shared folder.
 
@@ -109,4 +146,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "warehouse_root",
            "scratch_path", "path_exists", "local_path", "materialize",
-           "materialize_sized"]
+           "materialize_sized", "ship_package"]
