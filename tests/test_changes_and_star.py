@@ -105,3 +105,17 @@ def test_streaming_landing_upserts_new_files(spark, tmp_path):
     q.awaitTermination()
     expected = st.stage_emissions(raw).count()
     assert store.read("staging_d3").count() == expected
+
+
+def test_duplicate_fact_keys_are_refused_before_publish(spark, tmp_path):
+    from airshed.operators import changes
+    from airshed.sources.tables import TableStore
+    store = TableStore(spark, str(tmp_path / "wh"))
+    dup = spark.createDataFrame([(1, 1, 1.0), (1, 1, 2.0)], "time_id int, location_id int, pm10 double")
+    check = {"fact_x": lambda df: changes.require_unique(df, ["time_id", "location_id"], "fact_x")}
+    with pytest.raises(changes.DuplicateKeyError):
+        store.commit({"fact_x": dup}, validate=check)
+    assert not store.exists("fact_x")  # nothing published
+    ok = dup.limit(1)
+    store.commit({"fact_x": ok}, validate=check)
+    assert store.read("fact_x").count() == 1
