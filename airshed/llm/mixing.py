@@ -31,9 +31,9 @@ from airshed.llm.common import whole_text
 from airshed.session import materialize
 
 SAMPLE_ROWS = 20_000
-BUCKETS = 4096
+BUCKETS = 1 << 15
 #: A text's evidence counts as this many terms at most, so that long texts stay soft.
-EVIDENCE = 64
+EVIDENCE = 16
 #: Production targets: shares of quality x toxic domains, and tokens over the input's.
 TARGETS = {"q1t0": 0.94, "q1t1": 0.03, "q0t0": 0.02, "q0t1": 0.01}
 BUDGET = 1.25
