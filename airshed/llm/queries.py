@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import bpe, gam, mixing, pii, simhash
+from airshed.llm import bpe, cascade, gam, logbilinear, mixing, pii, simhash, snapshots, topk, toxicity
 from airshed.llm.common import table
 
 
@@ -16,11 +16,37 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7, mod=3, held_out=1)
+
+
+def op2_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation that no other continues, rendered."""
+    return snapshots.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op3_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return logbilinear.token_scores(table(spark, sf_dir, "documents"), mod=7, held_out=2)
+
+
 def op4_bootstrap_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best candidates of every hundredth vector among all vectors."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.where("vec_id % 100 = 0"), rows, k=10)
+
+
+def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    return cascade.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior, rate and copies of every document for the production mixture."""
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("h")
@@ -42,6 +68,7 @@ def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bootstrap_pii, op7_soft_mix, op8_covering_simhash, op9_gam_quality, op10_segment_bpe)}
+    f.__name__: f for f in (op1_toxicity_fm, op2_snapshot_collapse, op3_log_bilinear, op4_bootstrap_pii, op5_histogram_topk, op6_rule_cascade,
+                              op7_soft_mix, op8_covering_simhash, op9_gam_quality, op10_segment_bpe)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_snapshot_collapse": snapshots.SQL, "op6_rule_cascade": cascade.SQL}
