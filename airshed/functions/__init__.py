@@ -160,15 +160,23 @@ def is_distinct_from(a, b) -> Column:
 # ---------------------------------------------------------------------------
 
 def hash_text(c, dtype: T.DataType | None = None) -> Column:
-    """Stable text of a value for hashing.
+    """Stable, lossless text of a value for hashing.
 
-    Doubles go through a fixed decimal so the text does not depend on the
-    engine's float printing (1.0E10 vs 10000000000.0).
+    A double is written as its 53-bit integer mantissa, 'p' and its binary
+    exponent: every value has a text of its own, and it doesn't depend on an
+    engine's float printing (1.0E10 vs 10000000000.0). 0.0 and -0.0 are '0'.
     """
     col = _c(c)
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return col.try_cast(T.DecimalType(38, 10)).cast("string")
-    return col.cast("string")
+    if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return col.cast("string")
+    x = col.cast("double")
+    size, two = F.abs(x), F.lit(2.0)
+    guess = F.floor(F.log2(size)).cast("int")  # may be off by one next to a power of two
+    power = guess + F.when(size >= F.pow(two, guess + 1), 1).when(size < F.pow(two, guess), -1).otherwise(0)
+    mantissa = (x / F.pow(two, power) * F.lit(2.0 ** 52)).cast("bigint")
+    text = F.concat(mantissa.cast("string"), F.lit("p"), power.cast("string"))
+    return (F.when(x.isNull(), F.lit(None).cast("string")).when(F.isnan(x), "nan").when(x == 0, "0")
+            .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(text))
 
 
 def row_hash(df, cols: list[str], coalesce_nulls: bool = True) -> Column:

@@ -100,12 +100,15 @@ def assign_surrogate_key(df: DataFrame, id_col: str, order_cols: list, start=1)
     """Consecutive ids ``start, start+1, ...`` in the order of ``order_cols``.
 
     No single-task global window: the rows are range-partitioned by the
-    order, numbered inside each partition, and shifted by the running total
-    of the earlier partitions' counts (a table with one row per partition).
-    ``order_cols`` must make the order total for stable ids."""
+    order and written once with their partition and place; the counts and
+    the numbered rows are both read from that one layout (a second
+    evaluation would sample other range bounds). Rows are shifted by the
+    running total of the earlier partitions' counts (a table with one row
+    per partition). ``order_cols`` must make the order total for stable ids."""
+    from airshed.session import materialize
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
     ranked = df.orderBy(*order).withColumn("__pid", F.spark_partition_id())
-    ranked = ranked.withColumn("__mid", F.monotonically_increasing_id())
+    ranked = materialize(ranked.withColumn("__mid", F.monotonically_increasing_id()), "surrogate")
     counts = ranked.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),

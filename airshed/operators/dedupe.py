@@ -91,22 +91,14 @@ def count_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 # A5
 def dedupe_keep_first(df: DataFrame, keys: list[str], order: str = ORD) -> DataFrame:
-    """Keep the earliest row per key; null keys compare equal. ``order``
-    must be unique for a deterministic result.
-
-    With an integral ordinal: ``min(order)`` per key (hash aggregation,
-    combined map-side, so a hot key is one row per task before the shuffle)
-    and a semi-join of the rows on that ordinal. The ordinal is unique, so
-    the join spreads a hot key's rows evenly. Other ordinals fall back to
-    ``min_by(struct(row), order)`` (a sort-based aggregate)."""
-    from pyspark.sql import types as T
-    otype = df.schema[order].dataType
-    if isinstance(otype, (T.LongType, T.IntegerType, T.ShortType)):
-        firsts = df.groupBy(*keys).agg(F.min(order).alias("__first"))
-        return df.join(firsts.select("__first"), F.col(order) == F.col("__first"), "left_semi")
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]),
-                                            F.col(order)).alias("__row"))
+    """Keep the earliest row per key; null keys compare equal. Rows that tie
+    on ``order`` (any orderable type, an integer or a struct) are told apart
+    by their other columns, so exactly one row stays whatever the input's
+    partitioning. One aggregation: a hot key is one row per task before the
+    shuffle."""
+    rest = [c for c in df.columns if c not in keys and c != order]
+    row = F.struct(*[F.col(f"`{c}`") for c in ([] if order in keys else [order]) + rest])
+    picked = df.groupBy(*keys).agg(F.min(row).alias("__row"))
     return picked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c)
                            for c in df.columns])
 
@@ -114,5 +106,6 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: str = ORD) -> DataF
 def dedupe_keep_first_window(df: DataFrame, keys: list[str], order: str = ORD) -> DataFrame:
     """Window form of A5 (one key group per task); kept as a cross-check."""
     from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
+    ties = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c not in keys and c != order]
+    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first(), *ties)
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

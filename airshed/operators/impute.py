@@ -32,11 +32,12 @@ def _all_not_null(keys: list[str]):
 
 # I1 -- window form
 def impute_group_mean_window(df: DataFrame, cols: list[str], keys: Level) -> DataFrame:
-    """One level as a whole-partition window mean."""
+    """One level as a whole-partition window mean (W1). Rows with a null key
+    keep their values and don't enter the window: they may be many."""
     w = Window.partitionBy(*keys)
     ok = _all_not_null(keys)
-    return df.withColumns({c: F.when(ok, F.coalesce(F.col(c), F.avg(c).over(w))).otherwise(F.col(c))
-                           for c in cols})
+    filled = df.filter(ok).withColumns({c: F.coalesce(F.col(c), F.avg(c).over(w)) for c in cols})
+    return filled.unionByName(df.filter(~ok))
 
 
 def impute_chain_window(df: DataFrame, cols: list[str], levels: list[Level]) -> DataFrame:

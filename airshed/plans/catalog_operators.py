@@ -439,7 +439,7 @@ D1_HASH = ["concentration_pm10", "concentration_pm25", "concentration_no2", "pop
 @register("row_hash", W(D1C, "SELECT country, city, year, " + osql.row_hash_sql(
     [(c, c != "station_type") for c in D1_HASH]) + " AS row_hash FROM stg_d1"))
 def q_row_hash(spark, sf):
-    d1 = stagings(spark, sf)["d1"]
+    d1 = finish(stagings(spark, sf)["d1"])
     return d1.select("country", "city", "year", fx.row_hash(d1, D1_HASH).alias("row_hash"))
 
 
@@ -454,7 +454,7 @@ D3_FP = [(c, c not in ("country", "year", "iso_code")) for c in st.D3_COLUMNS]
 
 @register("dataset_fingerprint", W(D3C, fingerprint_sql("stg_d3", D3_FP)))
 def q_dataset_fingerprint(spark, sf):
-    return changes.dataset_fingerprint(stagings(spark, sf)["d3"], st.D3_COLUMNS)
+    return changes.dataset_fingerprint(finish(stagings(spark, sf)["d3"]), st.D3_COLUMNS)
 
 
 @register("change_gate", W(D3C + [("fp", fingerprint_sql("stg_d3", D3_FP))], """
@@ -462,7 +462,7 @@ SELECT 1 AS run, 'loaded' AS status, n_rows, digest FROM fp
 UNION ALL SELECT 2, 'unchanged', n_rows, digest FROM fp"""))
 def q_change_gate(spark, sf):
     store = TableStore(spark, scratch_path(spark, "gate"))
-    d3 = stagings(spark, sf)["d3"].select(*st.D3_COLUMNS)
+    d3 = finish(stagings(spark, sf)["d3"].select(*st.D3_COLUMNS))
     first = pl.run_staging(store, "staging_d3", d3, st.D3_KEY)
     second = pl.run_staging(store, "staging_d3", d3, st.D3_KEY)
     fp = changes.dataset_fingerprint(d3, st.D3_COLUMNS)
@@ -513,8 +513,8 @@ SELECT * FROM ah WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.country = ah.co
 UNION ALL SELECT * FROM delta""".replace("\n, ah AS", "WITH ah AS", 1), ["co2", "methane", "nitrous_oxide", "population"]))
 def q_upsert_changed_only(spark, sf):
     def hashed(d, tag):
-        d = d.select("country", "year", "co2", "methane", "nitrous_oxide", "population",
-                     F.lit(tag).alias("loaded_from"))
+        d = finish(d.select("country", "year", "co2", "methane", "nitrous_oxide", "population",
+                            F.lit(tag).alias("loaded_from")))
         return d.withColumn("row_hash", fx.row_hash(d, ["co2", "methane", "nitrous_oxide", "population"]))
     target = hashed(stagings(spark, sf, "until_1998")["d3"], "old")
     batch = hashed(stagings(spark, sf, "from_1997")["d3"], "new")

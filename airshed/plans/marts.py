@@ -24,19 +24,19 @@ def join_fact_time(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 # A6
 def avg_by_location(star: Star) -> DataFrame:
-    """City pollution profile: mean pm10/pm25/no2 per location."""
-    j = join_fact_location(star["fact_air_quality"], star["dim_location"])
-    return (j.groupBy("location_id", "country", "city", "latitude", "longitude")
-            .agg(*[F.avg(c).alias(c) for c in CITY_FEATURES])
-            .select("location_id", "country", "city", *CITY_FEATURES, "latitude", "longitude"))
+    """City pollution profile: the fact is averaged by its location first,
+    and the places are joined to the few rows that remain."""
+    means = star["fact_air_quality"].groupBy("location_id").agg(*[F.avg(c).alias(c) for c in CITY_FEATURES])
+    return join_fact_location(means, star["dim_location"]).select("location_id", "country", "city", *CITY_FEATURES,
+                                                                  "latitude", "longitude")
 
 
 # A7
 def sum_by_country(star: Star) -> DataFrame:
     """Country emission totals (national rows counted once per season, D1)."""
-    j = join_fact_location(star["fact_emissions"], star["dim_location"])
-    return j.groupBy("country").agg(F.sum("co2").alias("co2"), F.sum("methane").alias("methane"),
-                                    F.sum("nitrous_oxide").alias("nitrous"))
+    gases = {"co2": "co2", "methane": "methane", "nitrous": "nitrous_oxide"}
+    sums = star["fact_emissions"].groupBy("location_id").agg(*[F.sum(c).alias(k) for k, c in gases.items()])
+    return join_fact_location(sums, star["dim_location"]).groupBy("country").agg(*[F.sum(k).alias(k) for k in gases])
 
 
 # A9

@@ -1,7 +1,8 @@
 """Staging jobs: raw landed frame -> conformed staging frame.
 
-Each job is a lazy ``DataFrame -> DataFrame`` plan; writing, fingerprinting
-and upserting are done by ``airshed.plans.pipeline``.
+Each job is ``DataFrame -> DataFrame``; the imputation steps write their small
+fill tables while the plan is built. Writing, fingerprinting and upserting of
+the result are done by ``airshed.plans.pipeline``.
 """
 
 from __future__ import annotations
@@ -188,8 +189,8 @@ def stage_air_quality(raw: DataFrame, method: str = "cells", keep_ord: bool = Fa
 
 
 # E2
-def studies_conformed(raw: DataFrame, head_n: int | None = 527) -> DataFrame:
-    """S2, P2, P6 of file 1 of d2."""
+def studies_conformed(raw: DataFrame, head_n: int | None = None) -> DataFrame:
+    """S2 (only where ``head_n`` is given), P2, P6 of file 1 of d2."""
     df = scan_head_n(raw, head_n) if head_n is not None else raw
     df = shape.rename_columns(df, D2_STUDIES_RENAME)
     df = df.withColumns({c: F.col(c).cast("string") for c in D2_STUDIES_TEXT})
@@ -197,13 +198,13 @@ def studies_conformed(raw: DataFrame, head_n: int | None = 527) -> DataFrame:
     return df.withColumns({c: fx.to_numeric_coerce(c) for c in D2_STUDIES_FLOAT})
 
 
-def studies_aggregated(raw: DataFrame, head_n: int | None = 527) -> DataFrame:
+def studies_aggregated(raw: DataFrame, head_n: int | None = None) -> DataFrame:
     """... then A1 by (country, city, year)."""
     return dedupe.agg_mean_first_concat(studies_conformed(raw, head_n), D2_STUDIES_KEY, D2_STUDIES_MEAN,
                                         D2_STUDIES_FIRST, D2_STUDIES_CONCAT)
 
 
-def stage_apportionment_studies(raw: DataFrame, head_n: int | None = 527,
+def stage_apportionment_studies(raw: DataFrame, head_n: int | None = None,
                                 method: str = "cells") -> DataFrame:
     """S2, P2, P6, A1, I4, I5 (file 1 of d2)."""
     df = studies_aggregated(raw, head_n)

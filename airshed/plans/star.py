@@ -186,8 +186,8 @@ def join_location_national(df: DataFrame, dim_location: DataFrame) -> DataFrame:
 
 
 def join_source_by_name(df: DataFrame, dim_source: DataFrame, name_col: str = "src") -> DataFrame:
-    """The fixed 12-row dimension, broadcast."""
-    src = F.broadcast(dim_source.select("source_id", F.col("source_name").alias("__sn")))
+    """AQE decides from the written dimension's size."""
+    src = dim_source.select("source_id", F.col("source_name").alias("__sn"))
     return df.join(src, F.col(name_col) == F.col("__sn")).drop("__sn")
 
 
@@ -206,7 +206,7 @@ def fact_source_apportionment_batch(d2: DataFrame, dims: dict, time_grain: str =
     long = reshape.unpivot_source_shares(df, ["time_id", "location_id"])
     long = join_source_by_name(long, dims["dim_source"])
     out = long.select("time_id", "location_id", "source_id", F.col("val").alias("contribution_pct"))
-    return out.withColumn("row_hash", fx.row_hash(out, ["contribution_pct"]))
+    return out.withColumn("row_hash", fx.row_hash(out, FACT_HASH["fact_source_apportionment"]))
 
 
 def fact_emissions_batch(d3: DataFrame, dims: dict, time_grain: str = "year") -> DataFrame:
@@ -226,9 +226,16 @@ def fact_emissions_by_source_batch(d3: DataFrame, dims: dict, time_grain: str =
     long = join_source_by_name(long, dims["dim_source"])
     out = long.select("time_id", "location_id", "source_id", F.col("v_co2").alias("co2"),
                       F.col("v_pct").alias("co2_pct"))
-    return out.withColumn("row_hash", fx.row_hash(out, ["co2", "co2_pct"], coalesce_nulls=coalesce_hash))
+    return out.withColumn("row_hash", fx.row_hash(out, FACT_HASH["fact_emissions_by_source"], coalesce_nulls=coalesce_hash))
 
 
+# The columns that each fact's row hash covers.
+FACT_HASH = {
+    "fact_air_quality": AIR_HASH,
+    "fact_source_apportionment": ["contribution_pct"],
+    "fact_emissions": EMISSIONS_HASH,
+    "fact_emissions_by_source": ["co2", "co2_pct"],
+}
 FACT_BATCHES = {
     "fact_air_quality": ("d1", fact_air_quality_batch),
     "fact_source_apportionment": ("d2", fact_source_apportionment_batch),

@@ -42,13 +42,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; create a scratch one
-    only when the session has none (local tests)."""
+    only when the session has none and runs in one process (local tests)."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if cur:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
         return cur.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="airshed-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -17,28 +17,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-# Files smaller than this stay as read (they end up broadcast anyway).
-REBALANCE_MIN_BYTES = 1 << 20
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table. A table stored as fewer splits than the session
-    has cores (one Parquet row group scans as one task) is spread once over
-    all cores; with a real layout (many files / row groups) the scan already
-    has more partitions than cores and nothing is added."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if _size(spark, path) >= REBALANCE_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """Read a driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def placeholders(template: str) -> list[str]:
@@ -61,7 +42,7 @@ def run_sql(spark: SparkSession, sf_dir: str, template: str, snapshot: str | Non
     for n in placeholders(template):
         df = load(spark, sf_dir, n)
         dfs[n] = df.filter(filters[n]) if n in filters else df
-    return spark.sql(template, **dfs)
+    return spark.sql(template.replace("ORDINAL(", "struct("), **dfs)
 
 
 def as_duckdb(template: str, snapshot: str | None = None) -> str:
@@ -71,4 +52,4 @@ def as_duckdb(template: str, snapshot: str | None = None) -> str:
     def sub(m):
         n = m.group(1)
         return f"(SELECT * FROM {n} WHERE {filters[n]})" if n in filters else n
-    return _PLACEHOLDER.sub(sub, template)
+    return _PLACEHOLDER.sub(sub, template).replace("ORDINAL(", "row(")

@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from airshed.sources.driver import run_sql
 
 # d1: station readings, one row per lineitem. (l_orderkey, l_linenumber) is
-# not unique in the driver's lineitem; the file-order stand-in packs it with
-# part, supplier and quantity into one BIGINT (unique at sf0.001-0.1, fits 63
-# bits up to sf1), so "first row" is a min over an integer.
+# not unique in the driver's lineitem; the file-order stand-in is an ordered
+# struct of all of its columns, so rows that tie on it are equal. ORDINAL(...)
+# stands for each engine's row value (``run_sql``, ``as_duckdb``).
 RAW_AIR_QUALITY_SQL = """
 SELECT
-  (l.l_orderkey * 8 + l.l_linenumber) * 274877906944
-    + (l.l_partkey * 16384 + l.l_suppkey) * 64 + CAST(l.l_quantity AS BIGINT) AS _ord,
+  ORDINAL(l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+          l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate) AS _ord,
   r.r_name AS who_region,
   'N' || CAST(n.n_nationkey AS STRING) AS iso3,
   n.n_name AS country_name,

@@ -42,6 +42,35 @@ def test_surrogate_keys_are_consecutive_in_order(spark):
     assert [s for _, s in pairs] == list(range(10, 5010))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_surrogate_keys_stay_distinct_at_size(spark, adaptive):
+    """The counts and the rows come from one layout, so no reuse of an exchange is needed."""
+    n = 2_000_000
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.exchange.reuse")}
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, n, 1, 7).select((F.col("id") * 7919 % n).alias("x"), F.concat(F.lit("payload "), F.col("id")).alias("p"))
+        got = changes.assign_surrogate_key(df, "sid", ["x"]).agg(F.countDistinct("sid"), F.min("sid"), F.max("sid"), F.count(F.when(F.col("sid") != F.col("x") + 1, 1))).first()
+        assert tuple(got) == (n, 1, n, 0)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_hash_text_keeps_every_bit(spark):
+    from airshed import functions as fx
+    values = [0.0, 1.0, -1.0, 5.0e-11, 9.0e-11, 5.01e-9, 5.04e-9, 1e30, 2e30, 0.1, 0.1 + 2 ** -56, 2.0 ** -1074, 1.7976931348623157e308, 2.0 ** 100, 2.0 ** 100 * (1 - 2 ** -53), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    text = [r[0] for r in df.select(fx.hash_text("v", df.schema["v"].dataType)).collect()]
+    assert len(set(text)) == len(values)
+    for v, t in zip(values, text, strict=True):
+        if "p" in t:
+            m, e = map(int, t.split("p"))
+            assert m * 2.0 ** -52 * 2.0 ** (e // 2) * 2.0 ** (e - e // 2) == v
+    assert df.limit(0).unionAll(spark.sql("SELECT CAST(NULL AS DOUBLE)")).select(fx.hash_text("v", df.schema["v"].dataType)).first()[0] is None
+
+
 def test_fingerprint(spark):
     a = spark.createDataFrame([(1, "x", 1.5), (2, None, 2.5), (3, "z", None)], "k int, s string, d double")
     shuffled = a.orderBy(F.desc("k")).repartition(3)
@@ -91,22 +120,6 @@ def test_table_store_versions_and_gate(spark, tmp_path):
     assert store.version("staging_x") == 2
 
 
-def test_streaming_landing_upserts_new_files(spark, tmp_path):
-    from airshed.plans import staging as st
-    from airshed.sources import driver_landing as dl
-    from airshed.sources.tables import TableStore
-    from airshed.streaming.landing_stream import stream_landing_to_staging
-    raw = dl.raw_emissions(spark, "/root/testdata/sf0.001")
-    land = str(tmp_path / "landing")
-    raw.write.parquet(land + "/batch1")
-    store = TableStore(spark, str(tmp_path / "wh"))
-    q = stream_landing_to_staging(spark, land + "/*", raw.schema, st.stage_emissions, store, "staging_d3",
-                                  st.D3_KEY, str(tmp_path / "ckpt"))
-    q.awaitTermination()
-    expected = st.stage_emissions(raw).count()
-    assert store.read("staging_d3").count() == expected
-
-
 def test_duplicate_fact_keys_are_refused_before_publish(spark, tmp_path):
     from airshed.operators import changes
     from airshed.sources.tables import TableStore

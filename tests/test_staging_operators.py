@@ -135,3 +135,28 @@ def test_conform_and_text_functions(spark):
 def test_delete_by_match_keeps_null_keys(spark):
     df = spark.createDataFrame([(" X ",), ("y",), (None,)], "city string")
     assert rows(shape.delete_by_match(df, "city", "x"), "city") == sorted([("y",), (None,)], key=_key)
+
+
+def test_dedupe_keeps_one_of_tied_rows(spark):
+    from airshed.operators import dedupe
+    rows = [("a", 1, "y"), ("a", 1, "x"), ("a", 2, "w"), (None, 3, "n"), (None, 3, "m")]
+    plain = spark.createDataFrame(rows, "k string, _ord long, v string")
+    nested = plain.withColumn("_ord", F.struct(F.col("_ord").alias("a"), F.lit(0).alias("b")))
+    for df in (plain, nested, plain.repartition(3)):
+        assert sorted((str(r.k), r.v) for r in dedupe.dedupe_keep_first(df, ["k"]).collect()) == [("None", "m"), ("a", "x")]
+        assert sorted((str(r.k), r.v) for r in dedupe.dedupe_keep_first_window(df, ["k"]).collect()) == [("None", "m"), ("a", "x")]
+
+
+def test_station_order_holds_for_large_keys(spark):
+    """Order keys of over 15 million, suppliers and parts past any packing."""
+    from airshed.sources import driver_landing as dl
+    line = spark.createDataFrame([(2 ** 40 + k, 300_000 + k, 17_000, 1, 1.0 + k, 1000.0, 0.0, 0.0, "A", "O") for k in range(3)],
+                                 "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    tables = {"lineitem": line.withColumn("l_shipdate", F.current_timestamp()),
+              "orders": line.select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("o_custkey"), F.current_date().alias("o_orderdate")),
+              "supplier": spark.createDataFrame([(17_000, "s", 1)], "s_suppkey long, s_name string, s_nationkey int"),
+              "nation": spark.createDataFrame([(1, "n", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+              "region": spark.createDataFrame([(1, "r")], "r_regionkey int, r_name string")}
+    raw = spark.sql(dl.RAW_AIR_QUALITY_SQL.replace("ORDINAL(", "struct("), **tables)
+    assert [r.pm10_tempcov is not None or r.l for r in raw.orderBy("_ord").select("pm10_tempcov", F.lit(True).alias("l")).collect()] == [True] * 3
+    assert raw.select("_ord").distinct().count() == 3
