@@ -11,6 +11,7 @@ from airshed.operators import forecast as fc
 from airshed.operators import shape
 from airshed.plans import marts
 from airshed.plans.star import Star
+from airshed.session import materialize
 
 CITY = marts.CITY_FEATURES
 COUNTRY = marts.COUNTRY_FEATURES
@@ -39,41 +40,43 @@ def cluster_country_table(df: DataFrame) -> DataFrame:
 
 
 # E7 -- Ward
-def cluster_cities(star: Star, n_clusters: int = 3, max_micro: int = 512) -> DataFrame:
+def cluster_cities(star: Star, n_clusters: int = 3, max_micro: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The places, and the profile of each named cluster."""
     df = cl.standardise(city_features(star), CITY, suffix="_z")
     df = df.withColumn("__x", cl.features_array([f"{c}_z" for c in CITY], "__x"))
     df = cl.ward_clusters(df, "__x", n_clusters, max_micro)
-    df = cl.name_clusters(df, "cluster", "pm10", cl.WARD_NAMES)
-    return cluster_city_table(df)
+    df = materialize(cl.name_clusters(df, "cluster", "pm10", cl.WARD_NAMES), "city-clusters")
+    return cluster_city_table(df), cl.cluster_profile(df, "cluster_name", CITY)
 
 
-def cluster_countries(star: Star, n_clusters: int = 3, max_micro: int = 512) -> DataFrame:
+def cluster_countries(star: Star, n_clusters: int = 3, max_micro: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The countries, and the profile of each named cluster."""
     df = cl.log_standardise(country_features(star), COUNTRY, suffix="_log")
     df = df.withColumn("__x", cl.features_array([f"{c}_log" for c in COUNTRY], "__x"))
     df = cl.ward_clusters(df, "__x", n_clusters, max_micro)
     # The Ward script ranks countries on the mean of log1p(co2).
-    df = cl.name_clusters(df, "cluster", "co2_log", cl.WARD_NAMES)
-    return cluster_country_table(df)
+    df = materialize(cl.name_clusters(df, "cluster", "co2_log", cl.WARD_NAMES), "country-clusters")
+    return cluster_country_table(df), cl.cluster_profile(df, "cluster_name", COUNTRY)
 
 
 # E8 -- k-means with silhouette choice of k
-def cluster_cities_kmeans(star: Star, max_k: int = cl.MAX_K) -> tuple[DataFrame, DataFrame]:
+def cluster_cities_kmeans(star: Star, max_k: int = cl.MAX_K) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The places, the choice of k, and the profile of each named cluster."""
     df = cl.standardise(city_features(star), CITY, suffix="_z")
-    df = df.withColumn("__x", cl.features_array([f"{c}_z" for c in CITY], "__x")).cache()
+    df = materialize(df.withColumn("__x", cl.features_array([f"{c}_z" for c in CITY], "__x")), "city-features")
     table, k = cl.choose_k_silhouette(df, "__x", max_k)
-    df = cl.kmeans(df, "__x", k)
-    df = cl.name_clusters(df, "cluster", "pm10")
-    return cluster_city_table(df), table
+    df = cl.name_clusters(cl.kmeans(df, "__x", k), "cluster", "pm10")
+    return cluster_city_table(df), table, cl.cluster_profile(df, "cluster_name", CITY)
 
 
-def cluster_countries_kmeans(star: Star, max_k: int = cl.MAX_K) -> tuple[DataFrame, DataFrame]:
+def cluster_countries_kmeans(star: Star, max_k: int = cl.MAX_K) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The countries, the choice of k, and the profile of each named cluster."""
     df = cl.log_standardise(country_features(star), COUNTRY, suffix="_log")
-    df = df.withColumn("__x", cl.features_array([f"{c}_log" for c in COUNTRY], "__x")).cache()
+    df = materialize(df.withColumn("__x", cl.features_array([f"{c}_log" for c in COUNTRY], "__x")), "country-features")
     table, k = cl.choose_k_silhouette(df, "__x", max_k)
-    df = cl.kmeans(df, "__x", k)
     # The k-means script ranks countries on raw co2.
-    df = cl.name_clusters(df, "cluster", "co2")
-    return cluster_country_table(df), table
+    df = cl.name_clusters(cl.kmeans(df, "__x", k), "cluster", "co2")
+    return cluster_country_table(df), table, cl.cluster_profile(df, "cluster_name", COUNTRY)
 
 
 # E9
@@ -85,6 +88,6 @@ def air_series(star: Star) -> DataFrame:
 
 def forecast_pollutants(star: Star, end_year: int = fc.END_YEAR) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Back-test, mean errors per pollutant, and forecasts for all series."""
-    series = air_series(star).cache()
-    backtest = fc.arima_backtest(series)
+    series = materialize(air_series(star), "series")
+    backtest = materialize(fc.arima_backtest(series), "backtest")
     return backtest, fc.mean_error_over_series(backtest), fc.arima_forecast(series, end_year)

@@ -16,10 +16,8 @@ from airshed.plans.queries import finish, register
 from airshed.sources.driver import load
 
 CITY_SQL = """
-SELECT l.location_id, l.country, l.city, coalesce(avg(f.pm10), 0) AS pm10, coalesce(avg(f.pm25), 0) AS pm25,
-       coalesce(avg(f.no2), 0) AS no2, l.latitude, l.longitude
-FROM fact_air_quality f JOIN dim_location l ON f.location_id = l.location_id
-GROUP BY l.location_id, l.country, l.city, l.latitude, l.longitude"""
+SELECT location_id, country, city, coalesce(pm10, 0) AS pm10, coalesce(pm25, 0) AS pm25, coalesce(no2, 0) AS no2, latitude, longitude
+FROM (SELECT location_id, avg(pm10) AS pm10, avg(pm25) AS pm25, avg(no2) AS no2 FROM fact_air_quality GROUP BY ALL) NATURAL JOIN dim_location"""
 
 
 def _z(c: str, src: str) -> str:
@@ -135,55 +133,144 @@ def q_cluster_profile(spark, sf):
 
 
 # ------------------------------------------------------- M3-M5, M8, M9, E7, E8
-@register("kmeans")
-def q_kmeans(spark, sf):
+def _points_sql(place: str) -> tuple[str, list[str]]:
+    """(SQL of id, raw features and x0.., raw feature names) of the places."""
+    if place == "city":
+        names, src = marts.CITY_FEATURES, f"SELECT CAST(location_id AS VARCHAR) AS id, * FROM ({CITY_SQL})"
+        scaled = [_z(c, "") for c in names]
+    else:
+        names = marts.COUNTRY_FEATURES
+        src = f"SELECT country AS id, country, {', '.join(f'coalesce({c}, 0) AS {c}' for c in names)} FROM ({SUM_BY_COUNTRY_SQL})"
+        scaled = [_z(f"ln(1 + {c})", "") for c in names]
+    return f"SELECT *, {', '.join(f'{x} AS x{i}' for i, x in enumerate(scaled))} FROM ({src})", names
+
+
+def _kmeans_ctes(k: int, d: int = 3) -> list[tuple[str, str]]:
+    """Lloyd's rounds written out: centres ``c<k>_<round>`` from the diagonal
+    of the data, and the last assignment ``l<k>`` (id, cluster, x0..)."""
+    dims = range(d)
+    spread = [cl.SPREAD * (2 * j / (k - 1) - 1) for j in range(k)]
+    out = [(f"c{k}_0", " UNION ALL ".join(
+        f"SELECT {j} AS j, {', '.join(f'avg(x{i}) + ({z!r}) * stddev_pop(x{i}) AS m{i}' for i in dims)} FROM pts" for j, z in enumerate(spread)))]
+    distance = " + ".join(f"pow(x{i} - m{i}, 2)" for i in dims)
+
+    def assigned(n: int) -> str:
+        return f"SELECT DISTINCT ON (id) id, j, {', '.join(f'x{i}' for i in dims)} FROM pts, c{k}_{n} ORDER BY id, {distance}, j"
+    for n in range(cl.ITERATIONS):
+        out.append((f"a{k}_{n}", assigned(n)))
+        means = ", ".join(f"coalesce(avg(x{i}), any_value(m{i})) AS m{i}" for i in dims)
+        out.append((f"c{k}_{n + 1}", f"SELECT j, {means} FROM c{k}_{n} LEFT JOIN a{k}_{n} USING (j) GROUP BY j"))
+    out.append((f"l{k}", assigned(cl.ITERATIONS).replace(" j,", " j AS cluster,", 1)))
+    return out
+
+
+def _silhouette_ctes(k: int, d: int = 3) -> list[tuple[str, str]]:
+    """``s<k>``: one row (k, silhouette) of the labels ``l<k>``."""
+    dims = range(d)
+    norm = " + ".join(f"x{i} * x{i}" for i in dims)
+    sums = f"SELECT cluster AS g, count(*) AS n, sum({norm}) AS q, {', '.join(f'sum(x{i}) AS s{i}' for i in dims)} FROM l{k} GROUP BY cluster"
+    dot = " + ".join(f"x{i} * s{i}" for i in dims)
+    return [(f"g{k}", sums),
+            (f"d{k}", f"SELECT id, cluster, g, n, {norm} - 2 * ({dot}) / n + q / n AS d2 FROM l{k}, g{k}"),
+            (f"p{k}", f"SELECT id, max(CASE WHEN g = cluster AND n > 1 THEN d2 * n / (n - 1) END) AS a, min(CASE WHEN g <> cluster THEN d2 END) AS b FROM d{k} GROUP BY id"),
+            (f"s{k}", f"SELECT {k} AS k, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE coalesce((b - a) / greatest(a, b), 0.0) END) AS silhouette FROM p{k}")]
+
+
+def _cluster_sql(place: str, ks: range, body: str, doubles: list[str] = ()) -> str:
+    """``body`` over pts, l<k> and, for several k, s<k> and best (k, silhouette, chosen)."""
+    ctes = [("pts", _points_sql(place)[0])]
+    for k in ks:
+        ctes += _kmeans_ctes(k) + (_silhouette_ctes(k) if len(ks) > 1 else [])
+    if len(ks) > 1:
+        ctes += [("tried", " UNION ALL ".join(f"SELECT * FROM s{k}" for k in ks)),
+                 ("best", "SELECT k, silhouette, row_number() OVER (ORDER BY silhouette DESC, k) = 1 AS chosen FROM tried"),
+                 ("chosen", " UNION ALL ".join(f"SELECT id, cluster FROM l{k} WHERE {k} = (SELECT k FROM best WHERE chosen)" for k in ks))]
+    return osql.star_sql("WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in ctes) + " " + body, list(doubles))
+
+
+def _named_sql(labels: str, feature: str) -> str:
+    """``labels`` (id, cluster) with the places' columns and cluster_name."""
+    return (f"(SELECT p.*, l.cluster, 'Cluster ' || CAST(r.r AS VARCHAR) AS cluster_name FROM {labels} l JOIN pts p USING (id) "
+            f"JOIN (SELECT cluster, row_number() OVER (ORDER BY avg({feature}), cluster) AS r FROM {labels} JOIN pts USING (id) GROUP BY cluster) r USING (cluster))")
+
+
+def _profile_sql(labels: str, feature: str, names: list[str]) -> str:
+    cells = ", ".join(f"avg({f}) AS {f}_mean, min({f}) AS {f}_min, max({f}) AS {f}_max" for f in names)
+    return f"SELECT cluster_name, count(*) AS size, {cells} FROM {_named_sql(labels, feature)} GROUP BY cluster_name"
+
+
+def _cells(names: list[str]) -> list[str]:
+    return [f"{f}_{x}" for f in names for x in ("mean", "min", "max")]
+
+
+def _city_points(spark, sf):
+    df = cl.standardise(an.city_features(star(spark, sf)), marts.CITY_FEATURES, suffix="_z")
+    return df.withColumn("x", cl.features_array([f"{c}_z" for c in marts.CITY_FEATURES], "x"))
+
+
+def _country_points(spark, sf):
     df = cl.log_standardise(an.country_features(star(spark, sf)), marts.COUNTRY_FEATURES, suffix="_log")
-    df = df.withColumn("x", cl.features_array([f"{c}_log" for c in marts.COUNTRY_FEATURES], "x"))
-    return cl.kmeans(df, "x", 4).select("country", "cluster")
+    return df.withColumn("x", cl.features_array([f"{c}_log" for c in marts.COUNTRY_FEATURES], "x"))
+
+
+@register("kmeans", _cluster_sql("country", range(4, 5), "SELECT id AS country, cluster FROM l4"))
+def q_kmeans(spark, sf):
+    return cl.kmeans(_country_points(spark, sf), "x", 4).select("country", "cluster")
 
 
 @register("ward_clusters")
 def q_ward_clusters(spark, sf):
-    df = cl.standardise(an.city_features(star(spark, sf)), marts.CITY_FEATURES, suffix="_z")
-    df = df.withColumn("x", cl.features_array([f"{c}_z" for c in marts.CITY_FEATURES], "x"))
-    return cl.ward_clusters(df, "x", 3).select("location_id", "cluster")
+    return cl.ward_clusters(_city_points(spark, sf), "x", 3).select("location_id", "cluster")
+
 
+TRIED = range(2, cl.MAX_K + 1)
 
-@register("choose_k_silhouette")
+
+@register("choose_k_silhouette", _cluster_sql("city", TRIED, "SELECT k, silhouette, chosen FROM best", ["silhouette"]))
 def q_choose_k_silhouette(spark, sf):
-    df = cl.standardise(an.city_features(star(spark, sf)), marts.CITY_FEATURES, suffix="_z")
-    df = df.withColumn("x", cl.features_array([f"{c}_z" for c in marts.CITY_FEATURES], "x"))
-    return cl.choose_k_silhouette(df, "x")[0]
+    return finish(cl.choose_k_silhouette(_city_points(spark, sf), "x")[0])
 
 
 @register("cluster_cities")
 def q_cluster_cities(spark, sf):
-    return finish(an.cluster_cities(star(spark, sf)))
+    # The named places with the profile of their cluster.
+    places, profile = an.cluster_cities(star(spark, sf))
+    return finish(places.join(profile, "cluster_name"))
 
 
 @register("cluster_countries")
 def q_cluster_countries(spark, sf):
-    return finish(an.cluster_countries(star(spark, sf)))
+    places, profile = an.cluster_countries(star(spark, sf))
+    return finish(places.join(profile, "cluster_name"))
 
 
-@register("cluster_city_table")
+@register("cluster_city_table", _cluster_sql(
+    "city", range(3, 4), f"SELECT country, city, latitude, longitude, pm10, pm25, no2, cluster, cluster_name FROM {_named_sql('l3', 'pm10')}",
+    ["latitude", "longitude", *marts.CITY_FEATURES]))
 def q_cluster_city_table(spark, sf):
-    return finish(an.cluster_cities(star(spark, sf)))
+    # M8 over three k-means clusters.
+    named = cl.name_clusters(cl.kmeans(_city_points(spark, sf), "x", 3), "cluster", "pm10")
+    return finish(an.cluster_city_table(named))
 
 
-@register("cluster_country_table")
+@register("cluster_country_table", _cluster_sql(
+    "country", range(3, 4), f"SELECT country, co2, methane, nitrous, cluster, cluster_name, "
+    + ", ".join(f"CAST(round_even({c}, 2) AS VARCHAR) || ' Mt' AS {c}_display" for c in marts.COUNTRY_FEATURES)
+    + f" FROM {_named_sql('l3', 'co2')}", marts.COUNTRY_FEATURES))
 def q_cluster_country_table(spark, sf):
-    return finish(an.cluster_countries(star(spark, sf)))
+    # M9 over three k-means clusters.
+    named = cl.name_clusters(cl.kmeans(_country_points(spark, sf), "x", 3), "cluster", "co2")
+    return finish(an.cluster_country_table(named))
 
 
-@register("cluster_cities_kmeans")
+@register("cluster_cities_kmeans", _cluster_sql("city", TRIED, _profile_sql("chosen", "pm10", marts.CITY_FEATURES), _cells(marts.CITY_FEATURES)))
 def q_cluster_cities_kmeans(spark, sf):
-    return finish(an.cluster_cities_kmeans(star(spark, sf))[0])
+    return finish(an.cluster_cities_kmeans(star(spark, sf))[2])
 
 
-@register("cluster_countries_kmeans")
+@register("cluster_countries_kmeans", _cluster_sql("country", TRIED, _profile_sql("chosen", "co2", marts.COUNTRY_FEATURES), _cells(marts.COUNTRY_FEATURES)))
 def q_cluster_countries_kmeans(spark, sf):
-    return finish(an.cluster_countries_kmeans(star(spark, sf))[0])
+    return finish(an.cluster_countries_kmeans(star(spark, sf))[2])
 
 
 # ------------------------------------------------------------- forecasting

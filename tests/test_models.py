@@ -63,6 +63,33 @@ def test_ward_and_kmeans_recover_blobs(spark):
     assert same_partition([r[0] for r in km], [r[1] for r in km])
 
 
+def gamma_points(spark, n=2000):
+    rng = np.random.default_rng(8)
+    data = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.gamma(2.0, 1.0, (n, 2)))]
+    return spark.createDataFrame(data, "id int, a double, b double").withColumn("x", cl.features_array(["a", "b"], "x"))
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    df = gamma_points(spark)
+    got = [{r.id: r.cluster for r in cl.kmeans(df.repartition(n), "x", 5).collect()} for n in (1, 4, 9)]
+    assert got[0] == got[1] == got[2] and len(set(got[0].values())) == 5
+
+
+def test_ward_changes_little_by_little_with_the_cells(spark):
+    """Overlapping data: no jump where rows begin to share cells."""
+    df = gamma_points(spark, 900)
+    exact = {r.id: r.cluster for r in cl.ward_clusters(df, "x", 3, max_micro=1024).collect()}
+    shared = {r.id: r.cluster for r in cl.ward_clusters(df, "x", 3, max_micro=880).collect()}
+    pts = np.array([[r.a, r.b] for r in sorted(df.collect(), key=lambda r: r.id)])
+    best = cl.ward_merge(pts, np.ones(len(pts)), 3)
+    assert same_partition([exact[i] for i in range(900)], best)
+    pairs = {}
+    for i in exact:
+        pairs[exact[i], shared[i]] = pairs.get((exact[i], shared[i]), 0) + 1
+    agree = sum(max(v for (a, _), v in pairs.items() if a == k) for k in set(exact.values()))
+    assert agree >= 0.9 * len(exact)
+
+
 def test_ward_two_phase_above_micro_limit(spark):
     df = blobs(spark, n=100).withColumn("x", cl.features_array(["a", "b"], "x"))
     out = cl.ward_clusters(df, "x", 3, max_micro=30).select("truth", "cluster").collect()
