@@ -5,9 +5,8 @@ One shuffle on (pollutant, location_id) groups the rows of each series; the
 fit runs per group in ``applyInPandas`` (a series is a handful of years, so
 a group is small). The model is fitted by conditional least squares on the
 once-differenced series, y'_t = phi y'_{t-1} + e_t + theta e_{t-1} with no
-constant, over a grid refined around its best point; parameters are not
-forced to be stationary or invertible (as in the reference), so results
-agree with a Kalman-filter likelihood fit only approximately.
+constant, over a grid refined around its best point, so results agree with
+a Kalman-filter likelihood fit only approximately.
 """
 
 from __future__ import annotations
@@ -25,8 +24,10 @@ MIN_POINTS_BACKTEST = 5
 END_YEAR = 2026
 POLLUTANTS = ["pm10", "pm25", "no2"]
 # ---------------------------------------------------------------------------
-MIN_POINTS_FIT = 3
-_BOUND = 1.5
+# The coarse grid of (phi, theta) is -REACH..REACH in COARSE points; each of
+# REFINEMENTS searches FINE x FINE points around the best, over a quarter of
+# the last step's width. Nothing keeps the parameters stationary.
+REACH, COARSE, STEP, REFINEMENTS, FINE = 0.98, 50, 0.04, 4, 9
 
 
 def _css(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -40,31 +41,31 @@ def _css(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray,
     return sse, e_prev
 
 
+def _best(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[float, float]:
+    """The pair of least squares, the first on ties."""
+    ph, th = (g.ravel() for g in np.meshgrid(phi, theta, indexing="ij"))
+    k = int(np.argmin(_css(d, ph, th)[0]))
+    return float(ph[k]), float(th[k])
+
+
 def fit_arima111(y: np.ndarray) -> tuple[float, float, float, float] | None:
-    """(phi, theta, last difference, last innovation), or None if the
-    series is too short or not finite."""
+    """(phi, theta, last difference, last innovation); None for an empty
+    series or one that isn't finite. A series of one or two points has no
+    innovation to learn from: its parameters are 0, its forecast is flat."""
     y = np.asarray(y, dtype=float)
-    if len(y) < MIN_POINTS_FIT or not np.all(np.isfinite(y)):
+    if not len(y) or not np.all(np.isfinite(y)):
         return None
     d = np.diff(y)
     if len(d) < 2:
-        return None
-    grid = np.linspace(-0.98, 0.98, 50)
-    ph, th = np.meshgrid(grid, grid, indexing="ij")
-    ph, th = ph.ravel(), th.ravel()
-    sse, _ = _css(d, ph, th)
-    k = int(np.argmin(sse))
-    best_p, best_t, step = ph[k], th[k], 0.04
-    for _ in range(4):
-        loc = np.linspace(-2, 2, 9) * step / 2
-        p2, t2 = np.meshgrid(np.clip(best_p + loc, -_BOUND, _BOUND), np.clip(best_t + loc, -_BOUND, _BOUND),
-                             indexing="ij")
-        p2, t2 = p2.ravel(), t2.ravel()
-        s2, _ = _css(d, p2, t2)
-        k = int(np.argmin(s2))
-        best_p, best_t, step = p2[k], t2[k], step / 4
-    _, e_last = _css(d, np.array([best_p]), np.array([best_t]))
-    return float(best_p), float(best_t), float(d[-1]), float(e_last[0])
+        return 0.0, 0.0, 0.0, 0.0
+    phi, theta = _best(d, *[np.linspace(-REACH, REACH, COARSE)] * 2)
+    step = STEP
+    for _ in range(REFINEMENTS):
+        around = np.linspace(-2, 2, FINE) * step / 2
+        phi, theta = _best(d, phi + around, theta + around)
+        step /= 4
+    _, e_last = _css(d, np.array([phi]), np.array([theta]))
+    return phi, theta, float(d[-1]), float(e_last[0])
 
 
 def forecast_arima111(y: np.ndarray, steps: int) -> np.ndarray | None:
@@ -112,26 +113,16 @@ BACKTEST_SCHEMA = ("pollutant string, location_id int, n_points int, y_true doub
 FORECAST_SCHEMA = "pollutant string, location_id int, year int, pred double"
 
 
-def _backtest_group(model: str):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("year", kind="mergesort")  # W4
-        y = pdf["value"].to_numpy(dtype=float)
-        if len(y) < MIN_POINTS_BACKTEST:
-            return pd.DataFrame(columns=BACKTEST_SCHEMA_COLS)
-        train, test = y[:-1], y[-1]
-        if model == "naive":
-            pred = train[-1]
-        else:
-            f = forecast_arima111(train, 1)
-            if f is None:
-                return pd.DataFrame(columns=BACKTEST_SCHEMA_COLS)
-            pred = f[0]
-        err = test - pred
-        return pd.DataFrame([{"pollutant": pdf["pollutant"].iloc[0],
-                              "location_id": int(pdf["location_id"].iloc[0]),
-                              "n_points": len(y), "y_true": test, "y_pred": pred,
-                              "mae": abs(err), "rmse": float(np.sqrt(err ** 2))}])
-    return fn
+def _backtest_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("year", kind="mergesort")  # W4
+    y = pdf["value"].to_numpy(dtype=float)
+    f = forecast_arima111(y[:-1], 1) if len(y) >= MIN_POINTS_BACKTEST else None
+    if f is None:
+        return pd.DataFrame(columns=BACKTEST_SCHEMA_COLS)
+    err = y[-1] - f[0]
+    return pd.DataFrame([{"pollutant": pdf["pollutant"].iloc[0], "location_id": int(pdf["location_id"].iloc[0]),
+                          "n_points": len(y), "y_true": y[-1], "y_pred": f[0],
+                          "mae": abs(err), "rmse": float(np.sqrt(err ** 2))}])
 
 
 BACKTEST_SCHEMA_COLS = [c.split()[0] for c in BACKTEST_SCHEMA.split(", ")]
@@ -143,17 +134,17 @@ def by_series(s: DataFrame, keys: list[str] = ("pollutant", "location_id")) -> D
     small shuffle into one task and run every fit in one Python worker. An
     explicit partition count is kept by AQE, and the grouped map reuses this
     partitioning (no second shuffle)."""
-    n = max(8, 2 * s.sparkSession.sparkContext.defaultParallelism)
+    spark = s.sparkSession  # cores at hand may be few just now under dynamic allocation
+    n = max(8, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return s.repartition(n, *keys)
 
 
 # M10
-def arima_backtest(series: DataFrame, model: str = "arima") -> DataFrame:
+def arima_backtest(series: DataFrame) -> DataFrame:
     """Per series: fit without the last point, predict it, score |error|
-    and sqrt(error^2). Series with < 5 points or a failed fit give no row.
-    ``model="naive"`` predicts the last training value (plumbing check)."""
+    and sqrt(error^2). Series with < 5 points or a failed fit give no row."""
     s = series.select("pollutant", F.col("location_id").cast("int"), F.col("year").cast("int"), "value")
-    return by_series(s).groupBy("pollutant", "location_id").applyInPandas(_backtest_group(model), BACKTEST_SCHEMA)
+    return by_series(s).groupBy("pollutant", "location_id").applyInPandas(_backtest_group, BACKTEST_SCHEMA)
 
 
 def _forecast_group(end_year: int):

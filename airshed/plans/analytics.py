@@ -86,8 +86,15 @@ def air_series(star: Star) -> DataFrame:
     return fc.series_long(j)
 
 
-def forecast_pollutants(star: Star, end_year: int = fc.END_YEAR) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Back-test, mean errors per pollutant, and forecasts for all series."""
-    series = materialize(air_series(star), "series")
+def forecast_pollutants(series: DataFrame, end_year: int = fc.END_YEAR, out: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Back-test, mean errors per pollutant, and forecasts for all series
+    (``air_series`` of a star).
+    With ``out``, the forecasts are also written there as CSV, a folder per
+    pollutant, and the mean errors beside them."""
+    series = materialize(series, "series")
     backtest = materialize(fc.arima_backtest(series), "backtest")
-    return backtest, fc.mean_error_over_series(backtest), fc.arima_forecast(series, end_year)
+    summary, forecasts = fc.mean_error_over_series(backtest), materialize(fc.arima_forecast(series, end_year), "forecasts")
+    if out:
+        forecasts.write.mode("overwrite").partitionBy("pollutant").option("header", True).csv(f"{out}/forecasts")
+        summary.write.mode("overwrite").option("header", True).csv(f"{out}/mean_errors")
+    return backtest, summary, forecasts

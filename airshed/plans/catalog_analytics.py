@@ -3,6 +3,8 @@ forecasting (W2, W4, R5, A11, M10-M12, E9)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from airshed import functions as fx
@@ -13,6 +15,7 @@ from airshed.plans import marts
 from airshed.plans import oracle_sql as osql
 from airshed.plans.catalog_star import SUM_BY_COUNTRY_SQL, star
 from airshed.plans.queries import finish, register
+from airshed.session import scratch_path
 from airshed.sources.driver import load
 
 CITY_SQL = """
@@ -290,15 +293,6 @@ def q_sort_series(spark, sf):
                   .orderBy("pollutant", "location_id", "year"))
 
 
-@register("forecast_all_pollutants", osql.star_sql(
-    f"SELECT pollutant, count(*) AS n_points, count(DISTINCT location_id) AS n_series FROM ({SERIES_SQL}) "
-    "GROUP BY pollutant"))
-def q_forecast_all_pollutants(spark, sf):
-    s = an.air_series(star(spark, sf))
-    return s.groupBy("pollutant").agg(F.count(F.lit(1)).alias("n_points"),
-                                      F.countDistinct("location_id").alias("n_series"))
-
-
 @register("split_last_observation", osql.star_sql(f"""
 SELECT pollutant, location_id, year, value,
        CASE WHEN row_number() OVER (PARTITION BY pollutant, location_id ORDER BY year DESC) = 1
@@ -325,43 +319,124 @@ def q_generate_horizon(spark, sf):
             .select("pollutant", "location_id", F.col("year").cast("int").alias("year")))
 
 
-NAIVE_BACKTEST_SQL = f"""
-WITH s AS (SELECT *, count(*) OVER (PARTITION BY pollutant, location_id) AS n,
-                  row_number() OVER (PARTITION BY pollutant, location_id ORDER BY year DESC) AS rn
-           FROM ({SERIES_SQL})),
-b AS (SELECT pollutant, location_id, max(CASE WHEN rn = 1 THEN value END) AS y_true,
-             max(CASE WHEN rn = 2 THEN value END) AS y_pred
-      FROM s WHERE n >= 5 GROUP BY pollutant, location_id)"""
+# The fit, written out: a coarse grid, then finer ones around the best pair.
+def _series(spark, sf):
+    """The series at the 6 decimals of every compare: engines differ in the
+    last bits of a filled mean, and a search over a flat surface follows them."""
+    return finish(an.air_series(star(spark, sf)))
+
+
+def _grid_sql(points: int, axis: str) -> str:
+    i = f"(SELECT unnest(range({points})) AS i)"
+    return f"SELECT a.i * {points} + b.i AS idx, {axis.replace('#', 'a.i')} AS ph, {axis.replace('#', 'b.i')} AS th FROM {i} a, {i} b"
+
+
+def _fit_ctes(src: str) -> list[tuple[str, str]]:
+    """``fit`` (pollutant, location_id, ph, th, d_last, e_last, y_last) of the
+    series ``src`` (pollutant, location_id, rn, v)."""
+    key = "pollutant, location_id"
+    reach, step = fc.REACH, fc.STEP
+    out = [("diffs", f"SELECT {key}, rn, v, v - lag(v) OVER w AS d, lag(v) OVER w - lag(v, 2) OVER w AS p FROM {src} WINDOW w AS (PARTITION BY {key} ORDER BY rn)"),
+           # The state before the first innovation, then a row for each.
+           ("lists", f"""SELECT {key}, arg_max(v, rn) AS y_last, coalesce(arg_max(d, rn) FILTER (d IS NOT NULL), 0.0) AS d_last,
+  list_concat([{{'d': 0.0::DOUBLE, 'p': 0.0::DOUBLE, 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE}}],
+    coalesce(list({{'d': d, 'p': p, 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE}} ORDER BY rn) FILTER (p IS NOT NULL), [])) AS l, count(*) AS n FROM diffs GROUP BY {key}"""),
+           ("grid", _grid_sql(fc.COARSE, f"(CASE WHEN # = {fc.COARSE - 1} THEN {reach}::DOUBLE ELSE # * ({2 * reach}::DOUBLE / {fc.COARSE - 1}) - {reach}::DOUBLE END)")),
+           ("around", _grid_sql(fc.FINE, f"(# * (4.0::DOUBLE / {fc.FINE - 1}) - 2.0::DOUBLE)"))]
+    error = "x.d - ph * x.p - th * a.e"
+    search = (f"list_reduce(l, lambda a, x: {{'d': x.d, 'p': x.p, 'e': {error}, 's': a.s + ({error}) * ({error})}})")
+
+    def best(name: str, pairs: str) -> list[tuple[str, str]]:
+        return [(f"{name}_all", f"SELECT {key}, idx, ph, th, {search} AS r FROM ({pairs})"),
+                (name, f"SELECT DISTINCT ON ({key}) {key}, ph, th, r.e AS e_last FROM {name}_all ORDER BY {key}, r.s, idx")]
+    out += best("fit0", f"SELECT {key}, l, idx, ph, th FROM lists, grid WHERE n >= 3")
+    for k in range(fc.REFINEMENTS):
+        width = step / 4 ** k
+        out += best(f"fit{k + 1}", f"SELECT b.pollutant, b.location_id, l, g.idx, b.ph + g.ph * {width!r}::DOUBLE / 2 AS ph, b.th + g.th * {width!r}::DOUBLE / 2 AS th "
+                                   f"FROM fit{k} b JOIN lists USING ({key}), around g")
+    out.append(("fit", f"SELECT {key}, y_last, coalesce(ph, 0.0) AS ph, coalesce(th, 0.0) AS th, CASE WHEN n >= 3 THEN d_last ELSE 0.0 END AS d_last, coalesce(e_last, 0.0) AS e_last "
+                       f"FROM lists LEFT JOIN fit{fc.REFINEMENTS} USING ({key})"))
+    return out
+
+
+def _fitted_sql(src: str, body: str, doubles: list[str]) -> str:
+    ctes = [("series", f"SELECT pollutant, location_id, year, round(value, 6) AS v, row_number() OVER (PARTITION BY pollutant, location_id ORDER BY year) AS rn, "
+                       f"count(*) OVER (PARTITION BY pollutant, location_id) AS n FROM ({SERIES_SQL})"),
+            ("learnt", src)] + _fit_ctes("learnt")
+    return osql.star_sql("WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in ctes) + " " + body, doubles)
+
+
+def _backtest_sql(body: str, doubles: list[str]) -> str:
+    test = ("(SELECT s.pollutant, s.location_id, CAST(s.n AS INTEGER) AS n_points, s.v AS y_true, y_last + (ph * d_last + th * e_last) AS y_pred "
+            f"FROM fit JOIN series s USING (pollutant, location_id) WHERE s.rn = s.n)")
+    return _fitted_sql(f"SELECT pollutant, location_id, rn, v FROM series WHERE n >= {fc.MIN_POINTS_BACKTEST} AND rn < n", body.replace("BACKTEST", test), doubles)
+
+
+# The dth step ahead adds phi**h times the first step: a running product, as the forecast makes it.
+_FORECAST_BODY = f"""
+, span AS (SELECT max(year) + 1 AS a FROM series),
+ahead AS (SELECT pollutant, location_id, unnest(range(span.a, {fc.END_YEAR + 1})) AS year, span.a AS a, ph, ph * d_last + th * e_last AS first, y_last FROM fit, span)
+SELECT pollutant, location_id, CAST(year AS INTEGER) AS year,
+       y_last + list_sum(list_transform(range(year - a + 1), lambda h: first * pow(ph, h))) AS pred FROM ahead"""
+
 
+def _forecast_sql(body: str, doubles: list[str]) -> str:
+    return _fitted_sql("SELECT pollutant, location_id, rn, v FROM series", body, doubles)
 
-@register("mean_error_over_series", osql.star_sql(NAIVE_BACKTEST_SQL + """
-SELECT pollutant, avg(abs(y_true - y_pred)) AS mean_mae, avg(sqrt(pow(y_true - y_pred, 2))) AS mean_rmse,
-       count(*) AS n_series FROM b GROUP BY pollutant""", ["mean_mae", "mean_rmse"]))
+
+@register("arima_backtest", _backtest_sql(
+    "SELECT pollutant, location_id, n_points, y_true, y_pred, abs(y_true - y_pred) AS mae, sqrt(pow(y_true - y_pred, 2)) AS rmse FROM BACKTEST",
+    ["y_true", "y_pred", "mae", "rmse"]))
+def q_arima_backtest(spark, sf):
+    return finish(fc.arima_backtest(_series(spark, sf)))
+
+
+@register("mean_error_over_series", _backtest_sql(
+    "SELECT pollutant, avg(abs(y_true - y_pred)) AS mean_mae, avg(sqrt(pow(y_true - y_pred, 2))) AS mean_rmse, count(*) AS n_series FROM BACKTEST GROUP BY pollutant",
+    ["mean_mae", "mean_rmse"]))
 def q_mean_error_over_series(spark, sf):
-    bt = fc.arima_backtest(an.air_series(star(spark, sf)), model="naive")
-    return finish(fc.mean_error_over_series(bt))
+    return finish(fc.mean_error_over_series(fc.arima_backtest(_series(spark, sf))))
 
 
-@register("abs_sqrt_error", osql.star_sql(NAIVE_BACKTEST_SQL + """
-SELECT pollutant, location_id, abs(y_true - y_pred) AS mae, sqrt(pow(y_true - y_pred, 2)) AS rmse FROM b""",
-                                          ["mae", "rmse"]))
+@register("abs_sqrt_error", _backtest_sql(
+    "SELECT pollutant, location_id, abs(y_true - y_pred) AS mae, sqrt(pow(y_true - y_pred, 2)) AS rmse FROM BACKTEST", ["mae", "rmse"]))
 def q_abs_sqrt_error(spark, sf):
-    bt = fc.arima_backtest(an.air_series(star(spark, sf)), model="naive")
+    bt = fc.arima_backtest(_series(spark, sf))
     return finish(bt.select("pollutant", "location_id", fx.abs_error("y_true", "y_pred").alias("mae"),
                             fx.sqrt_sq_error("y_true", "y_pred").alias("rmse")))
 
 
-@register("arima_backtest")
-def q_arima_backtest(spark, sf):
-    return finish(fc.arima_backtest(an.air_series(star(spark, sf))))
+@register("arima_forecast", _forecast_sql(_FORECAST_BODY, ["pred"]))
+def q_arima_forecast(spark, sf):
+    return finish(fc.arima_forecast(_series(spark, sf)))
 
 
-@register("arima_forecast")
-def q_arima_forecast(spark, sf):
-    return finish(fc.arima_forecast(an.air_series(star(spark, sf))))
+@register("forecast_all_pollutants", _forecast_sql(
+    f"{_FORECAST_BODY.replace('SELECT pollutant, location_id, CAST', ', preds AS (SELECT pollutant, location_id, CAST', 1)}) "
+    "SELECT pollutant, count(DISTINCT location_id) AS n_series, count(*) AS n_years, avg(pred) AS mean_pred FROM preds GROUP BY pollutant", ["mean_pred"]))
+def q_forecast_all_pollutants(spark, sf):
+    # One job forecasts every pollutant.
+    forecasts = fc.arima_forecast(_series(spark, sf))
+    return finish(forecasts.groupBy("pollutant").agg(F.countDistinct("location_id").alias("n_series"), F.count(F.lit(1)).alias("n_years"),
+                                                     F.avg("pred").alias("mean_pred")))
+
+
+FIT_NAME = r"\b(diffs|lists|grid|around|fit(\d+(_all)?)?)\b"
+
+
+def _forecast_with_errors_sql() -> str:
+    """Both fits in one statement: that of the back-test under names of its own."""
+    test = [(re.sub(FIT_NAME, r"bt_\g<0>", n), re.sub(FIT_NAME, r"bt_\g<0>", q)) for n, q in _fit_ctes("trained")]
+    ctes = [("trained", f"SELECT pollutant, location_id, rn, v FROM series WHERE n >= {fc.MIN_POINTS_BACKTEST} AND rn < n")] + test
+    errors = ("SELECT s.pollutant, avg(abs(v - p)) AS mean_mae, avg(sqrt(pow(v - p, 2))) AS mean_rmse, count(*) AS n_series FROM series s JOIN "
+              "(SELECT pollutant, location_id, y_last + (ph * d_last + th * e_last) AS p FROM bt_fit) USING (pollutant, location_id) WHERE s.rn = s.n GROUP BY s.pollutant")
+    body = _FORECAST_BODY.replace("SELECT pollutant, location_id, CAST", ", preds AS (SELECT pollutant, location_id, CAST", 1) + ")"
+    more = ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in [*ctes, ("errors", errors)])
+    return _forecast_sql(f", {more} {body} SELECT * FROM preds JOIN errors USING (pollutant)", ["pred", "mean_mae", "mean_rmse"])
 
 
-@register("forecast_pollutants")
+@register("forecast_pollutants", _forecast_with_errors_sql())
 def q_forecast_pollutants(spark, sf):
-    backtest, summary, forecasts = an.forecast_pollutants(star(spark, sf))
-    return finish(forecasts)
+    # Forecasts with their pollutant's mean errors; the files are written beside.
+    _, summary, forecasts = an.forecast_pollutants(_series(spark, sf), out=scratch_path(spark, "forecast-files"))
+    return finish(forecasts.join(summary, "pollutant"))

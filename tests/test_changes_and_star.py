@@ -132,3 +132,41 @@ def test_duplicate_fact_keys_are_refused_before_publish(spark, tmp_path):
     ok = dup.limit(1)
     store.commit({"fact_x": ok}, validate=check)
     assert store.read("fact_x").count() == 1
+
+
+def test_pipeline_from_csv_folders(spark, tmp_path):
+    """The user's own files in; a second run on the same files writes no table."""
+    from airshed.plans import pipeline as pl
+    from airshed.sources import driver_landing as dl
+    from airshed.sources.tables import TableStore
+    raw = {"d1": dl.raw_air_quality, "d2": dl.raw_apportionment_book, "d3": dl.raw_emissions}
+    paths, schemas = {}, {}
+    for d, fn in raw.items():
+        df = fn(spark, "/root/testdata/sf0.001").drop("_ord")
+        paths[d], schemas[d] = str(tmp_path / d), df.schema
+        df.write.option("header", True).csv(paths[d])
+    store = TableStore(spark, str(tmp_path / "wh"))
+    first = pl.run_pipeline(spark, pl.file_inputs(spark, paths, schemas), store)
+    versions = {n: store.version(n) for n in first}
+    assert set(first.values()) == {"loaded"} and all(store.read(n).count() for n in first)
+    second = pl.run_pipeline(spark, pl.file_inputs(spark, paths, schemas), store)
+    assert set(second.values()) == {"unchanged"} and {n: store.version(n) for n in first} == versions
+    country = store.read("staging_d3").first()["country"]
+    pl.delete_from_table(store, "staging_d3", "country", f" {country.upper()} ")
+    assert store.read("staging_d3").where(F.col("country") == country).count() == 0
+    pl.delete_from_table(store, "staging_d3", "country", "nowhere")
+    assert store.version("staging_d3") == versions["staging_d3"] + 1
+    store.commit({"plain": spark.range(2).toDF("x")})
+    pl.ensure_audit_column(store, "plain")
+    pl.ensure_audit_column(store, "plain")
+    assert store.read("plain").columns == ["x", "updated_at"] and store.version("plain") == 2
+
+
+def test_two_writers_cannot_publish_one_number(spark, tmp_path, monkeypatch):
+    from airshed.sources.tables import TableStore
+    a, b = (TableStore(spark, str(tmp_path / "wh")) for _ in range(2))
+    a.commit({"t": spark.range(1)})
+    monkeypatch.setattr(b, "_latest", lambda: 0)  # it looked before the other one published
+    with pytest.raises(Exception, match="(?i)exists"):
+        b.commit({"t": spark.range(5)})
+    assert a.read("t").count() == 1

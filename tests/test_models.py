@@ -146,3 +146,17 @@ def test_short_series_rules(spark):
     fcst = fc.arima_forecast(s, end_year=2006).collect()
     assert {r["location_id"] for r in fcst} == {1, 2} and {r["year"] for r in fcst} == {2005, 2006}
     assert fc.arima_forecast(s, end_year=2003).count() == 0
+
+
+def test_one_and_two_points_give_a_flat_forecast(spark):
+    s = spark.createDataFrame([("no2", 1, 2000, 7.0), ("no2", 2, 1999, 3.0), ("no2", 2, 2000, 5.0)], "pollutant string, location_id int, year int, value double")
+    got = sorted((r.location_id, r.year, r.pred) for r in fc.arima_forecast(s, end_year=2002).collect())
+    assert got == [(1, 2001, 7.0), (1, 2002, 7.0), (2, 2001, 5.0), (2, 2002, 5.0)]
+
+
+def test_forecast_files(spark, tmp_path):
+    from airshed.plans import analytics as an
+    s = spark.createDataFrame([("pm10", 1, 2000 + i, float(i % 3)) for i in range(6)], "pollutant string, location_id int, year int, value double")
+    _, summary, forecasts = an.forecast_pollutants(s, 2008, str(tmp_path / "out"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "out" / "forecasts"))
+    assert back.count() == forecasts.count() == 3 and summary.count() == 1
