@@ -16,7 +16,7 @@ from airshed.plans import staging as st
 from airshed.plans import star as sk
 from airshed.plans.catalog_star import dim_star, landed, stagings, star
 from airshed.plans.queries import finish, register
-from airshed.session import scratch_path
+from airshed.session import materialize, scratch_path
 from airshed.sources import driver_landing as dl
 from airshed.sources import landing
 from airshed.sources.tables import TableStore
@@ -226,7 +226,7 @@ def q_impute_three_level(spark, sf):
 @register("impute_four_level", _imp_sql(D2SC, "d2s_a", st.D2_SHARES, st.D2_SHARE_LEVELS,
                                         "country, city, year, " + ", ".join(st.D2_SHARES), st.D2_SHARES))
 def q_impute_four_level(spark, sf):
-    df = st.studies_aggregated(studies(spark, sf), head_n=None)
+    df = materialize(st.studies_aggregated(studies(spark, sf)), "studies")
     df = impute.impute_chain(df, st.D2_SHARES, st.D2_SHARE_LEVELS)
     return finish(df.select("country", "city", "year", *st.D2_SHARES))
 

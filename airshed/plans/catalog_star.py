@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,15 @@ from airshed.sources import driver_landing as dl
 _CACHE: dict = {}
 
 
+def stamp(spark: SparkSession, sf: str) -> tuple:
+    """The path of the input tables with their newest change, so that nothing
+    kept for a path is used after the files under it have changed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(sf)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sf, max((int(s.getModificationTime()) for s in fs.listStatus(p)), default=0)
+
+
 _RAW = {
     "d1": dl.raw_air_quality,
     "d2": dl.raw_apportionment_book,
@@ -30,7 +41,7 @@ def landed(spark: SparkSession, sf: str, dataset: str, snapshot: str | None = No
     """A raw input landed once per session as a table in the shared folder
     (S1): operators that read their input twice scan it instead of
     recomputing the derivation."""
-    key = ("raw", spark.sparkContext.applicationId, sf, dataset, snapshot)
+    key = ("raw", spark.sparkContext.applicationId, stamp(spark, sf), dataset, snapshot)
     if key not in _CACHE:
         _CACHE[key] = dl.land(_RAW[dataset](spark, sf, snapshot), dataset)
     return _CACHE[key]
@@ -46,7 +57,7 @@ _STAGE = {
 def staged(spark: SparkSession, sf: str, dataset: str, snapshot: str | None = None) -> DataFrame:
     """One staged source, written once per session as a table in the shared
     folder (cuts the lineage the star and the analytics would recompute)."""
-    key = ("stg", spark.sparkContext.applicationId, sf, dataset, snapshot)
+    key = ("stg", spark.sparkContext.applicationId, stamp(spark, sf), dataset, snapshot)
     if key not in _CACHE:
         _CACHE[key] = materialize(_STAGE[dataset](spark, sf, snapshot), f"staging_{dataset}")
     return _CACHE[key]
@@ -69,13 +80,20 @@ def stagings(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[
     return _Stagings(spark, sf, snapshot)
 
 
+def at_once(fn, items: list) -> list:
+    """``fn`` of each item, its Spark jobs submitted side by side: short jobs
+    of independent tables share the cluster in place of waiting in turn."""
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(fn, items))
+
+
 def dims(spark: SparkSession, sf: str, snapshot: str | None = None) -> dict[str, DataFrame]:
     """The four dimensions loaded from empty tables, written once."""
-    key = ("dims", spark.sparkContext.applicationId, sf, snapshot)
+    key = ("dims", spark.sparkContext.applicationId, stamp(spark, sf), snapshot)
     if key not in _CACHE:
-        s = stagings(spark, sf, snapshot)
-        loaded = sk.load_dimensions(spark, s["d1"], s["d2"], s["d3"], sk.create_star_schema(spark))
-        _CACHE[key] = {k: materialize(loaded[k], k) for k in sk.DIMENSIONS}
+        d1, d2, d3 = at_once(lambda d: staged(spark, sf, d, snapshot), ["d1", "d2", "d3"])
+        loaded = sk.load_dimensions(spark, d1, d2, d3, sk.create_star_schema(spark))
+        _CACHE[key] = dict(zip(sk.DIMENSIONS, at_once(lambda k: materialize(loaded[k], k), sk.DIMENSIONS), strict=True))
     return _CACHE[key]
 
 
@@ -111,11 +129,12 @@ class LazyStar:
 
     @property
     def tables(self) -> dict[str, DataFrame]:
-        return {n: self[n] for n in sk.STAR_SCHEMAS}
+        self.dims  # written before the facts that join them
+        return dict(zip(sk.STAR_SCHEMAS, at_once(self.__getitem__, list(sk.STAR_SCHEMAS)), strict=True))
 
 
 def star(spark: SparkSession, sf: str, snapshot: str | None = None) -> LazyStar:
-    key = ("star", spark.sparkContext.applicationId, sf, snapshot)
+    key = ("star", spark.sparkContext.applicationId, stamp(spark, sf), snapshot)
     if key not in _CACHE:
         _CACHE[key] = LazyStar(spark, sf, snapshot)
     return _CACHE[key]

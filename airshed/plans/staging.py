@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from airshed import functions as fx
 from airshed.operators import dedupe, impute, reshape, shape
+from airshed.session import materialize
 from airshed.sources.landing import scan_head_n
 
 # ---------------------------------------------------------------------------
@@ -207,7 +208,8 @@ def studies_aggregated(raw: DataFrame, head_n: int | None = None) -> DataFrame:
 def stage_apportionment_studies(raw: DataFrame, head_n: int | None = None,
                                 method: str = "cells") -> DataFrame:
     """S2, P2, P6, A1, I4, I5 (file 1 of d2)."""
-    df = studies_aggregated(raw, head_n)
+    # Written once: the imputation reads it twice, for its cells and for the join back.
+    df = materialize(studies_aggregated(raw, head_n), "studies")
     return impute.impute_many(df, [(D2_CONC, D2_CONC_LEVELS), (D2_SHARES, D2_SHARE_LEVELS)], method)
 
 
