@@ -118,7 +118,19 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{name}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete the files of a table that ``materialize`` returned, once nothing
+    reads it any more (the round before last of an iteration)."""
+    path = getattr(df, "_written", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize_sized(df, name: str):
@@ -148,4 +160,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "warehouse_root",
            "scratch_path", "path_exists", "local_path", "materialize",
-           "materialize_sized", "ship_package"]
+           "materialize_sized", "discard", "ship_package"]
