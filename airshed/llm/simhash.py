@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm.common import column_function, text_bytes, whole_text
-from airshed.session import materialize
+from airshed.session import discard, materialize
 
 SEED = 42
 #: Larger buckets are divided again.
@@ -155,8 +155,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = materialize(large.unionAll(low.where("u > m").select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "simhash-cc")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        cur = materialize(moved.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v")
+        last, cur = cur, materialize(moved.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v")
                           .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "simhash-cc")
+        discard(last)
+        discard(large)
         # Done when each node points to one node that points nowhere.
         many = cur.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
         if not many and not cur.join(cur.select(F.col("u").alias("w")), F.col("v") == F.col("w"), "left_semi").limit(1).count():
