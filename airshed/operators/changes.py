@@ -88,11 +88,16 @@ def upsert_changed_only(target: DataFrame, batch: DataFrame, keys: list[str],
                         order: str | None = None) -> DataFrame:
     """As U1, but a target row is only rewritten when the batch row's hash
     is distinct from it; unchanged rows keep their old values (and audit
-    time)."""
+    time). One full outer join on the keys: either side is read once, and
+    the hashes are compared in the joined row. A null key matches nothing,
+    as in U1."""
     batch = _prepare_batch(batch, keys, on_duplicate, order)
-    delta = changed_rows(target, batch, keys, hash_col)
-    kept = target.join(delta.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(delta.select(*target.columns))
+    t = target.select(F.lit(True).alias("__in_t"), *[F.col(f"`{c}`").alias(f"__t_{c}") for c in target.columns])
+    b = batch.select(F.lit(True).alias("__in_b"), *[F.col(f"`{c}`").alias(f"__b_{c}") for c in target.columns])
+    both = t.join(b, reduce(lambda x, y: x & y, [F.col(f"__t_{k}") == F.col(f"__b_{k}") for k in keys]), "full_outer")
+    same = F.col(f"__t_{hash_col}").eqNullSafe(F.col(f"__b_{hash_col}"))
+    new = F.col("__in_b").isNotNull() & (F.col("__in_t").isNull() | ~same)
+    return both.select(*[F.when(new, F.col(f"__b_{c}")).otherwise(F.col(f"__t_{c}")).alias(c) for c in target.columns])
 
 
 # W5
