@@ -35,10 +35,11 @@ BUCKETS = 1 << 15
 #: A text's evidence counts as this many terms at most, so that long texts stay soft.
 EVIDENCE = 16
 #: Production targets: shares of quality x toxic domains, and tokens over the input's.
-TARGETS = {"q1t0": 0.94, "q1t1": 0.03, "q0t0": 0.02, "q0t1": 0.01}
+TARGETS = {"q1t0": 0.955, "q1t1": 0.03, "q0t0": 0.012, "q0t1": 0.003}
 BUDGET = 1.25
 
-_TERM = r"\p{L}+|[^\p{L}\s]+"
+#: Terms are what stands between these; an empty one is none.
+_BETWEEN = r"[\x20\x09-\x0D.,]+"
 
 
 def label_domain() -> Column:
@@ -47,11 +48,12 @@ def label_domain() -> Column:
 
 
 def _terms() -> Column:
-    return F.regexp_extract_all(whole_text(), F.lit(_TERM), F.lit(0))
+    """At least one element, empty where there is no term."""
+    return F.split(whole_text(), _BETWEEN)
 
 
 def _bucket(term: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(term)), F.lit(BUCKETS)).cast("int")
+    return F.when(F.col(term) == "", F.lit(BUCKETS).cast("bigint")).otherwise(F.pmod(F.xxhash64(F.col(term)), F.lit(BUCKETS).cast("bigint")))
 
 
 def domain_sample(labels: DataFrame, domain: Column, domains: list[str], bound: int = SAMPLE_ROWS) -> DataFrame:
@@ -65,7 +67,9 @@ def domain_sample(labels: DataFrame, domain: Column, domains: list[str], bound:
 
 
 def fit_terms(docs: DataFrame, sample: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float]]:
-    """The classifier: (bucket, l0..) log likelihoods, and log priors."""
+    """The classifier: (bucket, l1..), a row per bucket, with the log
+    likelihoods over those of the first domain; and log priors. Buckets
+    without training terms, and the one for no term, have zeros."""
     labelled = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id").select("domain", F.explode(_terms()).alias("term"))
     counts = labelled.select("domain", _bucket("term").alias("bucket")).groupBy("bucket").agg(
         *[F.sum((F.col("domain") == d).cast("double")).alias(f"c{k}") for k, d in enumerate(domains)])
@@ -74,23 +78,26 @@ def fit_terms(docs: DataFrame, sample: DataFrame, domains: list[str]) -> tuple[D
     rows = dict(sample.groupBy("domain").count().collect())
     n = sum(rows.values())
     prior = [float(np.log((rows.get(d, 0) + 1) / (n + len(domains)))) for d in domains]
-    return counts.select("bucket", *[F.log((F.col(f"c{k}") + 1) / (total[k] + BUCKETS)).alias(f"l{k}") for k in range(len(domains))]), prior
+    log = [F.log((F.col(f"c{k}") + 1) / (total[k] + BUCKETS)) for k in range(len(domains))]
+    seen = counts.where(F.col("bucket") < BUCKETS).select("bucket", *[(log[k] - log[0]).alias(f"l{k}") for k in range(1, len(domains))])
+    every = docs.sparkSession.range(BUCKETS + 1).select(F.col("id").alias("bucket"))
+    return every.join(seen, "bucket", "left").select("bucket", *[F.coalesce(f"l{k}", F.lit(0.0)).alias(f"l{k}") for k in range(1, len(domains))]), prior
 
 
 def posteriors(docs: DataFrame, table: DataFrame, prior: list[float], domains: list[str]) -> DataFrame:
-    """(doc_id, h, tokens, p0..) per document; h is a hash of the text. A term
-    in a bucket without training terms is no evidence."""
-    k = range(len(domains))
+    """(doc_id, h, tokens, p0..) per document; h is a hash of the text."""
+    k = range(1, len(domains))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", whole_text().alias("text"))
-    exploded = numbered.select("row", "doc_id", F.xxhash64("text").alias("h"), F.explode_outer(_terms()).alias("term"))
-    scored = exploded.select("row", "doc_id", "h", F.col("term").isNotNull().cast("long").alias("one"), _bucket("term").alias("bucket")).join(F.broadcast(table), "bucket", "left")
-    sums = scored.groupBy("row", "doc_id", "h").agg(F.sum("one").alias("tokens"), *[F.sum(F.when(F.col("one") > 0, F.coalesce(f"l{i}", F.lit(0.0)))).alias(f"l{i}") for i in k])
+    exploded = numbered.select("row", "doc_id", F.xxhash64("text").alias("h"), F.explode(_terms()).alias("term"))
+    scored = exploded.select("row", "doc_id", "h", (F.col("term") != "").cast("long").alias("one"), _bucket("term").alias("bucket")).join(F.broadcast(table), "bucket")
+    sums = scored.groupBy("row", "doc_id", "h").agg(F.sum("one").alias("tokens"), *[F.sum(f"l{i}").alias(f"l{i}") for i in k])
     scale = F.least(F.lit(1.0), F.lit(float(EVIDENCE)) / F.greatest(F.col("tokens"), F.lit(1)))
-    sums = sums.select("doc_id", "h", "tokens", *[(F.lit(prior[i]) + scale * F.coalesce(f"l{i}", F.lit(0.0))).alias(f"l{i}") for i in k])
-    top = F.greatest(*[F.col(f"l{i}") for i in k]) if len(domains) > 1 else F.col("l0")
-    sums = sums.select("doc_id", "h", "tokens", *[F.exp(F.col(f"l{i}") - top).alias(f"e{i}") for i in k])
-    whole = sum((F.col(f"e{i}") for i in k), F.lit(0.0))
-    return sums.select("doc_id", "h", "tokens", *[(F.col(f"e{i}") / whole).alias(f"p{i}") for i in k])
+    logs = [F.lit(prior[0]), *[F.lit(prior[i]) + scale * F.col(f"l{i}") for i in k]]
+    sums = sums.select("doc_id", "h", "tokens", *[x.alias(f"l{i}") for i, x in enumerate(logs)])
+    top = F.greatest(*[F.col(f"l{i}") for i in range(len(logs))]) if len(logs) > 1 else F.col("l0")
+    sums = sums.select("doc_id", "h", "tokens", *[F.exp(F.col(f"l{i}") - top).alias(f"e{i}") for i in range(len(logs))])
+    whole = sum((F.col(f"e{i}") for i in range(len(logs))), F.lit(0.0))
+    return sums.select("doc_id", "h", "tokens", *[(F.col(f"e{i}") / whole).alias(f"p{i}") for i in range(len(logs))])
 
 
 def _rate(steps: list[list[float]]) -> Column:
