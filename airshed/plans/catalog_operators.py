@@ -422,14 +422,14 @@ def _snap_d3_sql(body: str, doubles=()):
 
 
 @register("is_distinct_from", _snap_d3_sql("""
-SELECT a.country, a.year, round(a.co2, 6) IS DISTINCT FROM round(b.co2, 6) AS co2_changed
-FROM a_stg_d3 a JOIN b_stg_d3 b ON a.country = b.country AND a.year = b.year"""))
+SELECT country, year, round(a.co2, 6) IS DISTINCT FROM round(b.co2, 6) AS co2_changed
+FROM a_stg_d3 a FULL JOIN b_stg_d3 b USING (country, year)"""))
 def q_is_distinct_from(spark, sf):
     a = stagings(spark, sf, "until_1998")["d3"].select("country", "year", F.col("co2").alias("a"))
     b = stagings(spark, sf, "from_1997")["d3"].select("country", "year", F.col("co2").alias("b"))
-    return a.join(b, ["country", "year"]).select("country", "year",
-                                                 fx.is_distinct_from(F.round("a", 6), F.round("b", 6))
-                                                 .alias("co2_changed"))
+    # Full outer: a key in one snapshot only has changed, unless its value there is null.
+    return a.join(b, ["country", "year"], "full_outer").select(
+        "country", "year", fx.is_distinct_from(F.round("a", 6), F.round("b", 6)).alias("co2_changed"))
 
 
 # ------------------------------------------------------------- U1-U3, U6-U9
