@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from airshed.llm.common import column_function, fold, sample_labels, sigmoid, text_bytes, whole_text
 from airshed.session import materialize
 
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 20_000
 VOCABULARY = 1 << 17
 MIN_TEXTS = 8
 #: Standard deviations by which a term's label-1 texts must exceed their share.
@@ -116,9 +116,10 @@ class FactorizationMachine:
         return float(self.bias + self.weights[ids].sum() + 0.5 * (total @ total - (v * v).sum()))
 
 
-def fit(ids: list[np.ndarray], y: np.ndarray, vocabulary: np.ndarray, factors: int = FACTORS, epochs: int = 20, batch: int = 256,
+def fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, factors: int = FACTORS, epochs: int = 20, batch: int = 256,
         rate: float = 0.5, ridge: float = 2e-5, seed: int = 7) -> FactorizationMachine:
-    """Adagrad on the logistic loss over mini-batches of whole texts."""
+    """Adagrad on the logistic loss over mini-batches of whole texts; a text
+    has ``sizes`` entries of ``flat``, the indices of its terms."""
     rng = np.random.default_rng(seed)
     n = len(vocabulary)
     share = (y.sum() + 0.5) / (len(y) + 1.0)
@@ -126,8 +127,7 @@ def fit(ids: list[np.ndarray], y: np.ndarray, vocabulary: np.ndarray, factors: i
     if not n or not len(y) or y.min() == y.max():
         model.vectors[:] = 0
         return model
-    sizes = np.array([len(x) for x in ids])
-    flat, starts = np.concatenate(ids), np.concatenate([[0], np.cumsum(sizes)])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
     w, v = model.weights, model.vectors
     gw, gv, gb = np.full(n, 1e-3), np.full((n, factors), 1e-3), 1e-3
     for _ in range(epochs):
@@ -171,8 +171,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 3
     lift = (F.col("n1") - share * F.col("n")) / F.sqrt(F.col("n") * F.lit(max(1e-12, share * (1 - share))))
     top = counts.where(F.col("n") >= MIN_TEXTS).where(lift >= MIN_LIFT).orderBy(lift.desc(), "term").limit(VOCABULARY).select("term").toPandas()
     vocabulary = np.sort(top["term"].to_numpy(np.int64))
-    learned = rows.select("doc_id", "label", indices(F.col("text"), vocabulary).alias("ids")).toPandas().sort_values("doc_id")
-    return fit([np.asarray(x, np.int64) for x in learned["ids"]], learned["label"].to_numpy(float), vocabulary)
+    learned = rows.select("doc_id", "label", indices(F.col("text"), vocabulary).alias("ids")).toArrow()
+    learned = learned.take(pa.array(np.argsort(learned.column("doc_id").to_numpy())))  # rows arrive in any order
+    ids = learned.column("ids").combine_chunks()
+    ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
+    return fit(ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()), learned.column("label").to_numpy().astype(float), vocabulary)
 
 
 def score(text: Column, model: FactorizationMachine) -> Column:

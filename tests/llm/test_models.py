@@ -54,7 +54,7 @@ def test_interactions_of_terms_are_learnt():
     vocabulary = np.array(sorted({t for x in texts for t in toxicity._terms(x)}))
     look = toxicity._Lookup(vocabulary)
     ids, y = [look(t) for t in texts], np.array(y, float)
-    model = toxicity.fit(ids[:2000], y[:2000], vocabulary)
+    model = toxicity.fit(np.concatenate(ids[:2000]), np.array([len(i) for i in ids[:2000]]), y[:2000], vocabulary)
     assert auc(y[2000:], [model.margin(i) for i in ids[2000:]]) > 0.995
     both = model.vectors[look(b"insult group")]
     linear = np.array([model.weights[look(w)].sum() for w in (b"insult", b"group")])
