@@ -12,10 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from airshed.session import ship_package
+
 #: Words are runs of anything but these characters (ASCII white space).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch where the session has Spark's default of 10,000.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package to the workers, and holds Arrow batches to
+    BATCH_ROWS rows: rows are whole texts here, and a batch is in memory
+    several times (the executor's buffers, the worker's array, its result).
+    A session that sets its own number of rows keeps it."""
+    ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

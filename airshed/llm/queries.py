@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from airshed.llm import bpe, cascade, gam, logbilinear, mixing, pii, simhash, snapshots, topk, toxicity
-from airshed.llm.common import table
+from airshed.llm.common import prepare, table
 
 
 def vocabulary() -> str:
@@ -67,8 +68,16 @@ def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_fm, op2_snapshot_collapse, op3_log_bilinear, op4_bootstrap_pii, op5_histogram_topk, op6_rule_cascade,
+    f.__name__: _prepared(f) for f in (op1_toxicity_fm, op2_snapshot_collapse, op3_log_bilinear, op4_bootstrap_pii, op5_histogram_topk, op6_rule_cascade,
                               op7_soft_mix, op8_covering_simhash, op9_gam_quality, op10_segment_bpe)}
 
 ORACLES: dict[str, str] = {"op2_snapshot_collapse": snapshots.SQL, "op6_rule_cascade": cascade.SQL}

@@ -6,41 +6,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from airshed.llm import bpe, gam, mixing, pii, simhash
-from airshed.llm.common import table
+from airshed.llm.common import prepare, table
 from airshed.llm.queries import vocabulary
-from airshed.session import scratch_path, ship_package
+from airshed.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier scores under 0.3. The
     classifier learns from the labelled rows among ``docs``."""
-    ship_package(spark)
+    prepare(spark)
     return gam.keep_quality(docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash component (3-word shingles, 3 bits)."""
-    ship_package(spark)
+    prepare(spark)
     return simhash.keep_one_each(docs, shingle=3, radius=3)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts by its kind in brackets."""
-    ship_package(spark)
+    prepare(spark)
     return pii.redact(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or thins documents to the production mixture. Its targets hold
     more clean text than the input does, so every clean document stays."""
-    ship_package(spark)
+    prepare(spark)
     return mixing.resample(docs, table(spark, sf_dir, "labels"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (array<int>) and their number for every remaining row, and
     the SHA-256 of the ids and of the text that they decode to."""
-    ship_package(spark)
+    prepare(spark)
     return bpe.encode_with_digests(docs, vocabulary())
 
 
