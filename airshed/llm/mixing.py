@@ -87,8 +87,9 @@ def fit_terms(docs: DataFrame, sample: DataFrame, domains: list[str]) -> tuple[D
 def posteriors(docs: DataFrame, table: DataFrame, prior: list[float], domains: list[str]) -> DataFrame:
     """(doc_id, h, tokens, p0..) per document; h is a hash of the text."""
     k = range(1, len(domains))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", whole_text().alias("text"))
-    exploded = numbered.select("row", "doc_id", F.xxhash64("text").alias("h"), F.explode(_terms()).alias("term"))
+    # What stands beside explode() in one select is evaluated per term, so the hash of the text comes first.
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(whole_text()).alias("h"), whole_text().alias("text"))
+    exploded = numbered.select("row", "doc_id", "h", F.explode(_terms()).alias("term"))
     scored = exploded.select("row", "doc_id", "h", (F.col("term") != "").cast("long").alias("one"), _bucket("term").alias("bucket")).join(F.broadcast(table), "bucket")
     sums = scored.groupBy("row", "doc_id", "h").agg(F.sum("one").alias("tokens"), *[F.sum(f"l{i}").alias(f"l{i}") for i in k])
     scale = F.least(F.lit(1.0), F.lit(float(EVIDENCE)) / F.greatest(F.col("tokens"), F.lit(1)))
