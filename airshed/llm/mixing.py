@@ -3,12 +3,13 @@
 A naive Bayes classifier over hashed terms, fitted on the labelled table,
 gives each document a posterior over domains. Document rates r >= 0 are then
 fitted so that the expected tokens of each domain, sum of r * tokens *
-posterior, match the targets: projected gradient descent on the squared
-residuals, each over its target. With distances between rates weighted by
-tokens, a step is r <- max(0, r - step * posterior . gradient), the same for
-short and long documents. A round is one aggregation of a few numbers over
-the small per-document table; the few gradients so far are the whole state,
-and every document's rate follows from them.
+posterior, match the targets: of all such rates, those nearest to 1, with
+distances weighted by tokens. They are r = max(0, 1 - posterior . multipliers),
+the same for short and long documents, with one multiplier per domain, found
+by Newton's method: squared misses, each over its target, are weighed ever
+more against the distance, until the targets are reached or the misses cease
+to fall. A round is one aggregation of a few numbers over the small
+per-document table; the multipliers are the whole state.
 
 DataFrame functions only. The classifier learns from a bounded number of
 labelled rows (SAMPLE_ROWS); its table has BUCKETS rows at most, so it is
@@ -17,12 +18,15 @@ broadcast. Terms are counted up to one row per document before the shuffle.
 Cases: a null text counts as empty; texts without terms have the prior as
 posterior and zero tokens; labels outside the domains are ignored; a domain
 without labelled rows keeps a small prior; where no rates reach a target the
-fit ends as near as it gets; repeated rows are documents of their own;
+fit ends as near as it gets, with a warning; repeated rows are documents of their own;
 other columns aren't read, or are carried (resample).
 """
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,36 +105,87 @@ def posteriors(docs: DataFrame, table: DataFrame, prior: list[float], domains: l
     return sums.select("doc_id", "h", "tokens", *[(F.col(f"e{i}") / whole).alias(f"p{i}") for i in range(len(logs))])
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """The rate of a document after the gradient steps so far, from 1."""
-    rate = F.lit(1.0)
-    for g in steps:
-        rate = F.greatest(F.lit(0.0), rate - sum((F.col(f"p{i}") * F.lit(v) for i, v in enumerate(g)), F.lit(0.0)))
-    return rate
+@dataclass
+class Rates:
+    """A fit: ``rate`` is an expression over p0..; ``reached`` the expected
+    tokens of each domain over its target (over a floor where that is near
+    zero); ``residual`` the largest miss, in targets; ``rounds`` the
+    aggregations that it took."""
+    rate: Column
+    reached: list[float]
+    residual: float
+    rounds: int
+    converged: bool
+
+
+def _rate(multipliers: np.ndarray) -> Column:
+    """The rate of a document: 1 less the multipliers of its domains."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"p{i}") * F.lit(float(v)) for i, v in enumerate(multipliers)), F.lit(0.0)))
 
 
-def fit_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 24, tolerance: float = 1e-3) -> Column:
-    """The rate as an expression over p0..; ``members`` is a written table.
-    ``weights``: shares of ``budget`` times all tokens, by domain."""
+def solve_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 400, tolerance: float = 1e-3) -> Rates:
+    """The rates nearest to 1 that reach the targets to ``tolerance``;
+    ``members`` is a written table, ``weights`` are shares of ``budget`` times
+    all tokens, by domain. ``rounds`` is a bound against endless fits only:
+    one that meets it, like one whose targets no rates reach, isn't silent."""
     k = range(len(weights))
+    pairs = [(i, j) for i in k for j in k if i <= j]
     tokens = F.col("tokens").cast("double")
-    row = members.agg(F.coalesce(F.sum(tokens), F.lit(0.0)), *[F.coalesce(F.sum(tokens * F.col(f"p{i}") * F.col(f"p{j}")), F.lit(0.0)) for i in k for j in k]).first()
-    total, square = row[0], np.array(row[1:]).reshape(len(weights), -1)
+    total = float(members.agg(F.coalesce(F.sum(tokens), F.lit(0.0))).first()[0])
     if not total:
-        return _rate([])
-    share = np.array(weights, float) / sum(weights)
-    target = share * budget * total
-    weigh = 1 / np.maximum(target, 0.01 * total / len(weights))  # a target near zero must not rule the step
-    step = 1 / np.linalg.eigvalsh(square * np.sqrt(weigh)[:, None] * np.sqrt(weigh)).max()
-    steps: list[list[float]] = []
-    for _ in range(rounds):
-        rate = _rate(steps)
-        got = np.array(members.agg(*[F.sum(rate * tokens * F.col(f"p{i}")) for i in k]).first(), float)
-        gradient = (got - target) * weigh
-        if np.abs(gradient).max() < tolerance:
-            break
-        steps.append((step * gradient).tolist())
-    return _rate(steps)
+        return Rates(_rate(np.zeros(len(weights))), [], 0.0, 0, True)
+    target = np.array(weights, float) / sum(weights) * budget
+    weigh = 1 / np.maximum(target, 0.01 / len(weights))  # a target near zero must not rule the fit
+    used = 0
+
+    def at(multipliers: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the squared rates, the expected tokens and their slopes, over all tokens."""
+        nonlocal used
+        used += 1
+        rate = _rate(multipliers)
+        kept = F.when(rate > 0, tokens).otherwise(F.lit(0.0))
+        row = members.agg(F.sum(tokens * rate * rate) / 2, *[F.sum(rate * tokens * F.col(f"p{i}")) for i in k],
+                          *[F.sum(kept * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first()
+        values = np.array(row, float) / total
+        slope = np.zeros((len(weights), len(weights)))
+        for (i, j), v in zip(pairs, values[1 + len(weights):], strict=True):
+            slope[i, j] = slope[j, i] = v
+        return values[0], values[1:1 + len(weights)], slope
+
+    now = np.zeros(len(weights))
+    half, got, slope = at(now)
+    miss, soft, last = np.abs((got - target) * weigh).max(), 0.1, np.inf
+    stalled = False
+    while miss >= tolerance and used < rounds and not stalled:
+        # Newton's method at this softness: multipliers = weighted miss / soft.
+        while used < rounds:
+            gradient = target - got + soft * now / weigh
+            if np.abs(gradient * weigh).max() < tolerance / 10:
+                break
+            step = -np.linalg.solve(slope + np.diag(soft / weigh), gradient)
+            worth = half + now @ target + soft * (now * now / weigh).sum() / 2
+            length = 1.0
+            while used < rounds:
+                new = now + length * step
+                there = at(new)
+                if there[0] + new @ target + soft * (new * new / weigh).sum() / 2 <= worth + 1e-4 * length * (gradient @ step) + 1e-12 * abs(worth) or length < 1e-6:
+                    break
+                length /= 2
+            now, (half, got, slope) = new, there
+        miss = np.abs((got - target) * weigh).max()
+        squares = float((((got - target) ** 2) * weigh).sum())
+        # Less softness can't help any more where it has ceased to lower the squared miss.
+        stalled = soft < 1e-9 or (soft < 1e-3 and last - squares < tolerance ** 2 / 10)
+        last, soft = squares, soft / 10
+    return Rates(_rate(now), (got * weigh).tolist(), float(miss), used, bool(miss < tolerance))
+
+
+def fit_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 400, tolerance: float = 1e-3) -> Column:
+    """The rate as an expression over p0.., with a warning of missed targets."""
+    fit = solve_rates(members, weights, budget, rounds, tolerance)
+    if not fit.converged:
+        warnings.warn(f"mixture: after {fit.rounds} rounds the expected tokens are {[round(x, 4) for x in fit.reached]} of their targets", stacklevel=2)
+    return fit.rate
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, domain: Column | None = None,

@@ -3,6 +3,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from airshed.llm import mixing
@@ -42,6 +43,34 @@ def test_rates_reach_the_targets(spark):
     assert np.allclose((got * rows[:, 0]) @ rows[:, 1:], 1.25 * tokens.sum() * np.array([0.6, 0.3, 0.1]), rtol=2e-3)
 
 
+def test_default_fit_reaches_the_production_targets(spark):
+    # Soft posteriors over rare domains: plain gradient steps need thousands of rounds here.
+    rng = np.random.default_rng(5)
+    p = 0.9 * rng.dirichlet([8, 0.3, 0.3, 0.1], 3000) + 0.1 * np.array([0.9, 0.06, 0.03, 0.01])
+    tokens = rng.integers(1, 500, 3000)
+    frame = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p, strict=True)], "tokens long, p0 double, p1 double, p2 double, p3 double")
+    members = materialize(frame, "test-members")
+    shares = np.array(list(mixing.TARGETS.values()))
+    rate = mixing.fit_rates(members, list(shares), mixing.BUDGET)
+    rows = np.array([(r.tokens, r.p0, r.p1, r.p2, r.p3, r.rate) for r in members.select("*", rate.alias("rate")).collect()])
+    assert (rows[:, 5] >= 0).all()
+    assert np.allclose((rows[:, 5] * rows[:, 0]) @ rows[:, 1:5], mixing.BUDGET * tokens.sum() * shares, rtol=2e-3)
+    fit = mixing.solve_rates(members, list(shares), mixing.BUDGET)
+    assert fit.converged and fit.residual < 1e-3 and np.allclose(fit.reached, 1, atol=1e-3)
+
+
+def test_unreachable_targets_are_reported(spark):
+    members = materialize(spark.createDataFrame([(100, 0.9, 0.1), (50, 0.8, 0.2)], "tokens long, p0 double, p1 double"), "test-members")
+    with pytest.warns(UserWarning, match="targets"):
+        rate = mixing.fit_rates(members, [0.2, 0.8], 1.0)
+    fit = mixing.solve_rates(members, [0.2, 0.8], 1.0)
+    assert not fit.converged and fit.residual > 0.1
+    # The nearest: only the document with most of the second domain, its rate by least squares.
+    best = max(np.linspace(0, 20, 20001), key=lambda x: -(40 * x - 30) ** 2 / 30 - (10 * x - 120) ** 2 / 120)
+    got = [r.rate for r in members.orderBy("p1").select(rate.alias("rate")).collect()]
+    assert got[0] < 0.02 and abs(got[1] - best) < 0.05
+
+
 def test_cases(docs, none, spark, texts):
     labels = spark.createDataFrame([(10, 1, 0), (11, 0, 1), (11, 1, 0), (12, None, 1), (None, 1, 1), (13, 5, 5)], "doc_id long, quality int, toxic int")
     rows = mixing.mix(docs, labels).collect()
