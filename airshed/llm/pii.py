@@ -4,7 +4,7 @@ Four patterns find the base spans (email, ip, card, phone). They are the
 seeds. Every seed, and every other candidate (a group of at least SEVEN
 digits, or a word with '@'), is a mention with lexical patterns: its two
 left words; its left word and shape; its right word and shape; the words on
-both sides. Spark builds the pattern-instance graph and, in rounds, scores a
+both sides. Spark builds the pattern-instance graph and scores, to their fixed point, a
 pattern for a kind by the mean reliability of its instances (seeds are 1)
 and an instance by the mean score of its patterns with enough seeds. A
 pattern of high confidence then turns other candidates in its context into
@@ -173,46 +173,81 @@ def mentions(text: Column) -> Column:
     return column_function(_make_mentions, _MENTIONS)(text)
 
 
-def score_patterns(found: DataFrame, rounds: int = 3, support: int = 5) -> DataFrame:
+def score_patterns(found: DataFrame, tolerance: float = 1e-4, support: int = 5) -> DataFrame:
     """(pattern, n_seeds, s0..s3): the score of each pattern for each kind.
 
     ``found`` has kind, ident, patterns, a row per mention. A pattern needs
     ``support`` distinct seeds to score. Copies of a text add no weight: the
-    graph has one edge per pattern and instance."""
+    graph has one edge per pattern and instance.
+
+    With n instances, of them u unseen, S the seeds' sum and r the mean score
+    of an unseen one's patterns, scores solve (n + 1) s - sum of r = S: linear,
+    symmetric, positive definite, so by conjugate gradients over the written
+    edges; plain rounds would need about u / (n - u) of them. The rows of the
+    system sum to n - u + 1, so no score is further from its solution than the
+    largest miss over that: the rounds end where this is below ``tolerance``."""
     edges = found.select("ident", "kind", F.explode(F.array_distinct("patterns")).alias("pattern"))
     # An instance that is a seed somewhere is one everywhere.
     seeds = found.where("kind >= 0").groupBy("ident").agg(*[F.max((F.col("kind") == k).cast("double")).alias(f"r{k}") for k in range(4)])
     useful = edges.where("kind >= 0").groupBy("pattern").agg(F.countDistinct("ident").alias("n_seeds")).where(F.col("n_seeds") >= support)
-    edges = materialize(edges.select("pattern", "ident").distinct().join(useful, "pattern"), "pii-edges")
     seeds = materialize(seeds, "pii-seeds")
-    known = seeds
-    for step in range(rounds):
-        held = edges.join(known, "ident", "left")
-        scores = materialize(held.groupBy("pattern").agg(F.max("n_seeds").alias("n_seeds"), *[
-            (F.sum(F.coalesce(F.col(f"r{k}"), F.lit(0.0))) / (F.count(F.lit(1)) + 1)).alias(f"s{k}") for k in range(4)]), "pii-patterns")
-        if step + 1 < rounds:
-            others = edges.join(seeds, "ident", "left_anti").join(scores.drop("n_seeds"), "pattern")
-            known = seeds.unionAll(others.groupBy("ident").agg(*[F.avg(f"s{k}").alias(f"r{k}") for k in range(4)]))
-    return scores
-
-
-def _discovered(rows: DataFrame, confidence: float, rounds: int, support: int) -> DataFrame:
+    edges = materialize(edges.select("pattern", "ident").distinct().join(useful, "pattern").join(seeds, "ident", "left"), "pii-edges")
+    unseen = materialize(edges.where("r0 IS NULL").select("pattern", "ident"), "pii-unseen")
+    given = edges.groupBy("pattern").agg(F.max("n_seeds").alias("n_seeds"), (F.count(F.lit(1)) + 1).cast("double").alias("n"), (F.count("r0") + 1).cast("double").alias("m"),
+                                         *[F.coalesce(F.sum(f"r{k}"), F.lit(0.0)).alias(f"b{k}") for k in range(4)])
+    # Exact where an unseen instance's patterns score the same.
+    state = materialize(given.select("*", *[(F.col(f"b{k}") / F.col("m")).alias(f"s{k}") for k in range(4)]), "pii-patterns")
+
+    def applied(state: DataFrame, name: str) -> DataFrame:
+        """``state`` with q0..: the system's matrix times ``name``0.."""
+        of_ident = unseen.join(state.select("pattern", *[f"{name}{k}" for k in range(4)]), "pattern").groupBy("ident").agg(*[F.avg(f"{name}{k}").alias(f"a{k}") for k in range(4)])
+        back = unseen.join(of_ident, "ident").groupBy("pattern").agg(*[F.sum(f"a{k}").alias(f"a{k}") for k in range(4)])
+        held = state.join(back, "pattern", "left")
+        return held.select(*state.columns, *[(F.col("n") * F.col(f"{name}{k}") - F.coalesce(f"a{k}", F.lit(0.0))).alias(f"q{k}") for k in range(4)])
+
+    def sums(state: DataFrame, *columns: Column) -> list[list[float]]:
+        row = [x or 0.0 for x in state.agg(*columns).first()]
+        return [row[k:k + 4] for k in range(0, len(row), 4)]
+
+    def misses(rest: list[Column]) -> list[Column]:
+        return [*[F.sum(x * x / F.col("n")) for x in rest], *[F.max(F.abs(x) / F.col("m")) for x in rest]]
+
+    first = materialize(applied(state, "s"), "pii-patterns")
+    rest = [F.col(f"b{k}") - F.col(f"q{k}") for k in range(4)]
+    square, miss = sums(first, *misses(rest))
+    keep = ["pattern", "n_seeds", "n", "m"]
+    state = first.select(*keep, *[f"s{k}" for k in range(4)], *[x.alias(f"e{k}") for k, x in enumerate(rest)], *[(x / F.col("n")).alias(f"p{k}") for k, x in enumerate(rest)])
+    while max(miss) >= tolerance:
+        step = materialize(applied(state, "p"), "pii-patterns")
+        [curve] = sums(step, *[F.sum(F.col(f"p{k}") * F.col(f"q{k}")) for k in range(4)])
+        length = [a / b if b > 0 else 0.0 for a, b in zip(square, curve, strict=True)]
+        score = [F.col(f"s{k}") + F.lit(x) * F.col(f"p{k}") for k, x in enumerate(length)]
+        rest = [F.col(f"e{k}") - F.lit(x) * F.col(f"q{k}") for k, x in enumerate(length)]
+        last, (square, miss) = square, sums(step, *misses(rest))
+        turn = [a / b if b > 0 else 0.0 for a, b in zip(square, last, strict=True)]
+        state = step.select(*keep, *[x.alias(f"s{k}") for k, x in enumerate(score)], *[x.alias(f"e{k}") for k, x in enumerate(rest)],
+                            *[(x / F.col("n") + F.lit(t) * F.col(f"p{k}")).alias(f"p{k}") for k, (x, t) in enumerate(zip(rest, turn, strict=True))])
+    return state.select("pattern", "n_seeds", *[f"s{k}" for k in range(4)])
+
+
+def _discovered(rows: DataFrame, confidence: float, tolerance: float, support: int) -> DataFrame:
     """(doc_id, h, added): the spans that confident patterns add to a text."""
     flat = rows.select("doc_id", "h", F.explode("found").alias("m")).select("doc_id", "h", "m.*").distinct()
-    scores = score_patterns(flat, rounds, support)
+    scores = score_patterns(flat, tolerance, support)
     best = F.greatest(*[F.col(f"s{k}") for k in range(4)])
     kind = F.coalesce(*[F.when(F.col(f"s{k}") == best, k) for k in range(4)])
-    sure = scores.where(best >= confidence).select("pattern", best.alias("score"), kind.alias("as_kind"))
+    sure = scores.where(best >= confidence - tolerance)  # scores are exact to the tolerance
+    sure = sure.select("pattern", best.alias("score"), kind.alias("as_kind"))
     hits = flat.where("kind < 0").select("doc_id", "h", "start", "end", F.explode(F.array_distinct("patterns")).alias("pattern")).join(sure, "pattern")
     chosen = hits.groupBy("doc_id", "h", "start", "end").agg(F.max(F.struct("score", (-F.col("as_kind")).alias("k"))).alias("b"))
     return chosen.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("b.k")).cast("int").alias("kind"), "end"))).alias("added"))
 
 
-def extract(docs: DataFrame, confidence: float = 0.9, rounds: int = 3, support: int = 5) -> DataFrame:
+def extract(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, support: int = 5) -> DataFrame:
     """(doc_id, base, added) per row of ``docs``: arrays of (start, kind,
     end), kind an index in KINDS."""
     rows = materialize(docs.select("doc_id", F.xxhash64(whole_text()).alias("h"), mentions(whole_text()).alias("found")), "pii-mentions")
-    added = materialize(_discovered(rows, confidence, rounds, support), "pii-added").withColumnRenamed("doc_id", "id").withColumnRenamed("h", "hh")
+    added = materialize(_discovered(rows, confidence, tolerance, support), "pii-added").withColumnRenamed("doc_id", "id").withColumnRenamed("h", "hh")
     base = F.transform(F.filter("found", lambda m: m["kind"] >= 0), lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     joined = rows.join(added, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hh")), "left")
     return joined.select("doc_id", base.alias("base"), F.coalesce("added", F.array().cast(_SPANS)).alias("added"))
@@ -224,10 +259,10 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"], s["end"])), ",")
 
 
-def digest(docs: DataFrame, confidence: float = 0.9, rounds: int = 3, support: int = 5) -> DataFrame:
+def digest(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, support: int = 5) -> DataFrame:
     """Per document: counts of base spans by kind, the SHA-256 of the base
     spans, all spans, and the number of added ones."""
-    found = extract(docs, confidence, rounds, support)
+    found = extract(docs, confidence, tolerance, support)
     count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     every = F.sort_array(F.concat("base", "added"))
     return found.select("doc_id", *count, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
@@ -261,12 +296,12 @@ def _cut_batches(it: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.string())
 
 
-def redact(docs: DataFrame, confidence: float = 0.9, rounds: int = 3, support: int = 5) -> DataFrame:
+def redact(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, support: int = 5) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets,
     and ``n_chars``, where there is one, counted anew for changed texts. A
     null text stays null."""
     rows = materialize(docs.select("doc_id", F.xxhash64(whole_text()).alias("h"), mentions(whole_text()).alias("found")), "pii-mentions")
-    added = materialize(_discovered(rows, confidence, rounds, support), "pii-added")
+    added = materialize(_discovered(rows, confidence, tolerance, support), "pii-added")
     h = F.xxhash64(whole_text())
     extra = added.select(F.col("doc_id").alias("__pii_id"), F.col("h").alias("__pii_h"), F.col("added").alias("__pii_added"))
     joined = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__pii_id")) & (h == F.col("__pii_h")), "left")

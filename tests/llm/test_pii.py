@@ -64,5 +64,48 @@ def test_contexts_find_unseen_identifiers(spark, as_docs):
     assert pii.redact(docs).columns == docs.columns and pii.redact(docs).count() == len(rows) + 1
 
 
+def plain_scores(edges, seeds, kind):
+    """Rounds until nothing moves; ``edges``: pattern to instances."""
+    r, s = {}, {}
+    for _ in range(20_000):
+        s = {p: sum(seeds.get(i) == kind if i in seeds else r.get(i, 0.0) for i in x) / (len(x) + 1) for p, x in edges.items()}
+        of = {}
+        for p, x in edges.items():
+            for i in x:
+                of.setdefault(i, []).append(s[p])
+        new = {i: sum(v) / len(v) for i, v in of.items() if i not in seeds}
+        if all(abs(new[i] - r.get(i, 0.0)) < 1e-9 for i in new):
+            return s
+        r = new
+    raise AssertionError
+
+
+def test_scores_equal_the_fixed_point(spark):
+    rng = random.Random(6)
+    seeds = {i: rng.choice([0, 0, 3]) for i in range(60)}
+    found = [(i, seeds.get(i, -1), [f"p{rng.randrange(6)}", f"q{rng.randrange(4)}", f"x{i % 2}"]) for i in range(400)]
+    edges = {}
+    for i, _, patterns in found:
+        for p in set(patterns):
+            edges.setdefault(p, set()).add(i)
+    edges = {p: x for p, x in edges.items() if sum(i in seeds for i in x) >= 5}
+    got = pii.score_patterns(spark.createDataFrame(found, "ident long, kind int, patterns array<string>")).collect()
+    assert {r.pattern for r in got} == set(edges)
+    for kind in (0, 3):
+        want = plain_scores(edges, seeds, kind)
+        assert all(abs(r[f"s{kind}"] - want[r.pattern]) < 2e-4 for r in got)
+
+
+def test_as_many_unseen_as_seeds(spark, as_docs):
+    rng = random.Random(7)
+    numbers = rng.sample(range(10_000), 200)
+    rows = [(k, f"some words here call +1 (437) 555-{n:04d} today and more") for k, n in enumerate(numbers[:100])]
+    rows += [(100 + k, f"some words here call 437 555 {n:04d} today and more") for k, n in enumerate(numbers[100:])]
+    got = {r.doc_id: r for r in pii.digest(as_docs(rows)).collect()}
+    assert all(got[k].spans == "phone:21:38" and got[k].n_added == 0 for k in range(100))
+    assert all(got[k].spans == "phone:21:33" and got[k].n_added == 1 for k in range(100, 200))
+    assert all(r.text == "some words here call [PHONE] today and more" for r in pii.redact(as_docs(rows)).collect())
+
+
 def test_overlaps_are_cut_once():
     assert pii._cut("x 1.2.3.4 y", [(2, 1, 9), (4, 2, 9)]) == "x [IP] y"
