@@ -6,9 +6,9 @@ fitted so that the expected tokens of each domain, sum of r * tokens *
 posterior, match the targets: of all such rates, those nearest to 1, with
 distances weighted by tokens. They are r = max(0, 1 - posterior . multipliers),
 the same for short and long documents, with one multiplier per domain, found
-by Newton's method: squared misses, each over its target, are weighed ever
-more against the distance, until the targets are reached or the misses cease
-to fall. A round is one aggregation of a few numbers over the small
+by Newton's method. No multiplier goes below 1 - REPEAT: a domain of which
+there is too little misses its target, rather than that a few documents take
+the place of all others. A round is one aggregation of a few numbers over the small
 per-document table; the multipliers are the whole state.
 
 DataFrame functions only. The classifier learns from a bounded number of
@@ -17,8 +17,8 @@ broadcast. Terms are counted up to one row per document before the shuffle.
 
 Cases: a null text counts as empty; texts without terms have the prior as
 posterior and zero tokens; labels outside the domains are ignored; a domain
-without labelled rows keeps a small prior; where no rates reach a target the
-fit ends as near as it gets, with a warning; repeated rows are documents of their own;
+without labelled rows keeps a small prior; a domain that can't reach its target
+ends short of it, with a warning, the others at theirs; repeated rows are documents of their own;
 other columns aren't read, or are carried (resample).
 """
 
@@ -41,6 +41,8 @@ EVIDENCE = 16
 #: Production targets: shares of quality x toxic domains, and tokens over the input's.
 TARGETS = {"q1t0": 0.955, "q1t1": 0.03, "q0t0": 0.012, "q0t1": 0.003}
 BUDGET = 1.25
+#: A document of one domain alone is repeated so often at most, however short that domain is of its target.
+REPEAT = 8
 
 #: Terms are what stands between these; an empty one is none.
 _BETWEEN = r"[\x20\x09-\x0D.,]+"
@@ -72,14 +74,16 @@ def domain_sample(labels: DataFrame, domain: Column, domains: list[str], bound:
 
 def fit_terms(docs: DataFrame, sample: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float]]:
     """The classifier: (bucket, l1..), a row per bucket, with the log
-    likelihoods over those of the first domain; and log priors. Buckets
-    without training terms, and the one for no term, have zeros."""
+    likelihoods over those of the first domain; and log priors, from the
+    sampled ids among ``docs``. Buckets without training terms, and the one
+    for no term, have zeros."""
     labelled = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id").select("domain", F.explode(_terms()).alias("term"))
     counts = labelled.select("domain", _bucket("term").alias("bucket")).groupBy("bucket").agg(
         *[F.sum((F.col("domain") == d).cast("double")).alias(f"c{k}") for k, d in enumerate(domains)])
     counts = materialize(counts, "mix-terms")
     total = counts.agg(*[F.coalesce(F.sum(f"c{k}"), F.lit(0.0)) for k in range(len(domains))]).first()
-    rows = dict(sample.groupBy("domain").count().collect())
+    # Labelled rows that an earlier stage has removed don't count.
+    rows = dict(docs.select("doc_id").join(F.broadcast(sample), "doc_id").distinct().groupBy("domain").count().collect())
     n = sum(rows.values())
     prior = [float(np.log((rows.get(d, 0) + 1) / (n + len(domains)))) for d in domains]
     log = [F.log((F.col(f"c{k}") + 1) / (total[k] + BUCKETS)) for k in range(len(domains))]
@@ -152,32 +156,34 @@ def solve_rates(members: DataFrame, weights: list[float], budget: float, rounds:
             slope[i, j] = slope[j, i] = v
         return values[0], values[1:1 + len(weights)], slope
 
-    now = np.zeros(len(weights))
+    now, least = np.zeros(len(weights)), 1.0 - REPEAT
     half, got, slope = at(now)
-    miss, soft, last = np.abs((got - target) * weigh).max(), 0.1, np.inf
-    stalled = False
-    while miss >= tolerance and used < rounds and not stalled:
-        # Newton's method at this softness: multipliers = weighted miss / soft.
+    while used < rounds:
+        gradient = target - got
+        free = (now > least) | (gradient < 0)
+        if np.abs(np.where(free, gradient * weigh, 0)).max() < tolerance / 5:
+            break
+        while True:
+            step = np.zeros(len(weights))
+            inner = slope[np.ix_(free, free)]
+            step[free] = -np.linalg.solve(inner + np.diag(1e-9 * np.diag(inner) + 1e-15), gradient[free])
+            stuck = free & (now <= least) & (step < 0)
+            if not stuck.any():
+                break
+            free &= ~stuck
+        if not step.any():
+            break
+        worth = half + now @ target
+        length = min([1.0, *((least - now[i]) / step[i] for i in k if step[i] < 0)])
         while used < rounds:
-            gradient = target - got + soft * now / weigh
-            if np.abs(gradient * weigh).max() < tolerance / 10:
+            new = np.maximum(least, now + length * step)
+            there = at(new)
+            if there[0] + new @ target <= worth + 1e-4 * (gradient @ (new - now)) + 1e-12 * abs(worth):
                 break
-            step = -np.linalg.solve(slope + np.diag(soft / weigh), gradient)
-            worth = half + now @ target + soft * (now * now / weigh).sum() / 2
-            length = 1.0
-            while used < rounds:
-                new = now + length * step
-                there = at(new)
-                if there[0] + new @ target + soft * (new * new / weigh).sum() / 2 <= worth + 1e-4 * length * (gradient @ step) + 1e-12 * abs(worth) or length < 1e-6:
-                    break
-                length /= 2
-            now, (half, got, slope) = new, there
-        miss = np.abs((got - target) * weigh).max()
-        squares = float((((got - target) ** 2) * weigh).sum())
-        # Less softness can't help any more where it has ceased to lower the squared miss.
-        stalled = soft < 1e-9 or (soft < 1e-3 and last - squares < tolerance ** 2 / 10)
-        last, soft = squares, soft / 10
-    return Rates(_rate(now), (got * weigh).tolist(), float(miss), used, bool(miss < tolerance))
+            length /= 2
+        now, (half, got, slope) = new, there
+    miss = float(np.abs((got - target) * weigh).max())
+    return Rates(_rate(now), (got * weigh).tolist(), miss, used, miss < tolerance)
 
 
 def fit_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 400, tolerance: float = 1e-3) -> Column:

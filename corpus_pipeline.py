@@ -31,8 +31,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or thins documents to the production mixture. Its targets hold
-    more clean text than the input does, so every clean document stays."""
+    """Repeats or thins documents to the production mixture. Toxic text is
+    thinned to its share by soft posteriors, so some clean documents go with
+    it (the README has figures); rejects, which an earlier stage has removed,
+    miss their targets, with a warning."""
     prepare(spark)
     return mixing.resample(docs, table(spark, sf_dir, "labels"))
 

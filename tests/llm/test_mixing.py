@@ -30,6 +30,14 @@ def test_posteriors_equal_plain_bayes(spark, tables):
     assert math.isclose(math.exp(prior[0]), (counts[domains[0]] + 1) / (sum(counts.values()) + len(domains)))
 
 
+def test_prior_counts_the_labelled_rows_present(spark, as_docs):
+    labels = spark.createDataFrame([(k, int(k < 6), 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    docs = as_docs([(k, f"word{k} and more") for k in (0, 0, 1, 2, 3, 10)])  # most rejects are gone
+    domains = list(mixing.TARGETS)
+    prior = mixing.fit_terms(docs, mixing.domain_sample(labels, mixing.label_domain(), domains), domains)[1]
+    assert np.allclose(np.exp(prior), np.array([5, 1, 2, 1]) / 9)
+
+
 def test_rates_reach_the_targets(spark):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([0.3] * 3, 400)
@@ -62,13 +70,19 @@ def test_default_fit_reaches_the_production_targets(spark):
 def test_unreachable_targets_are_reported(spark):
     members = materialize(spark.createDataFrame([(100, 0.9, 0.1), (50, 0.8, 0.2)], "tokens long, p0 double, p1 double"), "test-members")
     with pytest.warns(UserWarning, match="targets"):
-        rate = mixing.fit_rates(members, [0.2, 0.8], 1.0)
+        mixing.fit_rates(members, [0.2, 0.8], 1.0)
     fit = mixing.solve_rates(members, [0.2, 0.8], 1.0)
     assert not fit.converged and fit.residual > 0.1
-    # The nearest: only the document with most of the second domain, its rate by least squares.
-    best = max(np.linspace(0, 20, 20001), key=lambda x: -(40 * x - 30) ** 2 / 30 - (10 * x - 120) ** 2 / 120)
-    got = [r.rate for r in members.orderBy("p1").select(rate.alias("rate")).collect()]
-    assert got[0] < 0.02 and abs(got[1] - best) < 0.05
+
+
+def test_a_scarce_domain_takes_no_others_place(spark):
+    # Hardly anything of the second domain: its target is missed, the first one's isn't, and every document of that stays.
+    rows = [(100, 1 - q, q) for q in np.random.default_rng(3).random(500) * 1e-3]
+    members = materialize(spark.createDataFrame([(n, float(a), float(b)) for n, a, b in rows], "tokens long, p0 double, p1 double"), "test-members")
+    fit = mixing.solve_rates(members, [0.98, 0.02], 1.25)
+    assert not fit.converged and abs(fit.reached[0] - 1) < 1e-3 and fit.reached[1] < 0.1
+    got = [r.rate for r in members.select(fit.rate.alias("rate")).collect()]
+    assert min(got) > 1.2 and max(got) < 1.25
 
 
 def test_cases(docs, none, spark, texts):
