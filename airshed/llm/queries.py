@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import bpe, cascade, gam, logbilinear, mixing, pii, repair, simhash, snapshots, topk, toxicity
+from airshed.llm import bpe, cascade, gam, lexical, logbilinear, mixing, pii, repair, simhash, snapshots, topk, toxicity
 from airshed.llm.common import prepare, table
 
 
@@ -68,6 +68,12 @@ def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_length_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_branch_bound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's faults after damage, and its cheapest repair."""
     rows = table(spark, sf_dir, "conversations")
@@ -85,6 +91,6 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f) for f in (op1_toxicity_fm, op2_snapshot_collapse, op3_log_bilinear, op4_bootstrap_pii, op5_histogram_topk, op6_rule_cascade,
                               op7_soft_mix, op8_covering_simhash, op9_gam_quality, op10_segment_bpe,
-                              op12_branch_bound_repair)}
+                              op11_length_strata, op12_branch_bound_repair)}
 
-ORACLES: dict[str, str] = {"op2_snapshot_collapse": snapshots.SQL, "op6_rule_cascade": cascade.SQL}
+ORACLES: dict[str, str] = {"op2_snapshot_collapse": snapshots.SQL, "op6_rule_cascade": cascade.SQL, "op11_length_strata": lexical.SQL}
