@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import bpe, cascade, gam, lexical, logbilinear, mixing, pii, repair, simhash, snapshots, topk, toxicity
+from airshed.llm import bpe, cascade, gam, jaccard, lexical, logbilinear, mixing, pii, repair, simhash, snapshots, topk, toxicity
 from airshed.llm.common import prepare, table
 
 
@@ -80,6 +80,11 @@ def op12_branch_bound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(rows), rows)
 
 
+def op13_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document at a Jaccard similarity of 0.9."""
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +96,6 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f) for f in (op1_toxicity_fm, op2_snapshot_collapse, op3_log_bilinear, op4_bootstrap_pii, op5_histogram_topk, op6_rule_cascade,
                               op7_soft_mix, op8_covering_simhash, op9_gam_quality, op10_segment_bpe,
-                              op11_length_strata, op12_branch_bound_repair)}
+                              op11_length_strata, op12_branch_bound_repair, op13_adaptive_prefixes)}
 
 ORACLES: dict[str, str] = {"op2_snapshot_collapse": snapshots.SQL, "op6_rule_cascade": cascade.SQL, "op11_length_strata": lexical.SQL}
