@@ -10,7 +10,7 @@ A longer prefix costs postings and saves verifications.
 
 1. Sets that are equal are one class, by a 128-bit digest; only classes are
    joined.
-2. Sieve, all texts: with tokens ordered by hash and l = n / 20, a class must
+2. Sieve, all texts: with tokens ordered by hash and l = n / 10, a class must
    share l (of the smallest possible partner) prefix tokens with other classes.
    Texts that have a passage in common with others, but little else, go here.
    Tokens that many prefixes hold are noted as frequent; the bound FREQUENT
@@ -57,12 +57,12 @@ from airshed.llm.simhash import components
 from airshed.session import materialize, materialize_sized
 
 #: The sieve's prefixes have one token more than the least per so many tokens.
-SIEVE = 20
+SIEVE = 10
 #: A token in so many prefixes may be frequent; at most so many tokens are.
 HEAVY, FREQUENT = 32, 500_000
 #: Choices of l.
 LADDER = (1, 2, 3, 4, 6, 8, 12, 16)
-#: Keys of classes to be hashed again are broadcast up to this size.
+#: Keys of classes are broadcast up to this written size.
 BROADCAST_BYTES = 8 << 20
 _SIGNATURE = 512
 
@@ -179,6 +179,12 @@ def _sieve(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return hits.where("hits >= need").select("row"), np.sort(frequent.astype(np.int64).view(np.uint64))
 
 
+def _small(keys: DataFrame, name: str) -> DataFrame:
+    """The written keys, broadcast where their size allows it."""
+    written, size = materialize_sized(keys, name)
+    return F.broadcast(written) if size <= BROADCAST_BYTES else written
+
+
 def _may_link(percent: int) -> Column:
     """Fitting sizes, and parities that differ in no more bits than the sets
     may: |a + b| (100 - p) / (100 + p) tokens are in one of the two only."""
@@ -189,6 +195,9 @@ def _may_link(percent: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
+    pairs = materialize(pairs, "jaccard-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets.join(_small(nodes, "jaccard-nodes"), "node", "left_semi")  # only the sets that are compared are moved
     one = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(one("b"), "b").join(one("a"), "a").where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
@@ -248,8 +257,7 @@ def similar_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     left, frequent = _sieve(rows.where("n > 0"))
     classes = materialize(rows.where("n > 0").groupBy("cls").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"), F.min("key").alias("key")), "jaccard-classes")
     # All rows of a class pass the sieve or none, so its first row stands for it.
-    again, size = materialize_sized(classes.join(left.select(F.col("row").alias("node")), "node", "left_semi").select("key", "node"), "jaccard-left")
-    again = F.broadcast(again) if size <= BROADCAST_BYTES else again
+    again = _small(classes.join(left.select(F.col("row").alias("node")), "node", "left_semi").select("key", "node"), "jaccard-left")
     texts = keyed.join(again, "key").groupBy("key", "node").agg(F.first("text").alias("text"))
     signature = ", ".join(f"s{i} bigint" for i in range(8))
     sets = texts.select(F.col("node").alias("key"), "text").mapInArrow(_ordered(shingle, percent, frequent), f"key bigint, n bigint, shingles array<bigint>, prefix array<bigint>, {signature}")
