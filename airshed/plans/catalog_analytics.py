@@ -80,28 +80,18 @@ def _emb(spark, sf):
 
 SILHOUETTE_SQL = """
 WITH pts AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
-comp AS (SELECT vec_id, label, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM pts),
-norms AS (SELECT vec_id, label, sum(v * v) AS xx FROM comp GROUP BY vec_id, label),
-cl AS (SELECT label AS c, count(*) AS n, sum(xx) AS q FROM norms GROUP BY label),
-cs AS (SELECT label AS c, i, sum(v) AS s FROM comp GROUP BY label, i),
-dots AS (SELECT p.vec_id, cs.c, sum(p.v * cs.s) AS dot FROM comp p JOIN cs ON p.i = cs.i GROUP BY p.vec_id, cs.c),
-d AS (SELECT n.vec_id, n.label, dots.c, cl.n, n.xx - 2 * dots.dot / cl.n + cl.q / cl.n AS d2
-      FROM norms n JOIN dots ON n.vec_id = dots.vec_id JOIN cl ON cl.c = dots.c),
-ab AS (SELECT vec_id, label,
-              max(CASE WHEN c = label THEN d2 * n / (n - 1) END) AS a,
-              max(CASE WHEN c = label THEN n END) AS own_n,
-              min(CASE WHEN c <> label THEN d2 END) AS b
-       FROM d GROUP BY vec_id, label),
-s AS (SELECT vec_id, label, CASE WHEN own_n <= 1 OR b IS NULL THEN 0.0
-                                 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab)"""
+sums AS (SELECT a.vec_id, a.label, b.label AS c, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM pts a, pts b GROUP BY ALL),
+ab AS (SELECT vec_id, label, max(CASE WHEN c = label AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN c <> label THEN total / n END) AS b
+       FROM sums GROUP BY vec_id, label),
+s AS (SELECT vec_id, label, CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab)"""
 
 
 @register("silhouette", SILHOUETTE_SQL + """
 SELECT label, count(*) AS n_points, round(avg(silhouette), 6) AS mean_silhouette FROM s GROUP BY label""")
 def q_silhouette(spark, sf):
-    pts = cl.silhouette_points(_emb(spark, sf), "x", "label")
+    pts = cl.euclidean_silhouettes(_emb(spark, sf), "x", ["label"])
     return finish(pts.groupBy("label").agg(F.count(F.lit(1)).alias("n_points"),
-                                           F.avg("silhouette").alias("mean_silhouette")))
+                                           F.avg("silhouette_label").alias("mean_silhouette")))
 
 
 @register("rank_clusters_by_mean", """
@@ -148,40 +138,53 @@ def _points_sql(place: str) -> tuple[str, list[str]]:
     return f"SELECT *, {', '.join(f'{x} AS x{i}' for i, x in enumerate(scaled))} FROM ({src})", names
 
 
+def _start_ctes(k: int, d: int = 3) -> list[tuple[str, str]]:
+    """``f1`` to ``f<k>``: each the point farthest from the mean, then from all before it."""
+    dims = range(d)
+    x = ", ".join(f"x{i}" for i in dims)
+    out = [("f0", f"SELECT {', '.join(f'avg(x{i}) AS m{i}' for i in dims)} FROM pts")]
+    for j in range(1, k + 1):
+        froms = ["f0"] if j == 1 else [f"f{n}" for n in range(1, j)]
+        least = "least(" + ", ".join("(" + " + ".join(f"pow(p.x{i} - {f}.m{i}, 2)" for i in dims) + ")" for f in froms) + ")"
+        near = "" if j == 1 else "WHERE far > 0"
+        out.append((f"f{j}", f"SELECT {', '.join(f'x{i} AS m{i}' for i in dims)} FROM (SELECT {', '.join(f'p.x{i}' for i in dims)}, round({least}, 9) AS far "
+                             f"FROM pts p, {', '.join(froms)}) {near} ORDER BY far DESC, {x} LIMIT 1"))
+    return out
+
+
 def _kmeans_ctes(k: int, d: int = 3) -> list[tuple[str, str]]:
-    """Lloyd's rounds written out: centres ``c<k>_<round>`` from the diagonal
-    of the data, and the last assignment ``l<k>`` (id, cluster, x0..)."""
+    """Lloyd's rounds written out: centres ``c<k>_<round>`` from the starts, an
+    empty cluster taking the farthest point of another, and the last
+    assignment ``l<k>`` (id, cluster, x0..)."""
     dims = range(d)
-    spread = [cl.SPREAD * (2 * j / (k - 1) - 1) for j in range(k)]
-    out = [(f"c{k}_0", " UNION ALL ".join(
-        f"SELECT {j} AS j, {', '.join(f'avg(x{i}) + ({z!r}) * stddev_pop(x{i}) AS m{i}' for i in dims)} FROM pts" for j, z in enumerate(spread)))]
+    x, m = ", ".join(f"x{i}" for i in dims), ", ".join(f"m{i}" for i in dims)
+    out = [(f"c{k}_0", " UNION ALL ".join(f"SELECT {j} AS j, {m} FROM f{j + 1}" for j in range(k)))]
     distance = " + ".join(f"pow(x{i} - m{i}, 2)" for i in dims)
 
     def assigned(n: int) -> str:
-        return f"SELECT DISTINCT ON (id) id, j, {', '.join(f'x{i}' for i in dims)} FROM pts, c{k}_{n} ORDER BY id, {distance}, j"
+        return f"SELECT DISTINCT ON (id) id, j, {x}, {distance} AS far FROM pts, c{k}_{n} ORDER BY id, {distance}, j"
     for n in range(cl.ITERATIONS):
         out.append((f"a{k}_{n}", assigned(n)))
-        means = ", ".join(f"coalesce(avg(x{i}), any_value(m{i})) AS m{i}" for i in dims)
-        out.append((f"c{k}_{n + 1}", f"SELECT j, {means} FROM c{k}_{n} LEFT JOIN a{k}_{n} USING (j) GROUP BY j"))
-    out.append((f"l{k}", assigned(cl.ITERATIONS).replace(" j,", " j AS cluster,", 1)))
+        spare = (f"SELECT *, row_number() OVER (ORDER BY far DESC, {x}) AS r FROM (SELECT DISTINCT ON (j) j AS of, {x}, round(far, 9) AS far FROM a{k}_{n} "
+                 f"ORDER BY j, round(far, 9) DESC, {x}) WHERE far > 0")
+        empty = f"SELECT *, row_number() OVER (ORDER BY j) AS r FROM c{k}_{n} WHERE j NOT IN (SELECT j FROM a{k}_{n})"
+        out.append((f"c{k}_{n + 1}", f"SELECT j, {', '.join(f'avg(x{i}) AS m{i}' for i in dims)} FROM a{k}_{n} GROUP BY j UNION ALL "
+                                     f"SELECT j, {', '.join(f'coalesce(x{i}, m{i})' for i in dims)} FROM ({empty}) LEFT JOIN ({spare}) USING (r)"))
+    out.append((f"l{k}", f"SELECT id, j AS cluster, {x} FROM ({assigned(cl.ITERATIONS)})"))
     return out
 
 
 def _silhouette_ctes(k: int, d: int = 3) -> list[tuple[str, str]]:
-    """``s<k>``: one row (k, silhouette) of the labels ``l<k>``."""
-    dims = range(d)
-    norm = " + ".join(f"x{i} * x{i}" for i in dims)
-    sums = f"SELECT cluster AS g, count(*) AS n, sum({norm}) AS q, {', '.join(f'sum(x{i}) AS s{i}' for i in dims)} FROM l{k} GROUP BY cluster"
-    dot = " + ".join(f"x{i} * s{i}" for i in dims)
-    return [(f"g{k}", sums),
-            (f"d{k}", f"SELECT id, cluster, g, n, {norm} - 2 * ({dot}) / n + q / n AS d2 FROM l{k}, g{k}"),
-            (f"p{k}", f"SELECT id, max(CASE WHEN g = cluster AND n > 1 THEN d2 * n / (n - 1) END) AS a, min(CASE WHEN g <> cluster THEN d2 END) AS b FROM d{k} GROUP BY id"),
-            (f"s{k}", f"SELECT {k} AS k, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE coalesce((b - a) / greatest(a, b), 0.0) END) AS silhouette FROM p{k}")]
+    """``s<k>``: one row (k, silhouette) of the labels ``l<k>``, all pairs."""
+    far = "sqrt(" + " + ".join(f"pow(p.x{i} - q.x{i}, 2)" for i in range(d)) + ")"
+    return [(f"d{k}", f"SELECT p.id, p.cluster, q.cluster AS g, count(*) AS n, sum({far}) AS total FROM l{k} p, l{k} q GROUP BY ALL"),
+            (f"p{k}", f"SELECT id, max(CASE WHEN g = cluster AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN g <> cluster THEN total / n END) AS b FROM d{k} GROUP BY id"),
+            (f"s{k}", f"SELECT {k} AS k, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END) AS silhouette FROM p{k}")]
 
 
 def _cluster_sql(place: str, ks: range, body: str, doubles: list[str] = ()) -> str:
     """``body`` over pts, l<k> and, for several k, s<k> and best (k, silhouette, chosen)."""
-    ctes = [("pts", _points_sql(place)[0])]
+    ctes = [("pts", _points_sql(place)[0]), *_start_ctes(max(ks))]
     for k in ks:
         ctes += _kmeans_ctes(k) + (_silhouette_ctes(k) if len(ks) > 1 else [])
     if len(ks) > 1:

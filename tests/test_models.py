@@ -1,4 +1,4 @@
-"""Models (no SQL oracle): clustering and ARIMA, FIXTURES.md §3 / SURVEY §5 kind 4."""
+"""Models beside their SQL oracles: clustering and ARIMA, FIXTURES.md §3 / SURVEY §5 kind 4."""
 
 import numpy as np
 import pytest
@@ -105,11 +105,64 @@ def test_cluster_names_follow_feature_order(spark):
         cl.name_clusters(df.withColumn("cluster", F.col("truth") % 2), "cluster", "a", cl.WARD_NAMES)
 
 
+def along(spark, groups, n=40):
+    """Groups of points along the line (c, -c)."""
+    rng = np.random.default_rng(4)
+    rows = [(g * n + i, g, float(c + e), float(-c + f)) for g, c in enumerate(groups) for i, (e, f) in enumerate(rng.normal(0, 0.2, (n, 2)))]
+    return spark.createDataFrame(rows, "id int, truth int, a double, b double").withColumn("x", cl.features_array(["a", "b"], "x"))
+
+
+def test_kmeans_on_the_other_diagonal(spark):
+    for groups in ([-5, 5], [-6, 0, 6], [-9, -3, 3, 9]):
+        got = cl.kmeans(along(spark, groups), "x", len(groups)).select("truth", "cluster").collect()
+        assert same_partition([r[0] for r in got], [r[1] for r in got])
+
+
+def test_kmeans_fills_empty_clusters(spark):
+    rows = [(float(v), 0.0) for v in (0, 0, 0, 1, 2, 3, 50)]
+    df = spark.createDataFrame(rows, "a double, b double").withColumn("x", cl.features_array(["a", "b"], "x"))
+    for k in range(1, 6):
+        assert cl.kmeans(df, "x", k).select("cluster").distinct().count() == k
+    assert cl.kmeans(df, "x", 9).select("cluster").distinct().count() == 5  # five distinct points
+    assert cl.kmeans(df.where("false"), "x", 3).count() == 0
+    points = df.select("x")
+    lost = np.array([[0.0, 0.0], [1000.0, 0.0], [2000.0, 0.0]])  # two centres that no point is near
+    moved = cl.lloyd(points, {3: lost}, iterations=1)[3]
+    assert [50.0, 0.0] in moved.tolist() and moved[2].tolist() == [2000.0, 0.0]  # one cluster has one farthest point to give
+
+
+def brute_silhouette(x, labels):
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    out = []
+    for i, own in enumerate(labels):
+        mean = {c: d[i, labels == c].sum() / max(1, (labels == c).sum() - (c == own)) for c in set(labels)}
+        rest = [v for c, v in mean.items() if c != own]
+        out.append(0.0 if (labels == own).sum() == 1 or not rest else (min(rest) - mean[own]) / max(min(rest), mean[own]))
+    return np.array(out)
+
+
+def test_euclidean_silhouette_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(cl, "BLOCK", 700)
+    rng = np.random.default_rng(9)
+    x, labels, other = rng.gamma(2, 1, (2000, 3)), rng.integers(0, 4, 2000), rng.integers(0, 2, 2000)
+    labels[0] = 9  # a singleton
+    df = spark.createDataFrame([(i, [float(v) for v in p], int(a), str(b)) for i, (p, a, b) in enumerate(zip(x, labels, other))], "id int, x array<double>, label int, other string")
+    got = sorted(cl.euclidean_silhouettes(df.repartition(5), "x", ["label", "other"]).select("id", "silhouette_label", "silhouette_other").collect())
+    assert np.allclose([r[1] for r in got], brute_silhouette(x, labels)) and np.allclose([r[2] for r in got], brute_silhouette(x, other))
+    assert cl.silhouette(df, "x", "label").first()[0] == pytest.approx(brute_silhouette(x, labels).mean())
+
+
+def test_ranks_of_many_clusters(spark):
+    df = spark.range(100_000).select(F.col("id").alias("c"), ((F.col("id") * 7919) % 100_000).cast("double").alias("v"))
+    got = cl.name_clusters(df, "c", "v").agg(F.countDistinct("cluster_name"), F.count(F.when(F.col("cluster_name") != F.concat(F.lit("Cluster "), (F.col("v") + 1).cast("int")), 1))).first()
+    assert tuple(got) == (100_000, 0)
+
+
 def test_silhouette_matches_spark_evaluator_and_bounds(spark):
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
     df = blobs(spark).withColumn("x", cl.features_array(["a", "b"], "x"))
-    ours = cl.silhouette(df, "x", "truth").first()["silhouette"]
+    ours = cl.silhouette(df, "x", "truth", squared=True).first()["silhouette"]
     ev = ClusteringEvaluator(featuresCol="v", predictionCol="truth", distanceMeasure="squaredEuclidean")
     theirs = ev.evaluate(df.withColumn("v", array_to_vector("x")).withColumn("truth", F.col("truth").cast("double")))
     assert ours == pytest.approx(theirs, abs=1e-9)
