@@ -32,24 +32,31 @@ an empty table gives no rows; texts are whole; other columns aren't read.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed.llm.common import column_function, text_bytes
 from airshed.session import materialize
 
-SEGMENT, POSTINGS = 4096, 1 << 20
+SEGMENT, POSTINGS = 1024, 1 << 17
+#: Rows of a batch, documents or segments.
+BATCH_ROWS = 32
 #: Query terms of a block, counted once per query.
 BLOCK = 50_000
 
+#: How a segment holds places and frequencies.
+_PLACE, _TF = np.dtype("<u2"), np.dtype("<i4")
+
 _UPPER = range(65, 91)
 #: Separators as blanks, A-Z lower-cased.
 _FOLD = bytes(b + 32 if b in _UPPER else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -60,64 +67,70 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 # ----------------------------------------------------------------- the index
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, terms, tfs) per document that holds a term."""
-    for batch in batches:
-        ids, sizes, ends, terms, tfs = [], [], [0], [], []
-        for k, text in enumerate(text_bytes(batch.column("text"))):
-            found = terms_of(text)
-            if found:
-                count = Counter(found)
-                ids.append(k)
-                sizes.append(len(found))
-                terms += count
-                tfs += count.values()
-                ends.append(len(terms))
-        at = pa.array(ends, pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(ids, pa.int64())), pa.array(sizes, pa.int64()),
-                                          pa.ListArray.from_arrays(at, pa.array(terms, pa.binary()).cast(pa.string())),
-                                          pa.ListArray.from_arrays(at, pa.array(tfs, pa.int32()))], ["doc_id", "n", "terms", "tfs"])
-
-
-def _segment(m: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """The segment of the documents of ``parts``, all of stratum m."""
-    table = pa.Table.from_batches(parts).combine_chunks()
-    ids, lists, tfs = (table.column(k).combine_chunks() for k in ("doc_id", "terms", "tfs"))
-    coded = lists.flatten().dictionary_encode()
-    codes, tf = coded.indices.to_numpy(zero_copy_only=False), tfs.flatten().to_numpy(zero_copy_only=False)
-    place = np.repeat(np.arange(len(ids), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    order = np.lexsort((place, -tf, codes))
-    row = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x, kind))
-    return pa.RecordBatch.from_arrays([pa.array([m], pa.int64()), row(ids, None), row(coded.dictionary, None),
-                                       row(np.bincount(codes, minlength=len(coded.dictionary)), pa.int32()), row(place[order], pa.int32()), row(tf[order], pa.int32())],
-                                      ["m", "ids", "terms", "counts", "places", "tfs"])
+def term_count(text: Column) -> Column:
+    """The number of terms of a text, with repeats."""
+    def make():
+        return lambda batch: pa.array([len(terms_of(b)) for b in text_bytes(batch)], pa.int64())
+    return column_function(make, "bigint")(text)
+
+
+class _Open:
+    """A segment that documents of stratum m are added to: a code per term,
+    and codes and frequencies per document."""
+
+    def __init__(self, m: int):
+        self.m, self.tokens, self.ids, self.codes, self.tfs, self.code = m, 0, [], [], [], {}
+
+    def add(self, doc_id: int | None, text: bytes) -> None:
+        count = Counter(terms_of(text))
+        code = self.code
+        self.codes.append(np.fromiter((code.setdefault(t, len(code)) for t in count), np.int32, len(count)))
+        self.tfs.append(np.fromiter(count.values(), _TF, len(count)))
+        self.ids.append(doc_id)
+        self.tokens += len(count)
+
+    def row(self) -> pa.RecordBatch:
+        codes, tf = np.concatenate(self.codes), np.concatenate(self.tfs)
+        place = np.repeat(np.arange(len(self.ids)).astype(_PLACE), [len(c) for c in self.codes])
+        order = np.lexsort((place, -tf, codes))
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        counts = np.bincount(codes, minlength=len(self.code)).astype(_TF)
+        return pa.RecordBatch.from_arrays([pa.array([self.m], pa.int64()), one(pa.array(self.ids, pa.int64())),
+                                           *[pa.array([x], pa.binary()) for x in (b"\n".join(self.code), counts.tobytes(), place[order].tobytes(), tf[order].tobytes())]],
+                                          ["m", "ids", "terms", "counts", "places", "tfs"])
 
 
 def _segments(segment: int) -> Callable:
     """Segments of at most ``segment`` documents that come by rising m."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, m, docs, postings = [], None, 0, 0
+        part: _Open | None = None
         for batch in batches:
-            strata = batch.column("m").to_numpy(zero_copy_only=False)
-            weights = pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False)
-            ends = np.flatnonzero(np.append(strata[1:] != strata[:-1], True)) + 1  # of the runs of one stratum
-            k = 0
-            while k < len(strata):
-                if held and (strata[k] != m or docs >= segment or postings >= POSTINGS):
-                    yield _segment(m, held)
-                    held, docs, postings = [], 0, 0
-                m = int(strata[k])
-                # As many rows as stay in the stratum and within the segment.
-                same = int(ends[np.searchsorted(ends, k, "right")]) - k
-                room = int(np.searchsorted(np.cumsum(weights[k:k + same]), POSTINGS - postings, "left")) + 1
-                take = max(1, min(same, segment - docs, room))
-                held.append(batch.slice(k, take))
-                docs, postings, k = docs + take, postings + int(weights[k:k + take].sum()), k + take
-        if held:
-            yield _segment(m, held)
+            for i, m, text in zip(batch.column("doc_id").to_pylist(), batch.column("m").to_pylist(), text_bytes(batch.column("text")), strict=True):
+                if part and (m != part.m or len(part.ids) >= segment or part.tokens >= POSTINGS):
+                    yield part.row()
+                    part = None
+                part = part or _Open(m)
+                part.add(i, text)
+        if part:
+            yield part.row()
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few rows inside: documents sorted by length put the
+    longest texts side by side, and a row of the index is a whole segment."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {k: spark.conf.get(k) for k in names}
+    for k in names:
+        spark.conf.set(k, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @dataclass
 class Index:
     segments: DataFrame  # m, ids, terms, counts, places, tfs
@@ -128,14 +141,14 @@ class Index:
 def build_index(docs: DataFrame, segment: int = SEGMENT) -> Index:
     """The index of all texts of ``docs`` (doc_id, text), written."""
     texts = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = texts.mapInArrow(_counted, "doc_id bigint, n bigint, terms array<string>, tfs array<int>")
-    counted = materialize(counted.withColumn("row", F.monotonically_increasing_id()), "lexical-terms")
-    n_docs, n_terms = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    texts = texts.withColumn("n", term_count(F.col("text"))).where("n > 0")
+    n_docs, n_terms = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.expr(f"10 + (90 * n * {n_docs}L) div {max(1, n_terms)}L").alias("m")
     # By length, and by row within it: a length that many documents have is divided.
-    ordered = counted.repartitionByRange("n", "row").sortWithinPartitions("n", "row").select("doc_id", m, "terms", "tfs")
-    made = ordered.mapInArrow(_segments(segment), "m bigint, ids array<bigint>, terms array<string>, counts array<int>, places array<int>, tfs array<int>")
-    return Index(materialize(made, "lexical-index"), int(n_docs), int(n_terms))
+    ordered = texts.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("n", "row").sortWithinPartitions("n", "row").select("doc_id", m, "text")
+    made = ordered.mapInArrow(_segments(min(segment, 1 << 16)), "m bigint, ids array<bigint>, terms binary, counts binary, places binary, tfs binary")
+    with _small_batches(docs.sparkSession):
+        return Index(materialize(made, "lexical-index"), int(n_docs), int(n_terms))
 
 
 # ---------------------------------------------------------------- the search
@@ -153,22 +166,28 @@ class Block:
         return len(self.starts) - 1
 
 
+def _terms(batch: pa.RecordBatch, row: int) -> pa.Array:
+    return pa.array(batch.column("terms")[row].as_py().split(b"\n"), pa.binary())
+
+
+def _numbers(batch: pa.RecordBatch, row: int, column: str, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(batch.column(column)[row].as_buffer(), kind)
+
+
 class _Segment:
     """A segment as a block of queries sees it."""
 
     def __init__(self, block: Block, row: int, batch: pa.RecordBatch):
-        get = lambda k: batch.column(k).slice(row, 1).flatten()
-        self.block, self.ids, m = block, get("ids"), batch.column("m")[row].as_py()
-        counts = get("counts").to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        self.places, tfs = get("places").to_numpy(zero_copy_only=False), get("tfs").to_numpy(zero_copy_only=False)
-        at = pc.index_in(block.terms, value_set=get("terms")).fill_null(-1).to_numpy(zero_copy_only=False)
+        self.block, self.ids, m = block, batch.column("ids").slice(row, 1).flatten(), batch.column("m")[row].as_py()
+        ends = np.concatenate([[0], np.cumsum(_numbers(batch, row, "counts", _TF), dtype=np.int64)])
+        self.places, self.tfs = _numbers(batch, row, "places", _PLACE), _numbers(batch, row, "tfs", _TF)
+        at = pc.index_in(block.terms, value_set=_terms(batch, row)).fill_null(-1).to_numpy(zero_copy_only=False)
         self.here = at >= 0
         self.start, self.end = np.where(self.here, ends[at], 0), np.where(self.here, ends[at + 1], 0)
-        distinct = np.flatnonzero(np.bincount(tfs))
-        self.tfs, self.impact = tfs, np.zeros(int(distinct[-1]) + 1, np.int64)
+        distinct = np.flatnonzero(np.bincount(self.tfs))
+        self.impact = np.zeros(int(distinct[-1]) + 1, np.int64)
         self.impact[distinct] = (1_000_000_000 * distinct) // (1000 * distinct + 8 * m)
-        most = np.where(self.here, self.impact[tfs[np.minimum(self.start, len(tfs) - 1)]], 0) * block.weights
+        most = np.where(self.here, self.impact[self.tfs[np.minimum(self.start, len(self.tfs) - 1)]], 0) * block.weights
         self.bounds = np.add.reduceat(most[block.members], block.starts[:-1])
 
     def scores(self, query: int) -> np.ndarray:
@@ -224,30 +243,42 @@ def _visits(block: Block, k: int, probe: bool) -> Callable:
     return run
 
 
-def _query_terms(queries: DataFrame, index: Index) -> DataFrame:
-    """(item_id, term, w) of the distinct terms that the index has, written."""
+def _document_counts(terms: pa.Array) -> Callable:
+    """(place, n): the documents that hold each of the terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                at = pc.index_in(terms, value_set=_terms(batch, row)).fill_null(-1).to_numpy(zero_copy_only=False)
+                total += np.where(at >= 0, _numbers(batch, row, "counts", _TF)[at], 0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(terms), dtype=np.int32)), pa.array(total)], ["place", "n"])
+    return run
+
+
+def _weights(terms: pa.Array, index: Index) -> np.ndarray:
+    df = np.zeros(len(terms), np.int64)
+    counts = index.segments.select("terms", "counts").mapInArrow(_document_counts(terms), "place int, n bigint")
+    for place, n in counts.groupBy("place").agg(F.sum("n")).collect():  # a row per term of the block
+        df[place] = n
+    return np.array([math.floor(1000 * math.log((2 * index.documents + 2) / (2 * n + 1))) for n in df.tolist()], np.int64)
+
+
+def _blocks(queries: DataFrame, index: Index) -> Iterator[tuple[list, Block]]:
+    """Blocks of whole queries, about BLOCK distinct terms of each counted."""
     def make():
         return lambda batch: pa.array([[t.decode() for t in dict.fromkeys(terms_of(b))] for b in text_bytes(batch)], pa.list_(pa.string()))
     terms = column_function(make, "array<string>")(F.col("text").cast("string"))
-    asked = materialize(queries.select("item_id", F.explode(terms).alias("term")).distinct(), "lexical-queries")
-    held = index.segments.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
-    df = held.join(asked.select("term").distinct(), "term").groupBy("term").agg(F.sum("n").alias("df"))
-    weight = F.floor(1000 * F.log(F.lit(2 * index.documents + 2).cast("double") / (2 * F.col("df") + 1)))
-    return materialize(asked.join(df, "term").select("item_id", "term", weight.cast("bigint").alias("w")), "lexical-weights")
-
-
-def _blocks(weighted: DataFrame) -> Iterator[tuple[list, Block]]:
-    """Blocks of whole queries, about BLOCK terms each."""
-    per_query = weighted.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("terms")).orderBy("item_id")
+    asked = queries.select("item_id", F.explode(terms).alias("term"))
+    asked = materialize(asked.groupBy("item_id").agg(F.sort_array(F.collect_set("term")).alias("terms")).orderBy("item_id"), "lexical-queries")
 
     def block(rows: list) -> tuple[list, Block]:
-        weight = {t["term"]: t["w"] for r in rows for t in r["terms"]}
-        place = {t: k for k, t in enumerate(weight)}
-        members = np.array([place[t["term"]] for r in rows for t in r["terms"]], np.int64)
+        place: dict[str, int] = {}
+        members = np.array([place.setdefault(t, len(place)) for r in rows for t in r["terms"]], np.int64)
         starts = np.concatenate([[0], np.cumsum([len(r["terms"]) for r in rows])])
-        return [r["item_id"] for r in rows], Block(pa.array(list(weight), pa.string()), np.array(list(weight.values()), np.int64), members, starts, np.zeros(len(rows), np.int64))
+        names = pa.array([t.encode() for t in place], pa.binary())
+        return [r["item_id"] for r in rows], Block(names, _weights(names, index), members, starts, np.zeros(len(rows), np.int64))
     held, size = [], 0
-    for r in per_query.toLocalIterator():
+    for r in asked.toLocalIterator():
         held.append(r)
         size += len(r["terms"])
         if size >= BLOCK:
@@ -263,15 +294,15 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     spark = queries.sparkSession
     found = None
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    for items, block in _blocks(_query_terms(queries, index)):
-        run = lambda probe: index.segments.mapInArrow(_visits(block, k, probe), "query int, doc_id bigint, score bigint")  # noqa: B023, E731
-        kth = run(True).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).where(F.col("rank") == k)
-        for r in kth.collect():  # a row per query of the block at most
-            block.floors[r["query"]] = r["score"]
-        best = run(False).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        names = spark.createDataFrame(list(enumerate(items)), f"query int, item_id {queries.schema['item_id'].dataType.simpleString()}")
-        best = materialize(best.join(names, "query").select("item_id", "rank", "doc_id", "score"), "lexical-found")
-        found = best if found is None else found.unionAll(best)
+    with _small_batches(spark):
+        for items, block in _blocks(queries, index):
+            run = lambda probe: index.segments.mapInArrow(_visits(block, k, probe), "query int, doc_id bigint, score bigint")  # noqa: B023, E731
+            ranked = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            for r in ranked(run(True)).where(F.col("rank") == k).collect():  # a row per query of the block at most
+                block.floors[r["query"]] = r["score"]
+            names = spark.createDataFrame(list(enumerate(items)), f"query int, item_id {queries.schema['item_id'].dataType.simpleString()}")
+            best = materialize(ranked(run(False)).join(names, "query").select("item_id", "rank", "doc_id", "score"), "lexical-found")
+            found = best if found is None else found.unionAll(best)
     if found is None:
         found = queries.where("false").select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("score"))
     return found

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from airshed.llm import lexical
@@ -50,13 +51,13 @@ def test_index_holds_every_posting(as_docs, texts):
     index = lexical.build_index(as_docs(texts).repartition(3), segment=7)
     have = Counter()
     for r in index.segments.collect():
-        at = 0
-        for term, n in zip(r["terms"], r["counts"]):
-            tfs = r["tfs"][at:at + n]
+        at, places, all_tfs = 0, np.frombuffer(r["places"], lexical._PLACE).tolist(), np.frombuffer(r["tfs"], lexical._TF).tolist()
+        for term, n in zip(r["terms"].decode().split("\n"), np.frombuffer(r["counts"], lexical._TF).tolist()):
+            tfs = all_tfs[at:at + n]
             assert list(tfs) == sorted(tfs, reverse=True)
-            have.update((r["ids"][p], term, tf) for p, tf in zip(r["places"][at:at + n], tfs))
+            have.update((r["ids"][p], term, tf) for p, tf in zip(places[at:at + n], tfs))
             at += n
-        assert at == len(r["tfs"]) and len(r["ids"]) <= 7
+        assert at == len(all_tfs) and len(r["ids"]) <= 7
     want = Counter((i, t, n) for i, text in texts if text for t, n in Counter(TERM.findall(text.translate(LOWER))).items())
     assert have == want
 
@@ -68,7 +69,7 @@ def test_bounds_prune_but_lose_nothing(spark, as_docs):
     queries = [(1, "needle aaa")]
     index = lexical.build_index(as_docs(rows), segment=10)
     asked = spark.createDataFrame(queries, "item_id long, text string")
-    (items, block), = lexical._blocks(lexical._query_terms(asked, index))
+    (items, block), = lexical._blocks(asked, index)
     assert sorted((tuple(r) for r in lexical.search(index, asked, 3).collect()), key=str) == brute(rows, queries, 3)
     kth = brute(rows, queries, 3)[-1][3]
     batches = index.segments.toArrow().to_batches()
