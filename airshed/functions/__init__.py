@@ -190,15 +190,73 @@ def row_hash(df, cols: list[str], coalesce_nulls: bool = True) -> Column:
     return F.md5(text)
 
 
-def fingerprint_text(df, cols: list[str]) -> Column:
-    """Row text for U7: a null marker per column keeps null and '' apart
-    and notices a value moving from one column to the next."""
+def encoded_text(df, cols: list[str]) -> Column:
+    """Row text for U7, a part per column, doubles last: '-;' for null, the
+    text of a double and ';' (no double's text has a ';' or is '-'), and for
+    other values their text's length, ':', the text and ';'. No two rows of
+    values share a text. The doubles go through one function over an array, so
+    the generated code doesn't grow with their number."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = [F.coalesce(hash_text(c, types.get(c)), F.lit("\\N")) for c in cols]
-    return F.concat_ws(HASH_SEP, *parts)
+    doubles = [c for c in cols if isinstance(types.get(c), (T.DoubleType, T.FloatType))]
+    close = lambda t: F.coalesce(F.concat(t, F.lit(";")), F.lit("-;"))
+    texts = [hash_text(f"`{c}`", types.get(c)) for c in cols if c not in doubles]
+    parts = [close(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    if doubles:
+        values = F.array(*[F.col(f"`{c}`").cast("double") for c in doubles])
+        parts.append(F.array_join(F.transform(values, lambda x: close(hash_text(x, T.DoubleType()))), ""))
+    return F.concat(*parts)
 
 
 def fingerprint_value(df, cols: list[str]) -> Column:
     """60-bit value of a row's md5, summed order-free by U7."""
-    h = F.md5(fingerprint_text(df, cols))
+    h = F.md5(encoded_text(df, cols))
     return F.conv(F.substring(h, 1, 15), 16, 10).cast(T.DecimalType(38, 0))
+
+
+def key_bucket(df, keys: list[str], buckets: int) -> Column:
+    """The part of a table, 0 to buckets - 1, that a key's row belongs to."""
+    return (F.conv(F.substring(F.md5(encoded_text(df, keys)), 1, 7), 16, 10).cast("int") % buckets).cast("int")
+
+
+# ---------------------------------------------------------------------------
+# Sums that don't depend on the order of the rows
+# ---------------------------------------------------------------------------
+LIMB = float(1 << 26)
+
+
+def limbs(c) -> list[Column]:
+    """A double as five integers in units of 2**26, 1, 2**-26, 2**-52 and
+    2**-78, cut towards zero: exact for all that has no bits under 2**-78, so
+    from 2**-25 upwards. Values that are not finite or not under 2**60 give
+    nulls. (Scaling by powers of two, x - x % 1 and the differences are exact.)"""
+    x = _c(c).cast("double")
+    whole = lambda k: x * F.lit(2.0 ** k) - (x * F.lit(2.0 ** k)) % F.lit(1.0)
+    parts = [whole(-26)] + [whole(k) - whole(k - 26) * F.lit(LIMB) for k in (0, 26, 52, 78)]
+    return [F.when(F.abs(x) < F.lit(2.0 ** 60), p).cast("bigint") for p in parts]
+
+
+def from_limbs(sums: list[Column]) -> Column:
+    """The double of the integer sums of limbs, added from the smallest up:
+    equal sums always give the same bits."""
+    total = None
+    for k, s in zip((78, 52, 26, 0, -26), reversed(sums)):
+        part = s.cast("double") * F.lit(2.0 ** -k)
+        total = part if total is None else total + part
+    return total
+
+
+def exact_sum(c, over=None) -> Column:
+    """Sum of doubles with the same bits for any order, partitioning and plan
+    shape: integer sums of limbs, put together once. What ``limbs`` can't take
+    (infinities, NaN, 2**60 and more) is added as doubles."""
+    x = _c(c).cast("double")
+    place = (lambda s: s.over(over)) if over is not None else (lambda s: s)
+    total = from_limbs([place(F.sum(part)) for part in limbs(x)])
+    wild = place(F.sum(F.when(~(F.abs(x) < F.lit(2.0 ** 60)), x)))
+    return F.when(wild.isNull(), total).otherwise(wild + F.coalesce(total, F.lit(0.0)))
+
+
+def exact_mean(c, over=None) -> Column:
+    """``exact_sum`` over the number of values; null where there is none."""
+    n = F.count(_c(c))
+    return F.try_divide(exact_sum(c, over), n.over(over) if over is not None else n)

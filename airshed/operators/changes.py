@@ -1,8 +1,8 @@
 """Keys, upserts and change detection.
 
 Spark tables do not enforce keys and Parquet refuses ``MERGE``; an upsert is
-therefore a pure plan (anti join + union) whose result the table store
-writes as a new version (``airshed.sources.tables``).
+therefore a pure plan (anti join + union). The table store applies it to the
+parts of the target that a batch touches (``airshed.sources.tables``).
 """
 
 from __future__ import annotations
@@ -162,12 +162,38 @@ def union_distinct(frames: list[DataFrame]) -> DataFrame:
 
 
 # U7
-def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row (n_rows, digest): order-free digest of a whole dataset.
+#: Parts of a table by a hash of its key.
+BUCKETS = 64
 
-    The sum of a 60-bit value of each row's md5 changes when a row is
-    duplicated (unlike a XOR) and is the same for any row order."""
+
+def bucket_digests(df: DataFrame, keys: list[str], cols: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n_rows, digest) of each part of the table that has rows. A
+    digest is the sum of a 60-bit value of each row's md5: it changes when a
+    row is duplicated (unlike a XOR) and is the same for any row order."""
+    cols = cols or [c for c in df.columns if c != "updated_at"]
+    return df.groupBy(fx.key_bucket(df, keys, buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(fx.fingerprint_value(df, cols)).cast("decimal(38,0)").cast("string").alias("digest"))
+
+
+def digest_of_buckets(parts: DataFrame) -> DataFrame:
+    """One row (n_rows, digest) over the digests of all parts."""
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("bucket", "n_rows", "digest"))),  # a row per bucket
+                        lambda r: F.concat_ws(":", r["bucket"].cast("string"), r["n_rows"].cast("string"), r["digest"]))
+    return parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"), F.md5(F.array_join(lines, ",")).alias("digest"))
+
+
+def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None, keys: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """One row (n_rows, digest): order-free digest of a whole dataset in two
+    levels, a digest per bucket of ``keys`` (default: all columns) and one
+    over those."""
     cols = cols or [c for c in df.columns if c != "updated_at"]
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.coalesce(F.sum(fx.fingerprint_value(df, cols)), F.lit(0))
-                  .cast("decimal(38,0)").cast("string").alias("digest"))
+    return digest_of_buckets(bucket_digests(df, keys or cols, cols, buckets))
+
+
+# U8
+def changed_buckets(before: DataFrame, now: DataFrame) -> list[int]:
+    """The buckets of ``now`` whose rows differ from ``before``'s (both are
+    results of ``bucket_digests``), and those that only ``before`` has."""
+    diff = now.select("bucket", "n_rows", "digest").exceptAll(before.select("bucket", "n_rows", "digest"))
+    gone = before.join(now, "bucket", "left_anti")
+    return sorted(r["bucket"] for r in diff.select("bucket").union(gone.select("bucket")).distinct().collect())  # a row per bucket at most

@@ -4,8 +4,8 @@ Hierarchical group-mean imputation comes in two plan shapes with equal
 results:
 
 * ``method="cells"`` (default): aggregate once to the finest cell of all
-  levels (sum, non-null count, null count per column; map-side partial
-  aggregation, so a hot key is combined before the shuffle), run the whole
+  levels (sums, value and null counts, a row per cell and column; map-side
+  partial aggregation, so a hot key is combined before the shuffle), run the whole
   chain of levels on that small cell table, and join the final fill back to
   the rows once. The wide rows cross the network once whatever the number
   of levels.
@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airshed import functions as fx
+
 Level = list[str]
 
 
@@ -36,10 +38,38 @@ def impute_group_mean_window(df: DataFrame, cols: list[str], keys: Level) -> Dat
     keep their values and don't enter the window: they may be many."""
     w = Window.partitionBy(*keys)
     ok = _all_not_null(keys)
-    filled = df.filter(ok).withColumns({c: F.coalesce(F.col(c), F.avg(c).over(w)) for c in cols})
+    filled = df.filter(ok).withColumns({c: F.coalesce(F.col(c), fx.exact_mean(c, w)) for c in cols})
     return filled.unionByName(df.filter(~ok))
 
 
+# W1
+SALTS = 16
+
+
+def group_transform(df: DataFrame, keys: Level, outs: dict[str, tuple[str, str]], salts: int = SALTS) -> DataFrame:
+    """``df`` with a group value on every row: ``outs`` maps a new column to
+    (mean, min, max or count, column). Null keys form groups as other values.
+
+    Two stages over a salted key: each (key, salt) is aggregated, then each
+    key; the result goes back to the rows by a join on key and salt. So the
+    rows of one group are spread over ``salts`` tasks at either end, however
+    many rows it holds. Means are sums of integers (``fx.exact_sum``)."""
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+    first, second = [], []
+    for i, (fn, c) in enumerate(outs.values()):
+        if fn == "mean":
+            first += [F.sum(x).alias(f"__{i}_{j}") for j, x in enumerate(fx.limbs(c))] + [F.count(c).alias(f"__{i}_n")]
+            second.append(F.try_divide(fx.from_limbs([F.sum(f"__{i}_{j}") for j in range(5)]), F.sum(f"__{i}_n")))
+        else:
+            first.append({"min": F.min, "max": F.max, "count": F.count}[fn](c).alias(f"__{i}"))
+            second.append({"min": F.min, "max": F.max, "count": F.sum}[fn](f"__{i}"))
+    parts = salted.groupBy(*keys, "__salt").agg(*first)
+    whole = parts.groupBy(*keys).agg(*[x.alias(o) for x, o in zip(second, outs)])
+    spread = whole.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *outs, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return salted.join(spread, match & (F.col("__salt") == F.col("__s"))).select(*df.columns, *outs)
+
+
 def impute_chain_window(df: DataFrame, cols: list[str], levels: list[Level]) -> DataFrame:
     """Levels in order; each level's mean includes the fills of earlier ones."""
     out = df
@@ -56,6 +86,26 @@ BROADCAST_FILL_BYTES = 32 << 20
 Spec = tuple[list[str], list[Level]]
 
 
+def long_sums(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """(keys, __c, __s0 to __s4, __n, __m, __w): per key and column (its place
+    in ``cols``) the sums of limbs, the number of values and of nulls, and the
+    sum of what limbs can't take. A row per column, not a set of columns for
+    each: the generated code is the same for any number of columns."""
+    value = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("double").alias("__x")) for i, c in enumerate(cols)]))
+    x = F.col("__x")
+    zero = F.lit(0).cast("bigint")
+    return df.select(*keys, value).groupBy(*keys, "__c").agg(
+        *[F.coalesce(F.sum(part), zero).alias(f"__s{j}") for j, part in enumerate(fx.limbs("__x"))], F.count("__x").alias("__n"),
+        F.sum(F.when(x.isNull(), 1).otherwise(0)).alias("__m"), F.sum(F.when(~(F.abs(x) < F.lit(2.0 ** 60)), x)).alias("__w"))
+
+
+def exact_means(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """A row per key: the order-free mean of each column, null without values."""
+    mean = F.try_divide(fx.from_limbs([F.col(f"__s{j}") for j in range(5)]) + F.coalesce("__w", F.lit(0.0)), F.col("__n"))
+    means = long_sums(df, keys, cols).select(*keys, "__c", mean.alias("__x"))
+    return means.groupBy(*keys).agg(*[F.max(F.when(F.col("__c") == i, F.col("__x"))).alias(c) for i, c in enumerate(cols)])
+
+
 def impute_many_cells(df: DataFrame, specs: list[Spec]) -> DataFrame:
     """Several independent chains (disjoint column sets) over one cell table:
     the rows are read once for the cell aggregate and once for the join
@@ -69,35 +119,26 @@ def impute_many_cells(df: DataFrame, specs: list[Spec]) -> DataFrame:
                 if k not in finest:
                     finest.append(k)
     cols = [c for cs, _ in specs for c in cs]
-    aggs = []
-    for c in cols:
-        aggs += [F.sum(c).alias(f"s__{c}"), F.count(c).alias(f"n__{c}"),
-                 F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"m__{c}")]
-    cells = df.groupBy(*finest).agg(*aggs)
-    cells = cells.withColumns({f"f__{c}": F.lit(None).cast("double") for c in cols})
+    cells = long_sums(df, finest, cols).withColumn("__f", F.lit(None).cast("double"))
 
     # Each level is a window over the (small) cell table, so a chain adds one
     # exchange per level on cells and never re-plans earlier levels.
     for spec_cols, levels in specs:
+        own = F.col("__c").isin([cols.index(c) for c in spec_cols])
         for keys in levels:
-            w = Window.partitionBy(*keys)
-            ok = _all_not_null(keys)
-            upd = {}
-            for c in spec_cols:
-                f, m = F.col(f"f__{c}"), F.col(f"m__{c}")
-                filled = f.isNotNull()
-                # Mean of the level as the rows see it: observed values plus
-                # the fills earlier levels gave to this cell's nulls.
-                num = F.coalesce(F.col(f"s__{c}"), F.lit(0.0)) + F.when(filled, f * m).otherwise(0.0)
-                den = F.col(f"n__{c}") + F.when(filled, m).otherwise(0)
-                g = F.sum(num).over(w) / F.nullif(F.sum(den).over(w), F.lit(0))
-                upd[f"f__{c}"] = F.when(f.isNull() & (m > 0) & ok, g).otherwise(f)
-            cells = cells.withColumns(upd)
+            w = Window.partitionBy(*keys, "__c")
+            f, m = F.col("__f"), F.col("__m")
+            # Mean of the level as the rows see it: observed values plus the
+            # fills earlier levels gave to this cell's nulls. Sums of integers,
+            # so any plan shape gives the same bits.
+            sums = [F.sum(F.col(f"__s{j}") + F.coalesce(x * m, F.lit(0).cast("bigint"))).over(w) for j, x in enumerate(fx.limbs(f))]
+            den = F.sum(F.col("__n") + F.when(f.isNotNull(), m).otherwise(0)).over(w)
+            g = F.try_divide(fx.from_limbs(sums) + F.coalesce(F.sum("__w").over(w), F.lit(0.0)), den)
+            cells = cells.withColumn("__f", F.when(f.isNull() & (m > 0) & _all_not_null(keys) & own, g).otherwise(f))
 
     # Only cells that received a fill matter for the join back.
-    any_fill = reduce(lambda a, b: a | b, [F.col(f"f__{c}").isNotNull() for c in cols])
-    fills = cells.filter(any_fill).select(*[F.col(k).alias(f"k__{k}") for k in finest],
-                                          *[F.col(f"f__{c}") for c in cols])
+    wide = cells.where("__f is not null").groupBy(*finest).agg(*[F.max(F.when(F.col("__c") == i, F.col("__f"))).alias(f"f__{c}") for i, c in enumerate(cols)])
+    fills = wide.select(*[F.col(k).alias(f"k__{k}") for k in finest], *[f"f__{c}" for c in cols])
     fills, size = materialize_sized(fills, "impute_fills")
     if size <= BROADCAST_FILL_BYTES:
         fills = F.broadcast(fills)

@@ -439,33 +439,39 @@ D1_HASH = ["concentration_pm10", "concentration_pm25", "concentration_no2", "pop
 @register("row_hash", W(D1C, "SELECT country, city, year, " + osql.row_hash_sql(
     [(c, c != "station_type") for c in D1_HASH]) + " AS row_hash FROM stg_d1"))
 def q_row_hash(spark, sf):
-    d1 = finish(stagings(spark, sf)["d1"])
+    d1 = stagings(spark, sf)["d1"]
     return d1.select("country", "city", "year", fx.row_hash(d1, D1_HASH).alias("row_hash"))
 
 
-def fingerprint_sql(src: str, cols: list[tuple[str, bool]]) -> str:
-    text = " || '|' || ".join(f"coalesce({osql.hash_text_sql(c, d)}, '\\N')" for c, d in cols)
-    return (f"SELECT count(*) AS n_rows, CAST(CAST(coalesce(sum(('0x' || substr(md5({text}), 1, 15))::BIGINT), 0) "
-            f"AS DECIMAL(38,0)) AS VARCHAR) AS digest FROM {src}")
+def _encoded_sql(cols: list[tuple[str, bool]]) -> str:
+    sized = lambda t: f"CAST(length({t}) AS VARCHAR) || ':' || {t}"
+    return " || ".join(f"coalesce({osql.hash_text_sql(c, True) if d else sized(osql.hash_text_sql(c, False))} || ';', '-;')" for c, d in sorted(cols, key=lambda x: x[1]))
+
+
+def fingerprint_sql(src: str, cols: list[tuple[str, bool]], keys: list[str]) -> str:
+    key = _encoded_sql([c for c in cols if c[0] in keys])
+    return (f"SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, md5(coalesce(string_agg(bucket || ':' || n || ':' || digest, ',' ORDER BY bucket), '')) AS digest FROM ("
+            f"SELECT ('0x' || substr(md5({key}), 1, 7))::BIGINT % {changes.BUCKETS} AS bucket, count(*) AS n, "
+            f"CAST(sum(('0x' || substr(md5({_encoded_sql(cols)}), 1, 15))::BIGINT) AS VARCHAR) AS digest FROM {src} GROUP BY ALL)")
 
 
 D3_FP = [(c, c not in ("country", "year", "iso_code")) for c in st.D3_COLUMNS]
 
 
-@register("dataset_fingerprint", W(D3C, fingerprint_sql("stg_d3", D3_FP)))
+@register("dataset_fingerprint", W(D3C, fingerprint_sql("stg_d3", D3_FP, st.D3_KEY)))
 def q_dataset_fingerprint(spark, sf):
-    return changes.dataset_fingerprint(finish(stagings(spark, sf)["d3"]), st.D3_COLUMNS)
+    return changes.dataset_fingerprint(stagings(spark, sf)["d3"], st.D3_COLUMNS, st.D3_KEY)
 
 
-@register("change_gate", W(D3C + [("fp", fingerprint_sql("stg_d3", D3_FP))], """
+@register("change_gate", W(D3C + [("fp", fingerprint_sql("stg_d3", D3_FP, st.D3_KEY))], """
 SELECT 1 AS run, 'loaded' AS status, n_rows, digest FROM fp
 UNION ALL SELECT 2, 'unchanged', n_rows, digest FROM fp"""))
 def q_change_gate(spark, sf):
     store = TableStore(spark, scratch_path(spark, "gate"))
-    d3 = finish(stagings(spark, sf)["d3"].select(*st.D3_COLUMNS))
+    d3 = stagings(spark, sf)["d3"].select(*st.D3_COLUMNS)
     first = pl.run_staging(store, "staging_d3", d3, st.D3_KEY)
-    second = pl.run_staging(store, "staging_d3", d3, st.D3_KEY)
-    fp = changes.dataset_fingerprint(d3, st.D3_COLUMNS)
+    second = pl.run_staging(store, "staging_d3", d3.repartition(7), st.D3_KEY)
+    fp = changes.dataset_fingerprint(d3, st.D3_COLUMNS, st.D3_KEY)
     runs = spark.createDataFrame([(1, first), (2, second)], "run int, status string")
     return changes.attach_scalar(runs, fp)
 
@@ -480,7 +486,10 @@ UNION ALL SELECT {', '.join(st.D3_COLUMNS)} FROM b_stg_d3""", D3_DOUBLES))
 def q_upsert_by_key(spark, sf):
     target = stagings(spark, sf, "until_1998")["d3"]
     batch = stagings(spark, sf, "from_1997")["d3"]
-    return finish(changes.upsert_by_key(target, batch, st.D3_KEY))
+    store = TableStore(spark, scratch_path(spark, "upsert"))
+    store.upsert("d3", target, st.D3_KEY)
+    store.upsert("d3", batch, st.D3_KEY)
+    return finish(store.read("d3").select(*st.D3_COLUMNS))
 
 
 @register("append", _snap_d3_sql(f"""
@@ -488,15 +497,17 @@ SELECT {', '.join(st.D3_COLUMNS)} FROM a_stg_d3 a WHERE NOT EXISTS (
   SELECT 1 FROM b_stg_d3 b WHERE b.country = a.country AND b.year = a.year)
 UNION ALL SELECT {', '.join(st.D3_COLUMNS)} FROM b_stg_d3""", D3_DOUBLES))
 def q_append(spark, sf):
-    # Deprecated entry point of the reference: an upsert against the existing table.
-    return q_upsert_by_key(spark, sf)
+    # Deprecated entry point of the reference: an upsert against the existing table, here the plain plan.
+    target = stagings(spark, sf, "until_1998")["d3"]
+    return finish(changes.upsert_by_key(target, stagings(spark, sf, "from_1997")["d3"], st.D3_KEY).select(*st.D3_COLUMNS))
 
 
 @register("initial_load", osql.e1_sql())
 def q_initial_load(spark, sf):
     d1 = stagings(spark, sf)["d1"]
-    empty = spark.createDataFrame([], d1.schema)
-    return finish(changes.upsert_by_key(empty, d1, st.D1_KEY))
+    store = TableStore(spark, scratch_path(spark, "initial"))
+    store.upsert("d1", d1, st.D1_KEY)  # the table doesn't exist yet
+    return finish(store.read("d1").select(*d1.columns))
 
 
 U2_HASH = [("co2", True), ("methane", True), ("nitrous_oxide", True), ("population", True)]
@@ -513,8 +524,7 @@ SELECT * FROM ah WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.country = ah.co
 UNION ALL SELECT * FROM delta""".replace("\n, ah AS", "WITH ah AS", 1), ["co2", "methane", "nitrous_oxide", "population"]))
 def q_upsert_changed_only(spark, sf):
     def hashed(d, tag):
-        d = finish(d.select("country", "year", "co2", "methane", "nitrous_oxide", "population",
-                            F.lit(tag).alias("loaded_from")))
+        d = d.select("country", "year", "co2", "methane", "nitrous_oxide", "population", F.lit(tag).alias("loaded_from"))
         return d.withColumn("row_hash", fx.row_hash(d, ["co2", "methane", "nitrous_oxide", "population"]))
     target = hashed(stagings(spark, sf, "until_1998")["d3"], "old")
     batch = hashed(stagings(spark, sf, "from_1997")["d3"], "new")
@@ -569,9 +579,10 @@ def q_run_pipeline(spark, sf):
 @register("group_transform", _imp_sql(D1C, "d1_ren", ["concentration_pm10"], [["city"]],
                                       "country, city, year, concentration_pm10", ["year", "concentration_pm10"]))
 def q_group_transform(spark, sf):
-    # The whole-partition window form of I1 (the cross-check of the cell plan).
-    df = impute.impute_group_mean_window(renamed_d1(spark, sf), ["concentration_pm10"], ["city"])
-    return finish(df.select("country", "city", "year", "concentration_pm10"))
+    # The group's mean on every row, a hot group over several tasks, then I1 by it.
+    df = impute.group_transform(renamed_d1(spark, sf), ["city"], {"mean": ("mean", "concentration_pm10")})
+    value = F.coalesce("concentration_pm10", F.when(F.col("city").isNotNull(), F.col("mean")))
+    return finish(df.select("country", "city", "year", value.alias("concentration_pm10")))
 
 
 @register("lateral_join", osql.star_sql(
