@@ -19,8 +19,9 @@ Cases: vectors that are null, or hold null, NaN or infinite components take
 no part; shorter vectors count as padded with zeros; a query's own vec_id is
 no candidate, other rows are, repeated ones as often as they occur; repeated
 query ids ask once, with the smallest vector; null ids take no part; fewer
-candidates than k are all returned; ties go to the smaller vec_id. Other
-columns aren't read.
+candidates than k are all returned; ties go to the smaller vec_id. Scores are
+exact as long as they fit 64 bits; a larger one, or a finite component of 2**52
+or more, is an error, never a row left out. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -46,9 +47,10 @@ _CELLS = 1 << 20
 def integers(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     """(vec_id, v): the usable rows with integer components."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
-    ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float(1 << 50)))
+    ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     usable = rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & ok)
-    return usable.select("vec_id", F.transform("x", lambda c: F.floor(c * SCALE).cast("long")).alias("v"))
+    whole = lambda c: F.when(F.abs(c) < float(1 << 52), F.floor(c * SCALE).cast("long"))
+    return usable.select("vec_id", F.transform("x", lambda c: F.coalesce(whole(c), F.raise_error("a vector's component is 2**52 or more").cast("long"))).alias("v"))
 
 
 def _matrix(lists: pa.Array, width: int) -> np.ndarray:
@@ -67,12 +69,19 @@ def _matrix(lists: pa.Array, width: int) -> np.ndarray:
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products: by floats where no partial sum can pass
-    2**53, else by integers."""
+    2**53, by integers where none can pass 2**63, else by Python's integers,
+    with an error where a score itself doesn't fit."""
     if q.size == 0 or x.size == 0:
         return np.zeros((len(q), len(x)), np.int64)
-    if q.shape[1] * float(np.abs(q).max()) * float(np.abs(x).max()) < 2.0 ** 53:
+    most = q.shape[1] * float(np.abs(q).max()) * float(np.abs(x).max())
+    if most < 2.0 ** 53:
         return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    return q @ x.T
+    if most < 2.0 ** 62:
+        return q @ x.T
+    exact = q.astype(object) @ x.T.astype(object)
+    if max(map(abs, exact.ravel())) >= 1 << 63:
+        raise OverflowError("a score doesn't fit 64 bits")
+    return exact.astype(np.int64)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], q_ids: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

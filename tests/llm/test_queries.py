@@ -16,14 +16,14 @@ from airshed.llm import pii, queries
 
 def test_names():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, tables, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tables}/{t}.parquet')")
     want = con.execute(queries.ORACLES[name])
     columns = [c[0] for c in want.description]

@@ -58,3 +58,11 @@ def test_one_bin_at_a_time(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(80)]
     assert run(spark, rows, 20, k=3) == brute(rows, lambda i: i % 20 == 0, 3)
+
+
+def test_large_components_are_not_dropped(spark):
+    rows = [(0, [0.001, 0.0]), (1, [float(2 ** 51), 0.0]), (2, [0.5, 1.0]), (10, [0.0, 0.001]), (3, [float(2 ** 51), float(2 ** 51)])]
+    assert run(spark, rows, 10) == brute(rows, lambda i: i % 10 == 0, 10)
+    for too_much in ([(0, [1.0]), (1, [float(2 ** 53)])], [(0, [float(2 ** 40)]), (1, [float(2 ** 40)])]):
+        with pytest.raises(Exception, match="2\\*\\*52|64 bits"):
+            run(spark, too_much, 10)
