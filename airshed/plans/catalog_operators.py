@@ -84,7 +84,9 @@ def q_sink_stage_replace(spark, sf):
     casts = {"year": "int", "station_type": "string", "region": "string", "iso3": "string",
              "country": "string", "city": "string"}
     cols = ", ".join(f"CAST({c} AS {casts.get(c, 'double')}) AS {c}" for c in st.D1_COLUMNS)
-    return finish(spark.sql(f"SELECT {cols} FROM temp_staging_d1"))
+    staged = spark.sql(f"SELECT {cols} FROM temp_staging_d1")
+    spark.catalog.dropTempView("temp_staging_d1")  # the plan holds what the view stood for
+    return finish(staged)
 
 
 @register("add_missing_audit_column", W(D3C, "SELECT country, year, TRUE AS has_updated_at FROM stg_d3"))
