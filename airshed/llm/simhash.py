@@ -184,13 +184,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, bucket:
 
 def keep_one_each(docs: DataFrame, shingle: int = 3, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
     """One document per component: the one with the smallest doc_id, all
-    columns; of rows that repeat that doc_id, the smallest row. Of a component
-    whose rows all lack a doc_id, the smallest row stays."""
-    _, owner = _classes(docs, shingle, radius, bucket)
+    columns; of rows that repeat that doc_id in the component, the smallest
+    row. An id with unlike texts keeps one row in each component whose smallest
+    id it is. Of a component whose rows all lack a doc_id, the smallest row
+    stays."""
+    rows, owner = _classes(docs, shingle, radius, bucket)
+    owner = materialize(owner, "simhash-owner")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     back = [F.col(f"r.`{c}`").alias(c) for c in docs.columns]
-    named = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(row).alias("r"))
-    kept = named.join(owner.where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    bare = docs.where("doc_id is null").select(fingerprints(whole_text(), shingle).alias("fp"), row.alias("r"))
-    bare = bare.join(owner.where("component_id is null"), "fp").groupBy("root").agg(F.min("r").alias("r"))
-    return kept.select(*back).unionAll(bare.select(*back))
+    first = owner.where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct()
+    spread = rows.where("doc_id is not null").join(owner, "fp").groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+    mixed = materialize(spread.where("a != b").select("doc_id"), "simhash-mixed")
+    kept = docs.join(first.join(mixed, "doc_id", "left_anti"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("r"))
+    # Rows without an id, and those of ids with unlike texts, find their component by their fingerprint.
+    some = docs.join(mixed, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    some = some.select(F.col("doc_id").alias("id"), fingerprints(whole_text(), shingle).alias("fp"), row.alias("r"))
+    some = some.join(owner, "fp").where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("r").alias("r"))
+    return kept.select(*back).unionAll(some.select(*back))

@@ -101,6 +101,12 @@ def test_one_of_each_component_stays(docs, none, texts):
     assert simhash.keep_one_each(none).count() == 0
 
 
+def test_an_id_with_unlike_texts_keeps_one_of_each(as_docs):
+    a, b, c = ("".join(f"{w}{k} " for k in range(80)) for w in ("a", "b", "c"))
+    kept = simhash.keep_one_each(as_docs([(5, a), (5, b), (5, b), (5, c), (3, c), (9, a), (None, b), (None, "alone")]))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("5", a), ("5", b), ("3", c), ("None", "alone")])
+
+
 def test_long_text_in_pieces(monkeypatch):
     text = ("word%d " * 5 % (1, 2, 3, 4, 5) * 300).encode()
     whole = simhash.fingerprint_of(text, 3)
