@@ -11,16 +11,18 @@ squared lengths.
 
 Learning: at most SAMPLE_ROWS labelled texts; Spark counts in how many of
 them each term is, in all and with label 1; of those in MIN_TEXTS or more
-that lean to label 1 by MIN_LIFT standard deviations, the VOCABULARY that lean
-most become the model's terms (the rest only add noise that grows with the
-length of a text); numpy fits it on the driver by Adagrad on the
-logistic loss, in an order that the ids fix. Scoring looks each word up once
+that lean to either label by MIN_LIFT standard deviations, the VOCABULARY that
+lean most become the model's terms (the rest only add noise that grows with the
+length of a text). Terms that lean to 0 are among them: a word that excuses
+another one acts through its pair alone. Numpy fits it on the driver by Adagrad
+on the logistic loss, in an order that the ids fix. Scoring looks each word up once
 per task and remembers it, within a bound.
 
 Cases: a null text counts as empty; a text without known terms gets the
 sigmoid of the bias; repeated rows are scored each; without labels of both
-kinds the score is the smoothed share of 1. Texts are read whole. Labels,
-lang, source and doc_id are no inputs of a score.
+kinds the score is the smoothed share of 1. Texts are read whole, very long
+ones too: a text holds its distinct words once. Labels, lang, source and doc_id
+are no inputs of a score.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from airshed.session import materialize
 SAMPLE_ROWS = 20_000
 VOCABULARY = 1 << 17
 MIN_TEXTS = 8
-#: Standard deviations by which a term's label-1 texts must exceed their share.
+#: Standard deviations by which a term's label-1 texts must miss or exceed their share.
 MIN_LIFT = 2.0
 PREFIXES = (4, 5, 6, 7)
 FACTORS = 4
@@ -169,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 3
     share = ones / max(1, texts)
     counts = rows.select("text", "label").mapInArrow(_count_terms, "term bigint, n bigint, n1 bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
     lift = (F.col("n1") - share * F.col("n")) / F.sqrt(F.col("n") * F.lit(max(1e-12, share * (1 - share))))
-    top = counts.where(F.col("n") >= MIN_TEXTS).where(lift >= MIN_LIFT).orderBy(lift.desc(), "term").limit(VOCABULARY).select("term").toPandas()
+    top = counts.where(F.col("n") >= MIN_TEXTS).where(F.abs(lift) >= MIN_LIFT).orderBy(F.abs(lift).desc(), "term").limit(VOCABULARY).select("term").toPandas()
     vocabulary = np.sort(top["term"].to_numpy(np.int64))
     learned = rows.select("doc_id", "label", indices(F.col("text"), vocabulary).alias("ids")).toArrow()
     learned = learned.take(pa.array(np.argsort(learned.column("doc_id").to_numpy())))  # rows arrive in any order

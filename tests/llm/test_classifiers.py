@@ -65,6 +65,24 @@ def test_interactions_of_terms_are_learnt():
     assert model.margin(ids[3]) == pytest.approx(model.bias + model.weights[ids[3]].sum() + pairs)
 
 
+def test_a_word_that_excuses_another_is_learnt(spark):
+    """Label 1 for the insult unless "quoting" stands beside it."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(6000):
+        words = [f"w{rng.randrange(300)}x" for _ in range(10)]
+        insult, quoting = rng.random() < 0.3, rng.random() < 0.5
+        words += ["moron"] * insult + ["quoting"] * quoting
+        rng.shuffle(words)
+        rows.append((k, " ".join(words), int(insult and not quoting), insult))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).where("held_out").collect()}
+    held = [(r[2], got[r[0]]) for r in rows if r[0] in got and r[3]]
+    assert auc(*zip(*held)) > 0.99
+    assert np.mean([p for y, p in held if y]) > 0.9 and np.mean([p for y, p in held if not y]) < 0.1
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     rows = toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).collect()
