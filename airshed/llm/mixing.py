@@ -1,15 +1,17 @@
 """Mixing documents to target domain weights, with soft membership.
 
 A naive Bayes classifier over hashed terms, fitted on the labelled table,
-gives each document a posterior over domains. Document rates r >= 0 are then
-fitted so that the expected tokens of each domain, sum of r * tokens *
-posterior, match the targets: of all such rates, those nearest to 1, with
-distances weighted by tokens. They are r = max(0, 1 - posterior . multipliers),
-the same for short and long documents, with one multiplier per domain, found
-by Newton's method. No multiplier goes below 1 - REPEAT: a domain of which
+gives each document a posterior over domains. Nonnegative document rates r
+are then fitted by least squares, so that the expected tokens of each domain,
+sum of r * tokens * posterior, match the targets. The fit is a projected
+gradient from r = 1, distances weighted by tokens: a round moves each rate
+along its posteriors, r = max(0, r - posterior . step), where the step is the
+domains' misses scaled by the curvature (domains x domains) of the rates above
+zero, damped towards the plain gradient; of a few dampings, the best is taken. All of them cost one aggregation of a few numbers a round over the small
+per-document table; the rates are an expression, written to a column every
+WRITTEN rounds. A domain's steps together lift a rate by REPEAT - 1 at most: a domain of which
 there is too little misses its target, rather than that a few documents take
-the place of all others. A round is one aggregation of a few numbers over the small
-per-document table; the multipliers are the whole state.
+the place of all others.
 
 DataFrame functions only. The classifier learns from a bounded number of
 labelled rows (SAMPLE_ROWS); its table has BUCKETS rows at most, so it is
@@ -39,13 +41,18 @@ BUCKETS = 1 << 15
 #: A text's evidence counts as this many terms at most, so that long texts stay soft.
 EVIDENCE = 16
 #: Production targets: shares of quality x toxic domains, and tokens over the input's.
-TARGETS = {"q1t0": 0.955, "q1t1": 0.03, "q0t0": 0.012, "q0t1": 0.003}
+TARGETS = {"q1t0": 0.94, "q1t1": 0.03, "q0t0": 0.02, "q0t1": 0.01}
 BUDGET = 1.25
 #: A document of one domain alone is repeated so often at most, however short that domain is of its target.
 REPEAT = 8
+#: Rounds after which the rates are written, so that their expression stays short.
+WRITTEN = 8
 
-#: Terms are what stands between these; an empty one is none.
-_BETWEEN = r"[\x20\x09-\x0D.,]+"
+#: Dampings of the steps that a round tries, in plain gradient steps: 1 always descends, the first is Gauss-Newton's.
+DAMPING = (1e-9, 1e-4, 1e-2, 1e-1, 1.0)
+
+#: Terms are what stands between these (ASCII other than letters and digits), lower-cased; an empty one is none.
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def label_domain() -> Column:
@@ -55,7 +62,7 @@ def label_domain() -> Column:
 
 def _terms() -> Column:
     """At least one element, empty where there is no term."""
-    return F.split(whole_text(), _BETWEEN)
+    return F.split(F.lower(whole_text()), _BETWEEN)
 
 
 def _bucket(term: str) -> Column:
@@ -111,87 +118,97 @@ def posteriors(docs: DataFrame, table: DataFrame, prior: list[float], domains: l
 
 @dataclass
 class Rates:
-    """A fit: ``rate`` is an expression over p0..; ``reached`` the expected
+    """A fit: ``members`` with the column ``rate``; ``reached`` the expected
     tokens of each domain over its target (over a floor where that is near
     zero); ``residual`` the largest miss, in targets; ``rounds`` the
     aggregations that it took."""
-    rate: Column
+    members: DataFrame
     reached: list[float]
     residual: float
     rounds: int
     converged: bool
 
 
-def _rate(multipliers: np.ndarray) -> Column:
-    """The rate of a document: 1 less the multipliers of its domains."""
-    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"p{i}") * F.lit(float(v)) for i, v in enumerate(multipliers)), F.lit(0.0)))
+def _moved(rate: Column, step: np.ndarray) -> Column:
+    """Rates after a step along the posteriors, projected on rates >= 0."""
+    return F.greatest(F.lit(0.0), rate - sum((F.col(f"p{i}") * F.lit(float(v)) for i, v in enumerate(step)), F.lit(0.0)))
 
 
-def solve_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 400, tolerance: float = 1e-3) -> Rates:
-    """The rates nearest to 1 that reach the targets to ``tolerance``;
-    ``members`` is a written table, ``weights`` are shares of ``budget`` times
-    all tokens, by domain. ``rounds`` is a bound against endless fits only:
-    one that meets it, like one whose targets no rates reach, isn't silent."""
-    k = range(len(weights))
-    pairs = [(i, j) for i in k for j in k if i <= j]
+def _sums(members: DataFrame, rates: list[Column], domains: int, total: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of the rates: the expected tokens of the domains and the
+    curvature of the rates above zero, over all tokens; one aggregation."""
+    k = range(domains)
+    pairs = [(i, j) for i in k for j in range(i, domains)]
     tokens = F.col("tokens").cast("double")
-    total = float(members.agg(F.coalesce(F.sum(tokens), F.lit(0.0))).first()[0])
+    placed = members.select(tokens.alias("t"), *[F.col(f"p{i}") for i in k], *[r.alias(f"r{c}") for c, r in enumerate(rates)])
+    numbers = []
+    for c in range(len(rates)):
+        kept = F.when(F.col(f"r{c}") > 0, F.col("t")).otherwise(F.lit(0.0))
+        numbers += [F.sum(F.col(f"r{c}") * F.col("t") * F.col(f"p{i}")).alias(f"g{c}_{i}") for i in k]
+        numbers += [F.sum(kept * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"s{c}_{i}_{j}") for i, j in pairs]
+    values = np.array(placed.agg(*numbers).first(), float).reshape(len(rates), -1) / total
+    out = []
+    for row in values:
+        curve = np.zeros((domains, domains))
+        for (i, j), v in zip(pairs, row[domains:], strict=True):
+            curve[i, j] = curve[j, i] = v
+        out.append((row[:domains], curve))
+    return out
+
+
+def solve_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 60, tolerance: float = 1e-3) -> Rates:
+    """Rates that reach the targets to ``tolerance``, from 1 on; ``members``
+    is a written table, ``weights`` are shares of ``budget`` times all tokens,
+    by domain. ``rounds`` is a bound against endless fits only: one that meets
+    it, like one whose targets no rates reach (it ends near the least squares), isn't silent."""
+    n = len(weights)
+    total = float(members.agg(F.coalesce(F.sum(F.col("tokens").cast("double")), F.lit(0.0))).first()[0])
+    members, rate = members.withColumn("rate", F.lit(1.0)), F.col("rate")
     if not total:
-        return Rates(_rate(np.zeros(len(weights))), [], 0.0, 0, True)
+        return Rates(members, [], 0.0, 0, True)
     target = np.array(weights, float) / sum(weights) * budget
-    weigh = 1 / np.maximum(target, 0.01 / len(weights))  # a target near zero must not rule the fit
-    used = 0
-
-    def at(multipliers: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Half the squared rates, the expected tokens and their slopes, over all tokens."""
-        nonlocal used
-        used += 1
-        rate = _rate(multipliers)
-        kept = F.when(rate > 0, tokens).otherwise(F.lit(0.0))
-        row = members.agg(F.sum(tokens * rate * rate) / 2, *[F.sum(rate * tokens * F.col(f"p{i}")) for i in k],
-                          *[F.sum(kept * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first()
-        values = np.array(row, float) / total
-        slope = np.zeros((len(weights), len(weights)))
-        for (i, j), v in zip(pairs, values[1 + len(weights):], strict=True):
-            slope[i, j] = slope[j, i] = v
-        return values[0], values[1:1 + len(weights)], slope
-
-    now, least = np.zeros(len(weights)), 1.0 - REPEAT
-    half, got, slope = at(now)
+    weigh = 1 / np.maximum(target, 0.01 / n)  # a target near zero must not rule the fit
+    slow, moved, limit = 0, np.zeros(n), REPEAT - 1.0  # what the steps have lifted each domain by; its bound
+    (got, curve), used = _sums(members, [rate], n, total)[0], 1
+    steep = max(1e-15, float(weigh ** 2 @ np.diag(curve)))  # at least the largest eigenvalue, for every set of rates
     while used < rounds:
-        gradient = target - got
-        free = (now > least) | (gradient < 0)
-        if np.abs(np.where(free, gradient * weigh, 0)).max() < tolerance / 5:
+        over = got - target
+        free = (moved < limit) | (over > 0)  # a domain at its bound can only fall
+        worth = ((over * weigh)[free] ** 2).sum()
+        if np.abs((over * weigh)[free]).max(initial=0) < tolerance / 5:
             break
-        while True:
-            step = np.zeros(len(weights))
-            inner = slope[np.ix_(free, free)]
-            step[free] = -np.linalg.solve(inner + np.diag(1e-9 * np.diag(inner) + 1e-15), gradient[free])
-            stuck = free & (now <= least) & (step < 0)
-            if not stuck.any():
-                break
-            free &= ~stuck
-        if not step.any():
+        inner, steps = curve[np.ix_(free, free)], []
+        for damp in DAMPING:
+            step = np.zeros(n)
+            step[free] = np.linalg.solve(inner + np.diag(damp * steep / weigh[free] ** 2), over[free])
+            # A domain that meets its bound on the way shortens the step; at its bound it stands still.
+            step[(step < 0) & (moved >= limit)] = 0.0
+            room = [(limit - moved[i]) / -step[i] for i in range(n) if step[i] < 0]
+            steps.append(step * min([1.0, *room]))
+        found = _sums(members, [_moved(rate, s) for s in steps], n, total)
+        used += 1
+        losses = [(((g - target) * weigh)[free] ** 2).sum() for g, _ in found]
+        best = int(np.argmin(losses))
+        met = (moved - steps[best] >= limit - 1e-9) & (moved < limit - 1e-9)
+        slow = 0 if losses[best] < worth * (1 - 1e-3) or met.any() else slow + 1
+        if slow == 5 or (losses[best] >= worth and not met.any()):
             break
-        worth = half + now @ target
-        length = min([1.0, *((least - now[i]) / step[i] for i in k if step[i] < 0)])
-        while used < rounds:
-            new = np.maximum(least, now + length * step)
-            there = at(new)
-            if there[0] + new @ target <= worth + 1e-4 * (gradient @ (new - now)) + 1e-12 * abs(worth):
-                break
-            length /= 2
-        now, (half, got, slope) = new, there
+        rate, moved = _moved(rate, steps[best]), np.minimum(limit, moved - steps[best])
+        moved[moved >= limit - 1e-9] = limit
+        got, curve = found[best]
+        if used % WRITTEN == 0:
+            kept = [F.col(f"`{c}`") for c in members.columns if c != "rate"]
+            members, rate = materialize(members.select(*kept, rate.alias("rate")), "mix-rates"), F.col("rate")
     miss = float(np.abs((got - target) * weigh).max())
-    return Rates(_rate(now), (got * weigh).tolist(), miss, used, miss < tolerance)
+    return Rates(members.withColumn("rate", rate), (got * weigh).tolist(), miss, used, miss < tolerance)
 
 
-def fit_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 400, tolerance: float = 1e-3) -> Column:
-    """The rate as an expression over p0.., with a warning of missed targets."""
+def fit_rates(members: DataFrame, weights: list[float], budget: float, rounds: int = 60, tolerance: float = 1e-3) -> DataFrame:
+    """``members`` with the column ``rate``, and a warning of missed targets."""
     fit = solve_rates(members, weights, budget, rounds, tolerance)
     if not fit.converged:
         warnings.warn(f"mixture: after {fit.rounds} rounds the expected tokens are {[round(x, 4) for x in fit.reached]} of their targets", stacklevel=2)
-    return fit.rate
+    return fit.members
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, domain: Column | None = None,
@@ -203,9 +220,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     domains = list(targets)
     sample = domain_sample(labels, label_domain() if domain is None else domain, domains, bound)
     members = materialize(posteriors(docs, *fit_terms(docs, sample, domains), domains), "mix-members")
-    rate = fit_rates(members, list(targets.values()), budget)
+    members = fit_rates(members, list(targets.values()), budget)
     u = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rated = members.select("doc_id", "h", "tokens", *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)], rate.alias("rate"))
+    rated = members.select("doc_id", "h", "tokens", *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)], "rate")
     return rated.withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
 
 

@@ -1,4 +1,4 @@
-"""Rates against numpy's projected gradient; posteriors against plain Bayes."""
+"""Rates against numpy's projected gradient in document space; posteriors against plain Bayes."""
 import math
 from collections import Counter
 
@@ -44,9 +44,9 @@ def test_rates_reach_the_targets(spark):
     tokens = rng.integers(1, 500, 400)
     frame = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p, strict=True)], "tokens long, p0 double, p1 double, p2 double")
     members = materialize(frame, "test-members")
-    rate = mixing.fit_rates(members, [0.6, 0.3, 0.1], 1.25, rounds=60)
-    got = np.array([r.rate for r in members.select(rate.alias("rate")).collect()])
-    rows = np.array([(r.tokens, r.p0, r.p1, r.p2) for r in members.collect()])
+    rated = mixing.fit_rates(members, [0.6, 0.3, 0.1], 1.25, rounds=60).collect()
+    got = np.array([r.rate for r in rated])
+    rows = np.array([(r.tokens, r.p0, r.p1, r.p2) for r in rated])
     assert (got >= 0).all()
     assert np.allclose((got * rows[:, 0]) @ rows[:, 1:], 1.25 * tokens.sum() * np.array([0.6, 0.3, 0.1]), rtol=2e-3)
 
@@ -59,14 +59,47 @@ def test_default_fit_reaches_the_production_targets(spark):
     frame = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p, strict=True)], "tokens long, p0 double, p1 double, p2 double, p3 double")
     members = materialize(frame, "test-members")
     shares = np.array(list(mixing.TARGETS.values()))
-    rate = mixing.fit_rates(members, list(shares), mixing.BUDGET)
-    rows = np.array([(r.tokens, r.p0, r.p1, r.p2, r.p3, r.rate) for r in members.select("*", rate.alias("rate")).collect()])
+    rated = mixing.fit_rates(members, list(shares), mixing.BUDGET)
+    rows = np.array([(r.tokens, r.p0, r.p1, r.p2, r.p3, r.rate) for r in rated.collect()])
     assert (rows[:, 5] >= 0).all()
     assert np.allclose((rows[:, 5] * rows[:, 0]) @ rows[:, 1:5], mixing.BUDGET * tokens.sum() * shares, rtol=2e-3)
     fit = mixing.solve_rates(members, list(shares), mixing.BUDGET)
     assert fit.converged and fit.residual < 1e-3 and np.allclose(fit.reached, 1, atol=1e-3)
 
 
+def numpy_fit(tokens, p, target, weigh, rounds=20_000):
+    """Plain projected gradient over all documents' rates, from 1."""
+    total, r = tokens.sum(), np.ones(len(tokens))
+    steep = np.linalg.eigvalsh((p * weigh).T @ (p * weigh * tokens[:, None]) / total).max()
+    for _ in range(rounds):
+        r = np.maximum(0, r - p @ (weigh ** 2 * ((r * tokens) @ p / total - target)) / steep)
+    return r, ((((r * tokens) @ p / total - target) * weigh) ** 2).sum()
+
+
+@pytest.mark.parametrize("weights", [[0.34, 0.33, 0.33], [0.45, 0.35, 0.2], [0.97, 0.02, 0.01]])
+def test_fit_is_as_good_as_numpys_projected_gradient(spark, weights, monkeypatch):
+    monkeypatch.setattr(mixing, "REPEAT", 1e9)  # the bound on what a domain's steps lift is a matter of its own
+    rng = np.random.default_rng(8)
+    p, tokens = 0.7 * rng.dirichlet([0.5] * 3, 300) + 0.1, rng.integers(1, 300, 300)  # the last targets can't be met
+    frame = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p, strict=True)], "tokens long, p0 double, p1 double, p2 double")
+    fit = mixing.solve_rates(materialize(frame, "test-members"), weights, 1.25)
+    target = 1.25 * np.array(weights)
+    rates, loss = numpy_fit(tokens.astype(float), p, target, 1 / target)
+    assert ((np.array(fit.reached) - 1) ** 2).sum() <= loss * 1.05 + 1e-6
+    assert fit.converged == (loss < 1e-6) and min(r.rate for r in fit.members.collect()) >= 0
+
+
+def test_rates_that_nothing_projects_are_the_nearest_to_one(spark):
+    rng = np.random.default_rng(9)
+    p, tokens = rng.dirichlet([3] * 3, 200), rng.integers(1, 300, 200)
+    frame = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p, strict=True)], "tokens long, p0 double, p1 double, p2 double")
+    rows = np.array([(r.tokens, r.p0, r.p1, r.p2, r.rate) for r in mixing.solve_rates(materialize(frame, "test-members"), [0.35, 0.33, 0.32], 1.1).members.collect()])
+    t, q = rows[:, 0] / rows[:, 0].sum(), rows[:, 1:4]
+    target = 1.1 * np.array([0.35, 0.33, 0.32])
+    nearest = 1 - q @ np.linalg.solve((q * t[:, None]).T @ q, t @ q - target)
+    assert (nearest > 0).all() and np.allclose(rows[:, 4], nearest, atol=2e-3)
+
+
 def test_unreachable_targets_are_reported(spark):
     members = materialize(spark.createDataFrame([(100, 0.9, 0.1), (50, 0.8, 0.2)], "tokens long, p0 double, p1 double"), "test-members")
     with pytest.warns(UserWarning, match="targets"):
@@ -81,7 +114,7 @@ def test_a_scarce_domain_takes_no_others_place(spark):
     members = materialize(spark.createDataFrame([(n, float(a), float(b)) for n, a, b in rows], "tokens long, p0 double, p1 double"), "test-members")
     fit = mixing.solve_rates(members, [0.98, 0.02], 1.25)
     assert not fit.converged and abs(fit.reached[0] - 1) < 1e-3 and fit.reached[1] < 0.1
-    got = [r.rate for r in members.select(fit.rate.alias("rate")).collect()]
+    got = [r.rate for r in fit.members.collect()]
     assert min(got) > 1.2 and max(got) < 1.25
 
 
