@@ -11,6 +11,10 @@ from airshed.llm.queries import vocabulary
 from airshed.session import scratch_path
 
 
+#: Target shares of tokens, over the domains that the quality stage leaves.
+MIXTURE = {"q1t0": 0.97, "q1t1": 0.03}
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier scores under 0.3. The
     classifier learns from the labelled rows among ``docs``."""
@@ -31,12 +35,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or thins documents to the production mixture. Toxic text is
-    thinned to its share by soft posteriors, so some clean documents go with
-    it (the README has figures); rejects, which an earlier stage has removed,
-    miss their targets, with a warning."""
+    """Repeats or thins documents to MIXTURE. Toxic text is thinned to its
+    share by soft posteriors, so some clean documents may go with it."""
     prepare(spark)
-    return mixing.resample(docs, table(spark, sf_dir, "labels"))
+    return mixing.resample(docs, table(spark, sf_dir, "labels"), MIXTURE)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
