@@ -10,11 +10,18 @@ over all outputs (batched matrix products); a word of a group gets the
 group's probability times its smoothed share of the group's counts, with one
 place for unseen words. So token probabilities sum to one.
 
-Learning: in round r of ROUNDS each task takes the current model and learns,
-in numpy, from the positions r, r + ROUNDS, ... of all its training texts
-(noise is drawn from the counted output frequencies and shared by a batch);
-the tasks' models are averaged by their tokens. So each position is learnt
-from once, and work grows with the corpus.
+Each text is split into words twice: for the counts, and to write the numbers
+of its outputs; learning and scoring read those.
+
+Learning: training texts are cut in pieces of PIECE positions, with their
+context, and dealt to shards by a hash of id and text; their number
+follows from the counted tokens, and the order within one is that of the hash. In
+round r of ROUNDS each shard takes the current model and learns, in numpy, from
+the positions r, r + ROUNDS, ... of its pieces (noise is drawn from the counted
+output frequencies and shared by a batch); the shards' models are averaged by
+their tokens, in integers. So each position is learnt from once, work grows
+with the corpus, and the model is a function of the table: files, partitions
+and tasks don't move it.
 
 Counts of frequent words (the COMMON most frequent) go to the tasks with the
 function, at most that many; the rare words of a text are joined with the count table. So no
@@ -49,6 +56,10 @@ COMMON = 100_000
 COUNTED = 150_000
 #: The end token in tables; no word is empty.
 END = ""
+#: Positions of a piece of a text, and tokens of a shard at most (about half as many by hash).
+PIECE, UNIT = 8192, 1 << 19
+#: Models are averaged in steps of one over this.
+_UNITS = 1 << 26
 #: Tokens of one matrix product; its result then stays in a core's cache.
 _SCORED = 1024
 
@@ -166,9 +177,9 @@ def initial(share: np.ndarray, seed: int = 11) -> LogBilinear:
     return LogBilinear(small(len(share), DIMENSION), place, small(len(share), DIMENSION), np.log(share).astype(np.float32))
 
 
-def windows(outputs: np.ndarray, end: int) -> np.ndarray:
-    """The CONTEXT outputs before each of a text's tokens, nearest first."""
-    padded = np.concatenate([np.full(CONTEXT, end), outputs])
+def windows(padded: np.ndarray) -> np.ndarray:
+    """The CONTEXT outputs before each token, nearest first, of outputs that
+    CONTEXT others precede."""
     return np.stack([padded[CONTEXT - 1 - i:len(padded) - 1 - i] for i in range(CONTEXT)], axis=1)
 
 
@@ -207,33 +218,79 @@ class Learner:
             self._apply(k, value, gradient)
 
 
-def _train(model: LogBilinear, tokens: Tokens, share: np.ndarray, turn: int) -> Callable:
-    """A task's model after its texts' positions of this round, as rows
-    (k, value, n): the kth parameter, and the positions learnt from."""
+def _pack(unit: int) -> Callable:
+    """From pieces, sorted by shard, to a row per shard; one that repeated rows
+    make longer than ``unit`` tokens goes on in a further row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, size = None, [], 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([held], pa.list_(pa.binary()))], ["shard", "pieces"])
+        for batch in batches:
+            for of, piece in zip(batch.column("shard").to_pylist(), batch.column("o").to_pylist(), strict=True):
+                if held and (of != shard or size >= unit):
+                    yield out()
+                    held, size = [], 0
+                shard = of
+                held.append(piece)
+                size += len(piece) // 2 - CONTEXT
+        if held:
+            yield out()
+    return run
+
+
+def shards(encoded: DataFrame, total: int) -> DataFrame:
+    """(shard, pieces) of the training texts, written; ``total`` is the number
+    of their tokens."""
+    number = max(1, -(-2 * total // UNIT))
+    tasks = min(number, int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pieces = encoded.where(~F.col("held_out")).select("h", "o", F.explode(F.sequence(F.lit(0), F.expr(f"cast((n_tokens - 1) div {PIECE} as int)"))).alias("k"))
+    pieces = pieces.select(F.pmod(F.xxhash64("h", "k"), F.lit(number).cast("bigint")).alias("shard"), "h", "k",
+                           F.expr(f"substring(o, 1 + 2 * {PIECE} * k, 2 * {PIECE + CONTEXT})").alias("o"))
+    dealt = pieces.repartition(tasks, "shard").sortWithinPartitions("shard", "h", "k")
+    return materialize(dealt.select("shard", "o").mapInArrow(_pack(UNIT), "shard bigint, pieces array<binary>"), "lm-shards")
+
+
+def _train(model: LogBilinear, share: np.ndarray, turn: int) -> Callable:
+    """The models of a task's shards after their positions of this round,
+    summed, as rows (k, value, n): the kth parameter in steps of 1 / _UNITS,
+    times the positions learnt from, and those."""
+    def learn(pieces: list[bytes]) -> tuple[np.ndarray, int]:
         learner = Learner(model.like(model.flat().copy()), share, 1000 + turn)
-        held_b, held_o, held, n = [], [], 0, 0
+        padded = [np.frombuffer(p, "<i2").astype(np.int64) for p in pieces]
+        before = np.concatenate([windows(p)[turn::ROUNDS] for p in padded])
+        after = np.concatenate([p[CONTEXT + turn::ROUNDS] for p in padded])
+        for k in range(0, len(after), BATCH):
+            learner.step(before[k:k + BATCH], after[k:k + BATCH])
+        return np.rint(learner.m.flat().astype(float) * _UNITS).astype(np.int64), len(after)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n, held = 0, 0, 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n))], ["k", "value", "n"])
         for batch in batches:
-            for text in text_bytes(batch.column("text")):
-                words = words_of(text)
-                out = np.append(tokens.outputs(tokens.ids(words), words)[0], tokens.end_output)
-                held_b.append(windows(out, tokens.end_output)[turn::ROUNDS])
-                held_o.append(out[turn::ROUNDS])
-                held, n = held + len(held_o[-1]), n + len(held_o[-1])
-                if held >= BATCH:
-                    b, o = np.concatenate(held_b), np.concatenate(held_o)
-                    whole = held // BATCH * BATCH
-                    for k in range(0, whole, BATCH):
-                        learner.step(b[k:k + BATCH], o[k:k + BATCH])
-                    held_b, held_o, held = [b[whole:]], [o[whole:]], held - whole
+            for pieces in batch.column("pieces"):
+                flat, positions = learn(pieces.as_py())
+                total, n, held = total + flat * positions, n + positions, held + 1
+                if held == 256:  # the sums fit 64 bits
+                    yield out()
+                    total, n, held = 0, 0, 0
         if held:
-            learner.step(np.concatenate(held_b), np.concatenate(held_o))
-        if n:
-            flat = learner.m.flat().astype(float)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), n))], ["k", "value", "n"])
+            yield out()
     return run
 
 
+def learn(units: DataFrame, model: LogBilinear, share: np.ndarray) -> LogBilinear:
+    for turn in range(ROUNDS):
+        rows = units.select("pieces").mapInArrow(_train(model, share, turn), "k int, value bigint, n bigint")
+        whole = rows.groupBy("k").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("string").alias("value"), F.sum("n").alias("n"))
+        mean = whole.toPandas().sort_values("k")
+        if mean["n"].sum():
+            model = model.like(np.array([int(v) / (_UNITS * int(n)) for v, n in zip(mean["value"], mean["n"], strict=True)]))
+    return model
+
+
 @dataclass
 class Trained:
     tokens: Tokens
@@ -242,6 +299,7 @@ class Trained:
     total: int  # training tokens
     kinds: int  # distinct ones
     counts: DataFrame
+    encoded: DataFrame  # the documents that it was learnt from, and those held out
 
 
 def train(docs: DataFrame, mod: int = 7, held_out: int = 2) -> Trained:
@@ -274,81 +332,95 @@ def train(docs: DataFrame, mod: int = 7, held_out: int = 2) -> Trained:
     np.subtract.at(groups, forms[single & (forms >= 0)], np.stack([c[single & (forms >= 0)], np.ones(int((single & (forms >= 0)).sum()))], axis=1))
     weight = np.concatenate([np.bincount(output[single], c[single], short), groups[:, 0]]) + 1.0
     share = weight / weight.sum()
+    group_log = np.log10(groups.sum(1) + 1)
+    encoded = encode(docs, tokens, group_log, mod, held_out)
     model = initial(share)
-    for turn in range(ROUNDS if total else 0):
-        rows = texts.mapInArrow(_train(model, tokens, share, turn), "k int, value double, n bigint")
-        mean = rows.groupBy("k").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).toPandas().sort_values("k")
-        model = model.like(mean["value"].to_numpy(float))
-    return Trained(tokens, model, np.log10(groups.sum(1) + 1), int(total), int(kinds), counts)
-
+    if total:
+        model = learn(shards(encoded, int(total)), model, share)
+    return Trained(tokens, model, group_log, int(total), int(kinds), counts, encoded)
 
-def _score_batches(t: Trained) -> Callable:
-    tokens, model, group_log = t.tokens, t.model, t.group_log
 
+def _encoder(tokens: Tokens, group_log: np.ndarray) -> Callable:
     def make():
         end_log = float(tokens.log_count[tokens.end]) if tokens.end >= 0 else 0.0
 
-        def one_group(texts: list[bytes], found: dict[str, list]) -> None:
-            out, before, sizes, shares = [], [], [], []
-            for text in texts:
+        def apply(batch: pa.Array) -> pa.Array:
+            found: dict[str, list] = {k: [] for k in ("n_tokens", "common", "grouped", "n_common", "word", "n", "o")} | {"ends": [0]}
+            for text in text_bytes(batch):
                 words = words_of(text)
                 ids = tokens.ids(words)
                 o, rare = tokens.outputs(ids, words)
-                known = ids >= 0
-                logs = np.where(known, tokens.log_count[ids], 0.0) if len(tokens.log_count) else np.zeros(len(ids))
+                logs = np.where(ids >= 0, tokens.log_count[ids], 0.0) if len(tokens.log_count) else np.zeros(len(ids))
                 in_group = o >= tokens.short
                 counted = Counter(rare)
                 found["n_tokens"].append(len(words) + 1)
                 found["common"].append(float(logs.sum()) + end_log)
-                found["grouped"].append(float(logs[in_group].sum()))
+                found["grouped"].append(float(logs[in_group].sum()) - float(group_log[o[in_group] - tokens.short].sum()))
                 found["n_common"].append(len(words) - len(rare) + (tokens.end >= 0))
                 found["ends"].append(found["ends"][-1] + len(counted))
                 found["word"] += counted
                 found["n"] += counted.values()
-                shares.append(float(group_log[o[in_group] - tokens.short].sum()))
-                o = np.append(o, tokens.end_output)
-                out.append(o)
-                before.append(windows(o, tokens.end_output))
-                sizes.append(len(o))
-            logs = model.log10(np.concatenate(before), np.concatenate(out))
-            found["lm"] += (np.add.reduceat(logs, np.concatenate([[0], np.cumsum(sizes)[:-1]])) - shares).tolist()
+                padded = np.full(len(o) + CONTEXT + 1, tokens.end_output, "<i2")
+                padded[CONTEXT:-1] = o
+                found["o"].append(padded.tobytes())
+            pairs = pa.StructArray.from_arrays([pa.array(found["word"], pa.binary()).cast(pa.string()), pa.array(found["n"], pa.int64())], ["word", "n"])
+            numbers = [pa.array(found[k], kind) for k, kind in (("n_tokens", pa.int64()), ("common", pa.float64()), ("grouped", pa.float64()), ("n_common", pa.int64()))]
+            return pa.StructArray.from_arrays([*numbers, pa.ListArray.from_arrays(pa.array(found["ends"], pa.int32()), pairs), pa.array(found["o"], pa.binary())],
+                                              ["n_tokens", "common", "grouped", "n_common", "rare", "o"])
+        return apply
+    return make
+
+
+_PARTS = "struct<n_tokens:bigint,common:double,grouped:double,n_common:bigint,rare:array<struct<word:string,n:bigint>>,o:binary>"
+
 
+def encode(docs: DataFrame, tokens: Tokens, group_log: np.ndarray, mod: int = 7, held_out: int = 2) -> DataFrame:
+    """Per row, written: its fold, h (a hash of id and text), the sums of log
+    counts of its ranked words, its rare words, and o: its outputs as
+    little-endian 16-bit integers, after CONTEXT end tokens."""
+    parts = column_function(_encoder(tokens, group_log), _PARTS)(whole_text())
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), (fold(F.col("doc_id"), mod) == held_out).alias("held_out"),
+                       F.xxhash64("doc_id", whole_text()).alias("h"), parts.alias("p"))
+    return materialize(rows.select("row", "id", "held_out", "h", "p.*"), "lm-encoded")
+
+
+def _scorer(model: LogBilinear) -> Callable:
+    def make():
         def apply(batch: pa.Array) -> pa.Array:
-            found: dict[str, list] = {k: [] for k in ("n_tokens", "lm", "common", "grouped", "n_common", "word", "n")} | {"ends": [0]}
-            group, size = [], 0
-            for text in text_bytes(batch):
-                group.append(text)
-                size += len(text)
-                if size > 1 << 20:
-                    one_group(group, found)
+            out, group, size = [], [], 0
+
+            def flush() -> None:
+                logs = model.log10(np.concatenate([windows(p) for p in group]), np.concatenate([p[CONTEXT:] for p in group]))
+                starts = np.cumsum([0, *(len(p) - CONTEXT for p in group[:-1])])
+                out.extend(np.add.reduceat(logs, starts).tolist())
+            for o in batch.cast(pa.binary()):
+                group.append(np.frombuffer(o.as_py(), "<i2").astype(np.int64))
+                size += len(group[-1])
+                if size > 1 << 17:
+                    flush()
                     group, size = [], 0
             if group:
-                one_group(group, found)
-            pairs = pa.StructArray.from_arrays([pa.array(found["word"], pa.binary()).cast(pa.string()), pa.array(found["n"], pa.int64())], ["word", "n"])
-            numbers = [pa.array(found[k], kind) for k, kind in (("n_tokens", pa.int64()), ("lm", pa.float64()), ("common", pa.float64()), ("grouped", pa.float64()), ("n_common", pa.int64()))]
-            return pa.StructArray.from_arrays([*numbers, pa.ListArray.from_arrays(pa.array(found["ends"], pa.int32()), pairs)],
-                                              ["n_tokens", "lm", "common", "grouped", "n_common", "rare"])
+                flush()
+            return pa.array(out, pa.float64())
         return apply
     return make
 
 
-_PARTS = "struct<n_tokens:bigint,lm:double,common:double,grouped:double,n_common:bigint,rare:array<struct<word:string,n:bigint>>>"
-
-
-def score(docs: DataFrame, t: Trained) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score per row."""
-    parts = column_function(_score_batches(t), _PARTS)(whole_text())
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", parts.alias("p")).select("row", "doc_id", "p.*"), "lm-parts")
-    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+def score(encoded: DataFrame, t: Trained) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per
+    row of what ``encode`` wrote."""
+    rare = encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     found = rare.join(t.counts.select("word", "c"), "word").groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"), F.sum("n").alias("n_rare"))
-    joined = rows.drop("rare").join(found, "row", "left")
+    scored = encoded.select("row", "id", "held_out", "n_tokens", "common", "grouped", "n_common", column_function(_scorer(t.model), "double")(F.col("o")).alias("lm"))
+    joined = scored.join(found, "row", "left")
     rare_log = F.coalesce("rare_log", F.lit(0.0))
-    return joined.select("doc_id", "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(t.total).cast("bigint").alias("train_tokens"),
+    return joined.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+                         F.lit(t.total).cast("bigint").alias("train_tokens"),
                          (F.col("common") + rare_log - F.col("n_tokens") * F.lit(float(np.log10(t.total + t.kinds + 1)))).alias("base_score"),
                          (F.col("lm") + F.col("grouped") + rare_log).alias("score"))
 
 
 def token_scores(docs: DataFrame, mod: int = 7, held_out: int = 2) -> DataFrame:
     """The scores of all texts, learnt from those outside the held-out fold."""
-    return score(docs, train(docs, mod, held_out)).select("doc_id", (fold(F.col("doc_id"), mod) == held_out).alias("held_out"), "n_tokens", "n_known",
-                                                           "train_tokens", "base_score", "score")
+    t = train(docs, mod, held_out)
+    return score(t.encoded, t)

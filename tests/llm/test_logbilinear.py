@@ -37,9 +37,33 @@ def test_base_scores(docs, none, texts):
     assert lm.token_scores(none).collect() == []
 
 
-def test_beats_the_base_on_held_out_text(spark):
-    rows = [r for r in lm.token_scores(table(spark, "/root/testdata/sf0.01", "documents")).collect() if r.held_out]
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) + 0.05 * sum(r.n_tokens for r in rows)
+def test_beats_the_base_on_held_out_text_whatever_the_partitions(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    one = {r.doc_id: r for r in lm.token_scores(docs.coalesce(1)).collect()}
+    many = {r.doc_id: r for r in lm.token_scores(docs.repartition(16)).collect()}
+    for rows in (one, many):
+        held = [r for r in rows.values() if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.05 * sum(r.n_tokens for r in held)
+    assert all(abs(one[i].score - many[i].score) < 1e-6 * one[i].n_tokens for i in one) and len(one) == len(many)
+
+
+def test_long_texts_in_pieces_and_shards(spark, as_docs, monkeypatch):
+    """Pieces hold every training position once, with its context."""
+    monkeypatch.setattr(lm, "PIECE", 5)
+    monkeypatch.setattr(lm, "UNIT", 64)
+    rows = [(k, " ".join(f"w{(k * j) % 23}" for j in range(4 + 9 * k))) for k in range(12)] + [(3, "same words here")] * 40
+    t = lm.train(as_docs(rows))
+    of = lambda o: np.frombuffer(o, "<i2")
+    want = Counter()
+    for r in t.encoded.where("not held_out").collect():
+        o = of(r.o)
+        want.update(tuple(o[k:k + lm.CONTEXT + 1].tolist()) for k in range(r.n_tokens))
+    have, units = Counter(), lm.shards(t.encoded, t.total).collect()
+    for u in units:
+        assert sum(len(p) // 2 - lm.CONTEXT for p in u.pieces) < 64 + 5
+        for p in map(of, u.pieces):
+            have.update(tuple(p[k:k + lm.CONTEXT + 1].tolist()) for k in range(len(p) - lm.CONTEXT))
+    assert have == want and len(units) > 3
 
 
 def test_rare_words_by_join_equal_words_by_table(spark, docs, monkeypatch):
