@@ -352,7 +352,16 @@ def _fit_ctes(src: str) -> list[tuple[str, str]]:
     def best(name: str, pairs: str) -> list[tuple[str, str]]:
         return [(f"{name}_all", f"SELECT {key}, idx, ph, th, {search} AS r FROM ({pairs})"),
                 (name, f"SELECT DISTINCT ON ({key}) {key}, ph, th, r.e AS e_last FROM {name}_all ORDER BY {key}, r.s, idx")]
-    out += best("fit0", f"SELECT {key}, l, idx, ph, th FROM lists, grid WHERE n >= 3")
+    # For a given th the innovations are a - ph * b, so their squares are a quadratic form in ph: one recursion for a whole
+    # line of the coarse grid. Only pairs that come as near to the least as rounding allows are then searched as above.
+    a, b = "x.d - th * s.a", "x.p - th * s.b"
+    state = ", ".join(f"'{k}': 0.0::DOUBLE" for k in ("a", "b", "aa", "ab", "bb"))
+    form = (f"list_reduce(list_transform(l, lambda x: {{'d': x.d, 'p': x.p, {state}}}), lambda s, x: {{'d': x.d, 'p': x.p, 'a': {a}, 'b': {b}, "
+            f"'aa': s.aa + ({a}) * ({a}), 'ab': s.ab + ({a}) * ({b}), 'bb': s.bb + ({b}) * ({b})}})")
+    out += [("forms", f"SELECT {key}, th, {form} AS f FROM lists, (SELECT DISTINCT th FROM grid) WHERE n >= 3"),
+            ("near", f"SELECT {key}, idx, ph, th FROM (SELECT {key}, idx, ph, th, f.aa - 2 * ph * f.ab + ph * ph * f.bb AS s, f.aa + f.bb AS scale FROM forms JOIN grid USING (th)) "
+                     f"QUALIFY s <= min(s) OVER (PARTITION BY {key}) + 1e-9 * max(scale) OVER (PARTITION BY {key})")]
+    out += best("fit0", f"SELECT {key}, l, idx, ph, th FROM near JOIN lists USING ({key})")
     for k in range(fc.REFINEMENTS):
         width = step / 4 ** k
         out += best(f"fit{k + 1}", f"SELECT b.pollutant, b.location_id, l, g.idx, b.ph + g.ph * {width!r}::DOUBLE / 2 AS ph, b.th + g.th * {width!r}::DOUBLE / 2 AS th "
@@ -424,7 +433,7 @@ def q_forecast_all_pollutants(spark, sf):
                                                      F.avg("pred").alias("mean_pred")))
 
 
-FIT_NAME = r"\b(diffs|lists|grid|around|fit(\d+(_all)?)?)\b"
+FIT_NAME = r"\b(diffs|lists|grid|around|forms|near|fit(\d+(_all)?)?)\b"
 
 
 def _forecast_with_errors_sql() -> str:
