@@ -3,10 +3,11 @@
 
 One shuffle on (pollutant, location_id) groups the rows of each series; the
 fit runs per group in ``applyInPandas`` (a series is a handful of years, so
-a group is small). The model is fitted by conditional least squares on the
-once-differenced series, y'_t = phi y'_{t-1} + e_t + theta e_{t-1} with no
-constant, over a grid refined around its best point, so results agree with
-a Kalman-filter likelihood fit only approximately.
+a group is small). The once-differenced series, y'_t = phi y'_{t-1} + e_t +
+theta e_{t-1} with no constant, is fitted by exact Gaussian likelihood: one-step
+predictions and their variances by the innovations recursion (what a Kalman
+filter from the stationary start gives), the error variance in closed form,
+the pair of parameters by a grid that is halved around its best point.
 """
 
 from __future__ import annotations
@@ -24,34 +25,41 @@ MIN_POINTS_BACKTEST = 5
 END_YEAR = 2026
 POLLUTANTS = ["pm10", "pm25", "no2"]
 # ---------------------------------------------------------------------------
-# The coarse grid of (phi, theta) is -REACH..REACH in COARSE points; each of
-# REFINEMENTS searches FINE x FINE points around the best, over a quarter of
-# the last step's width. Nothing keeps the parameters stationary.
-REACH, COARSE, STEP, REFINEMENTS, FINE = 0.98, 50, 0.04, 4, 9
-
-
-def _css(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of squared innovations for arrays of (phi, theta); last innovation."""
-    e_prev = np.zeros_like(phi)
-    sse = np.zeros_like(phi)
-    for t in range(1, len(d)):
-        e = d[t] - phi * d[t - 1] - theta * e_prev
-        sse += e * e
-        e_prev = e
-    return sse, e_prev
+# The coarse grid of (phi, theta) is -REACH..REACH in COARSE points, a STEP
+# apart; each of REFINEMENTS halves the step and searches FINE x FINE points
+# around the best. LIMIT keeps the model stationary and invertible.
+REACH, COARSE, STEP, REFINEMENTS, FINE, LIMIT = 0.96, 17, 0.12, 17, 5, 0.999
+#: Least sum of squares, so that a series without innovations has a likelihood.
+LEAST = 1e-200
+
+
+def deviance(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For arrays of (phi, theta): -2 log likelihood of the differences, the
+    error variance at its best, up to a constant; and the last innovation over
+    its variance (in error variances)."""
+    e, r = np.zeros_like(phi), np.ones_like(phi)
+    ahead = (1 + 2 * phi * theta + theta * theta) / (1 - phi * phi)
+    squares, spread = np.zeros_like(phi), np.ones_like(phi)
+    before = 0.0
+    for x in d.tolist():
+        e = x - phi * before - theta * e / r
+        r, before = ahead, x
+        squares, spread = squares + e * e / r, spread * r
+        ahead = 1 + theta * theta - theta * theta / r
+    return len(d) * np.log(np.maximum(squares, LEAST)) + np.log(spread), e / r
 
 
 def _best(d: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[float, float]:
-    """The pair of least squares, the first on ties."""
+    """The likeliest pair, the first on ties."""
     ph, th = (g.ravel() for g in np.meshgrid(phi, theta, indexing="ij"))
-    k = int(np.argmin(_css(d, ph, th)[0]))
+    k = int(np.argmin(deviance(d, ph, th)[0]))
     return float(ph[k]), float(th[k])
 
 
 def fit_arima111(y: np.ndarray) -> tuple[float, float, float, float] | None:
-    """(phi, theta, last difference, last innovation); None for an empty
-    series or one that isn't finite. A series of one or two points has no
-    innovation to learn from: its parameters are 0, its forecast is flat."""
+    """(phi, theta, last difference, last innovation over its variance); None
+    for an empty series or one that isn't finite. A series of one or two points
+    has nothing to learn from: its parameters are 0, its forecast is flat."""
     y = np.asarray(y, dtype=float)
     if not len(y) or not np.all(np.isfinite(y)):
         return None
@@ -61,11 +69,10 @@ def fit_arima111(y: np.ndarray) -> tuple[float, float, float, float] | None:
     phi, theta = _best(d, *[np.linspace(-REACH, REACH, COARSE)] * 2)
     step = STEP
     for _ in range(REFINEMENTS):
-        around = np.linspace(-2, 2, FINE) * step / 2
-        phi, theta = _best(d, phi + around, theta + around)
-        step /= 4
-    _, e_last = _css(d, np.array([phi]), np.array([theta]))
-    return phi, theta, float(d[-1]), float(e_last[0])
+        step /= 2
+        around = (np.arange(FINE) - FINE // 2) * step
+        phi, theta = _best(d, np.clip(phi + around, -LIMIT, LIMIT), np.clip(theta + around, -LIMIT, LIMIT))
+    return phi, theta, float(d[-1]), float(deviance(d, np.array([phi]), np.array([theta]))[1][0])
 
 
 def forecast_arima111(y: np.ndarray, steps: int) -> np.ndarray | None:

@@ -322,7 +322,7 @@ def q_generate_horizon(spark, sf):
             .select("pollutant", "location_id", F.col("year").cast("int").alias("year")))
 
 
-# The fit, written out: a coarse grid, then finer ones around the best pair.
+# The likelihood fit, written out: a coarse grid, then finer ones around the best pair.
 def _series(spark, sf):
     """The series at the 6 decimals of every compare: engines differ in the
     last bits of a filled mean, and a search over a flat surface follows them."""
@@ -340,31 +340,24 @@ def _fit_ctes(src: str) -> list[tuple[str, str]]:
     key = "pollutant, location_id"
     reach, step = fc.REACH, fc.STEP
     out = [("diffs", f"SELECT {key}, rn, v, v - lag(v) OVER w AS d, lag(v) OVER w - lag(v, 2) OVER w AS p FROM {src} WINDOW w AS (PARTITION BY {key} ORDER BY rn)"),
-           # The state before the first innovation, then a row for each.
            ("lists", f"""SELECT {key}, arg_max(v, rn) AS y_last, coalesce(arg_max(d, rn) FILTER (d IS NOT NULL), 0.0) AS d_last,
-  list_concat([{{'d': 0.0::DOUBLE, 'p': 0.0::DOUBLE, 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE}}],
-    coalesce(list({{'d': d, 'p': p, 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE}} ORDER BY rn) FILTER (p IS NOT NULL), [])) AS l, count(*) AS n FROM diffs GROUP BY {key}"""),
+  coalesce(list({{'d': d, 'p': coalesce(p, 0.0::DOUBLE), 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE, 'm': 0.0::DOUBLE, 'r': 0.0::DOUBLE, 'q': 0.0::DOUBLE}} ORDER BY rn) FILTER (d IS NOT NULL), []) AS l,
+  count(*) AS n FROM diffs GROUP BY {key}"""),
            ("grid", _grid_sql(fc.COARSE, f"(CASE WHEN # = {fc.COARSE - 1} THEN {reach}::DOUBLE ELSE # * ({2 * reach}::DOUBLE / {fc.COARSE - 1}) - {reach}::DOUBLE END)")),
-           ("around", _grid_sql(fc.FINE, f"(# * (4.0::DOUBLE / {fc.FINE - 1}) - 2.0::DOUBLE)"))]
-    error = "x.d - ph * x.p - th * a.e"
-    search = (f"list_reduce(l, lambda a, x: {{'d': x.d, 'p': x.p, 'e': {error}, 's': a.s + ({error}) * ({error})}})")
+           ("around", _grid_sql(fc.FINE, f"(# - {fc.FINE // 2})::DOUBLE"))]
+    # m is the variance of the last innovation, r that of the next, s the squares over theirs, q the product of all.
+    error = "x.d - ph * x.p - th * a.e / a.m"
+    start = "{'d': 0.0::DOUBLE, 'p': 0.0::DOUBLE, 'e': 0.0::DOUBLE, 's': 0.0::DOUBLE, 'm': 1.0::DOUBLE, 'r': (1 + 2 * ph * th + th * th) / (1 - ph * ph), 'q': 1.0::DOUBLE}"
+    search = (f"list_reduce(list_concat([{start}], l), lambda a, x: {{'d': x.d, 'p': x.p, 'e': {error}, 's': a.s + ({error}) * ({error}) / a.r, "
+              f"'m': a.r, 'r': 1 + th * th - th * th / a.r, 'q': a.q * a.r}})")
 
     def best(name: str, pairs: str) -> list[tuple[str, str]]:
-        return [(f"{name}_all", f"SELECT {key}, idx, ph, th, {search} AS r FROM ({pairs})"),
-                (name, f"SELECT DISTINCT ON ({key}) {key}, ph, th, r.e AS e_last FROM {name}_all ORDER BY {key}, r.s, idx")]
-    # For a given th the innovations are a - ph * b, so their squares are a quadratic form in ph: one recursion for a whole
-    # line of the coarse grid. Only pairs that come as near to the least as rounding allows are then searched as above.
-    a, b = "x.d - th * s.a", "x.p - th * s.b"
-    state = ", ".join(f"'{k}': 0.0::DOUBLE" for k in ("a", "b", "aa", "ab", "bb"))
-    form = (f"list_reduce(list_transform(l, lambda x: {{'d': x.d, 'p': x.p, {state}}}), lambda s, x: {{'d': x.d, 'p': x.p, 'a': {a}, 'b': {b}, "
-            f"'aa': s.aa + ({a}) * ({a}), 'ab': s.ab + ({a}) * ({b}), 'bb': s.bb + ({b}) * ({b})}})")
-    out += [("forms", f"SELECT {key}, th, {form} AS f FROM lists, (SELECT DISTINCT th FROM grid) WHERE n >= 3"),
-            ("near", f"SELECT {key}, idx, ph, th FROM (SELECT {key}, idx, ph, th, f.aa - 2 * ph * f.ab + ph * ph * f.bb AS s, f.aa + f.bb AS scale FROM forms JOIN grid USING (th)) "
-                     f"QUALIFY s <= min(s) OVER (PARTITION BY {key}) + 1e-9 * max(scale) OVER (PARTITION BY {key})")]
-    out += best("fit0", f"SELECT {key}, l, idx, ph, th FROM near JOIN lists USING ({key})")
+        return [(f"{name}_all", f"SELECT {key}, n, idx, ph, th, {search} AS r FROM ({pairs})"),
+                (name, f"SELECT DISTINCT ON ({key}) {key}, ph, th, r.e / r.m AS e_last FROM {name}_all ORDER BY {key}, (n - 1) * ln(greatest(r.s, {fc.LEAST!r}::DOUBLE)) + ln(r.q), idx")]
+    out += best("fit0", f"SELECT {key}, l, n, idx, ph, th FROM lists, grid WHERE n >= 3")
     for k in range(fc.REFINEMENTS):
-        width = step / 4 ** k
-        out += best(f"fit{k + 1}", f"SELECT b.pollutant, b.location_id, l, g.idx, b.ph + g.ph * {width!r}::DOUBLE / 2 AS ph, b.th + g.th * {width!r}::DOUBLE / 2 AS th "
+        place = "least(greatest(b.{0} + g.{0} * " + f"{step / 2 ** (k + 1)!r}::DOUBLE, -{fc.LIMIT}::DOUBLE), {fc.LIMIT}::DOUBLE) AS {{0}}"
+        out += best(f"fit{k + 1}", f"SELECT b.pollutant, b.location_id, l, n, g.idx, {place.format('ph')}, {place.format('th')} "
                                    f"FROM fit{k} b JOIN lists USING ({key}), around g")
     out.append(("fit", f"SELECT {key}, y_last, coalesce(ph, 0.0) AS ph, coalesce(th, 0.0) AS th, CASE WHEN n >= 3 THEN d_last ELSE 0.0 END AS d_last, coalesce(e_last, 0.0) AS e_last "
                        f"FROM lists LEFT JOIN fit{fc.REFINEMENTS} USING ({key})"))
@@ -433,7 +426,7 @@ def q_forecast_all_pollutants(spark, sf):
                                                      F.avg("pred").alias("mean_pred")))
 
 
-FIT_NAME = r"\b(diffs|lists|grid|around|forms|near|fit(\d+(_all)?)?)\b"
+FIT_NAME = r"\b(diffs|lists|grid|around|fit(\d+(_all)?)?)\b"
 
 
 def _forecast_with_errors_sql() -> str:

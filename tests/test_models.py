@@ -191,6 +191,47 @@ def test_arima_recovers_parameters():
     assert phi == pytest.approx(0.6, abs=0.12) and theta == pytest.approx(0.3, abs=0.15)
 
 
+def kalman_deviance(d, phi, theta):
+    """-2 log likelihood by a plain Kalman filter of the differences, state (y', theta e), the error variance at its best."""
+    move, noise = np.array([[phi, 1.0], [0.0, 0.0]]), np.array([[1.0, theta], [theta, theta * theta]])
+    state = np.zeros(2)
+    spread = np.linalg.solve(np.eye(4) - np.kron(move, move), noise.ravel()).reshape(2, 2)
+    squares = logs = 0.0
+    for x in d:
+        v, f = x - state[0], spread[0, 0]
+        gain = spread[:, 0] / f
+        squares, logs = squares + v * v / f, logs + np.log(f)
+        state = move @ (state + gain * v)
+        spread = move @ (spread - np.outer(gain, spread[0])) @ move.T + noise
+    return len(d) * np.log(squares) + logs
+
+
+@pytest.mark.parametrize(("phi", "theta", "n"), [(0.6, 0.3, 80), (-0.5, 0.4, 60), (0.2, -0.6, 120), (0.8, -0.2, 40)])
+def test_arima_is_the_likelihood_fit_of_a_kalman_filter(phi, theta, n):
+    y = simulate(phi, theta, n)
+    d = np.diff(y)
+    rng = np.random.default_rng(2)
+    ph, th = rng.uniform(-0.95, 0.95, (2, 300))
+    plain = np.array([kalman_deviance(d, a, b) for a, b in zip(ph, th)])
+    assert np.allclose(fc.deviance(d, ph, th)[0], plain, atol=1e-8)
+    a, b, last, _ = fc.fit_arima111(y)
+    best = kalman_deviance(d, a, b)
+    assert best <= plain.min() and last == d[-1]
+    # The pair is where the filter's likelihood is flat: Newton's step from it is short.
+    h = 1e-3
+    at = lambda i, j: kalman_deviance(d, a + i * h, b + j * h)
+    slope = np.array([at(1, 0) - at(-1, 0), at(0, 1) - at(0, -1)]) / (2 * h)
+    cross = (at(1, 1) - at(1, -1) - at(-1, 1) + at(-1, -1)) / (4 * h * h)
+    curve = np.array([[at(1, 0) - 2 * best + at(-1, 0), cross * h * h], [cross * h * h, at(0, 1) - 2 * best + at(0, -1)]]) / (h * h)
+    assert np.abs(np.linalg.solve(curve, slope)).max() < 1e-4
+
+
+def test_arima_of_flat_and_straight_series():
+    assert np.allclose(fc.forecast_arima111(np.full(6, 3.0), 3), 3.0)
+    straight = fc.forecast_arima111(np.arange(8.0), 2)
+    assert 7.5 < straight[0] < 8.5 and np.isfinite(straight).all()
+
+
 def test_short_series_rules(spark):
     data = [("pm10", 1, 2000 + i, float(i)) for i in range(4)] + [("pm10", 2, 2000 + i, float(i * i)) for i in range(5)]
     s = spark.createDataFrame(data, "pollutant string, location_id int, year int, value double")
