@@ -10,6 +10,13 @@ and an instance by the mean score of its patterns with enough seeds. A
 pattern of high confidence then turns other candidates in its context into
 spans of its kind. Base spans always stay.
 
+Identifiers need not look like the seeds ("alice (at) example.com", an IPv6
+address, six digits). So a confident slot (two words on the left, one on the
+right) also proposes what else stands in it: groups of at most WIDE words, of
+which one holds a digit, an '@', or a stop, colon or comma inside. It does so only
+while it has at least as many distinct seeds as distinct proposals. Spans of
+two slots of a text may overlap; both are given, and redact marks their union.
+
 Cases: a null text counts as empty; texts without mentions give no spans;
 repeated rows give the same spans each and count once in the graph; ties
 between kinds go to the first in KINDS. Contexts keep at most EDGE characters
@@ -20,8 +27,10 @@ carried (redact) or ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from typing import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,6 +42,8 @@ from airshed.session import materialize
 KINDS = ["email", "ip", "card", "phone"]
 #: Digits of a candidate, characters of a context word.
 SEVEN, EDGE = 7, 32
+#: Words and characters of a proposed group; bits of the filter of slots (its size is fixed).
+WIDE, LONG, SLOT_BITS = 4, 256, 22
 
 # The base patterns. Digit runs are taken whole (no retry inside
 # a run can succeed where its start failed), which keeps them linear.
@@ -45,6 +56,9 @@ _DIGIT = re.compile(r"[0-9]")
 
 _GROUP = re.compile(r"[0-9](?:[\x20().-]{0,2}[0-9])++")
 _SPACE = "\x20\t\n\x0b\x0c\r"
+_TELLING = re.compile(r"[0-9@]|[.:,](?=[A-Za-z0-9:])")
+_RUN = re.compile(r"[^\x20\x09-\x0D]+")
+_CLOSING = ".,;:!?"
 
 
 def _luhn(digits: str) -> bool:
@@ -143,12 +157,16 @@ def _shape(s: str) -> str:
     return re.sub(r"[0-9]+", lambda m: "9" if len(m[0]) <= 3 else f"9{{{len(m[0])}}}", s)[:2 * EDGE]
 
 
+def _slot(further: str, left: str, right: str) -> str:
+    return f"LLR {further} {left} {right}"
+
+
 def _mention(t: str, s: int, e: int, kind: int) -> dict:
     left, at = _word_before(t, s)
     further, _ = _word_before(t, at)
     right, shape = _word_after(t, e), _shape(t[s:e])
     return {"kind": kind, "start": s, "end": e, "ident": xxhash.xxh64_intdigest(t[s:e].lower().encode()) - (1 << 63),
-            "patterns": [f"LL {further} {left}", f"LS {left} {shape}", f"RS {right} {shape}", f"LR {left} {right}"]}
+            "patterns": [f"LL {further} {left}", f"LS {left} {shape}", f"RS {right} {shape}", f"LR {left} {right}", _slot(further, left, right)]}
 
 
 _MENTIONS = "array<struct<kind:int,start:int,end:int,ident:bigint,patterns:array<string>>>"
@@ -173,6 +191,119 @@ def mentions(text: Column) -> Column:
     return column_function(_make_mentions, _MENTIONS)(text)
 
 
+def _words_left(t: str, at: int, most: int) -> list[int]:
+    """Starts of up to ``most`` words before ``at``, the nearest first, that
+    reach back no more than LONG characters."""
+    out, floor = [], max(0, at - LONG)
+    while len(out) < most:
+        while at > floor and t[at - 1] in _SPACE:
+            at -= 1
+        end = at
+        while at > floor and t[at - 1] not in _SPACE:
+            at -= 1
+        if at == end or at == floor > 0:
+            break
+        out.append(at)
+    return out
+
+
+def _proposals(t: str, taken: list[tuple[int, int]], open_slot) -> list[dict]:
+    """Groups of up to WIDE words and LONG characters around a telling word,
+    in slots that ``open_slot`` lets through, that touch nothing in ``taken``
+    (sorted, disjoint)."""
+    out, seen, done = [], set(), 0
+    hit = _TELLING.search(t)
+    while hit:
+        first, start = hit.start(), done
+        while first > start and t[first - 1] not in _SPACE:
+            first -= 1
+        done = _RUN.match(t, hit.start()).end()
+        if done - first <= LONG and not _touches(taken, first, done):
+            ends = [done]
+            for _ in range(WIDE - 1):
+                if (more := _RUN.search(t, ends[-1])) is None:
+                    break
+                ends.append(more.end())
+            for back, s in enumerate([first, *_words_left(t, first, WIDE - 1)]):
+                left, at = _word_before(t, s)
+                further, _ = _word_before(t, at)
+                for e in ends[:WIDE - back]:
+                    while e > s and t[e - 1] in _CLOSING:
+                        e -= 1
+                    if not s < e <= s + LONG or (s, e) in seen or _touches(taken, s, e):
+                        continue
+                    slot = _slot(further, left, _word_after(t, e))
+                    if open_slot(slot):
+                        seen.add((s, e))
+                        out.append({"slot": slot, "start": s, "end": e, "ident": xxhash.xxh64_intdigest(t[s:e].lower().encode()) - (1 << 63)})
+        hit = _TELLING.search(t, done)
+    return out
+
+
+def _touches(spans: list[tuple[int, int]], s: int, e: int) -> bool:
+    """Whether (s, e) overlaps one of the sorted, disjoint ``spans``."""
+    k = bisect_left(spans, (e, 0))
+    return k > 0 and spans[k - 1][1] > s
+
+
+def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+_PROPOSALS = "array<struct<slot:string,start:int,end:int,ident:bigint>>"
+
+
+def _proposing(bits: bytes):
+    """A column function: the proposals of a text through a filter of slots
+    (a bit per hash value; some wrong slots pass, no right one is held)."""
+    def make():
+        kind = pa.list_(pa.struct([("slot", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("ident", pa.int64())]))
+
+        def open_slot(slot: str) -> bool:
+            at = xxhash.xxh64_intdigest(slot.encode(), seed=42) & ((1 << SLOT_BITS) - 1)
+            return bool(bits[at >> 3] >> (at & 7) & 1)
+
+        def apply(batch: pa.Array) -> pa.Array:
+            out = []
+            for t in batch:
+                t = t.as_py() or ""
+                base = base_spans(t) if _TELLING.search(t) else []
+                out.append(_proposals(t, _union([(s, e) for s, _, e in base] + _candidates(t, base)), open_slot))
+            return pa.array(out, kind)
+        return apply
+    return column_function(make, _PROPOSALS)
+
+
+def _slot_filter(slots: DataFrame) -> bytes:
+    """2^SLOT_BITS bits, one set per slot's hash; at most 2^(SLOT_BITS - 6)
+    rows reach the driver, whatever the number of slots."""
+    at = slots.select(F.xxhash64("pattern").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).alias("at"))
+    words = at.select(F.shiftright("at", 6).alias("w"), F.expr("shiftleft(1L, cast(at % 64 AS int))").alias("b"))
+    bits = np.zeros(1 << (SLOT_BITS - 6), dtype="<i8")
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        bits[r.w] = r.b
+    return bits.tobytes()
+
+
+def _proposed(docs: DataFrame, sure: DataFrame) -> DataFrame | None:
+    """(doc_id, h, start, end, score, as_kind): what stands in the confident
+    slots of ``sure`` beside seeds and candidates; None without such slots."""
+    slots = materialize(sure.where(F.col("pattern").startswith("LLR ")), "pii-slots")
+    bits = _slot_filter(slots)
+    if not any(bits):
+        return None
+    found = docs.select("doc_id", F.xxhash64(whole_text()).alias("h"), F.explode(_proposing(bits)(whole_text())).alias("m")).select("doc_id", "h", "m.*")
+    found = materialize(found.join(slots.withColumnRenamed("pattern", "slot"), "slot"), "pii-proposals")
+    few = found.select("slot", "ident", "n_seeds").distinct().groupBy("slot", "n_seeds").agg(F.count(F.lit(1)).alias("n")).where("n <= n_seeds").select("slot")
+    return found.join(few, "slot").select("doc_id", "h", "start", "end", "score", "as_kind")
+
+
 def score_patterns(found: DataFrame, tolerance: float = 1e-4, support: int = 5) -> DataFrame:
     """(pattern, n_seeds, s0..s3): the score of each pattern for each kind.
 
@@ -230,15 +361,18 @@ def score_patterns(found: DataFrame, tolerance: float = 1e-4, support: int = 5)
     return state.select("pattern", "n_seeds", *[f"s{k}" for k in range(4)])
 
 
-def _discovered(rows: DataFrame, confidence: float, tolerance: float, support: int) -> DataFrame:
+def _discovered(docs: DataFrame, rows: DataFrame, confidence: float, tolerance: float, support: int) -> DataFrame:
     """(doc_id, h, added): the spans that confident patterns add to a text."""
     flat = rows.select("doc_id", "h", F.explode("found").alias("m")).select("doc_id", "h", "m.*").distinct()
     scores = score_patterns(flat, tolerance, support)
     best = F.greatest(*[F.col(f"s{k}") for k in range(4)])
     kind = F.coalesce(*[F.when(F.col(f"s{k}") == best, k) for k in range(4)])
     sure = scores.where(best >= confidence - tolerance)  # scores are exact to the tolerance
-    sure = sure.select("pattern", best.alias("score"), kind.alias("as_kind"))
+    sure = materialize(sure.select("pattern", "n_seeds", best.alias("score"), kind.alias("as_kind")), "pii-sure")
     hits = flat.where("kind < 0").select("doc_id", "h", "start", "end", F.explode(F.array_distinct("patterns")).alias("pattern")).join(sure, "pattern")
+    hits = hits.select("doc_id", "h", "start", "end", "score", "as_kind")
+    if (more := _proposed(docs, sure)) is not None:
+        hits = hits.unionByName(more)
     chosen = hits.groupBy("doc_id", "h", "start", "end").agg(F.max(F.struct("score", (-F.col("as_kind")).alias("k"))).alias("b"))
     return chosen.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("b.k")).cast("int").alias("kind"), "end"))).alias("added"))
 
@@ -247,7 +381,7 @@ def extract(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, s
     """(doc_id, base, added) per row of ``docs``: arrays of (start, kind,
     end), kind an index in KINDS."""
     rows = materialize(docs.select("doc_id", F.xxhash64(whole_text()).alias("h"), mentions(whole_text()).alias("found")), "pii-mentions")
-    added = materialize(_discovered(rows, confidence, tolerance, support), "pii-added").withColumnRenamed("doc_id", "id").withColumnRenamed("h", "hh")
+    added = materialize(_discovered(docs, rows, confidence, tolerance, support), "pii-added").withColumnRenamed("doc_id", "id").withColumnRenamed("h", "hh")
     base = F.transform(F.filter("found", lambda m: m["kind"] >= 0), lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     joined = rows.join(added, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hh")), "left")
     return joined.select("doc_id", base.alias("base"), F.coalesce("added", F.array().cast(_SPANS)).alias("added"))
@@ -301,7 +435,7 @@ def redact(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, su
     and ``n_chars``, where there is one, counted anew for changed texts. A
     null text stays null."""
     rows = materialize(docs.select("doc_id", F.xxhash64(whole_text()).alias("h"), mentions(whole_text()).alias("found")), "pii-mentions")
-    added = materialize(_discovered(rows, confidence, tolerance, support), "pii-added")
+    added = materialize(_discovered(docs, rows, confidence, tolerance, support), "pii-added")
     h = F.xxhash64(whole_text())
     extra = added.select(F.col("doc_id").alias("__pii_id"), F.col("h").alias("__pii_h"), F.col("added").alias("__pii_added"))
     joined = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__pii_id")) & (h == F.col("__pii_h")), "left")

@@ -107,5 +107,54 @@ def test_as_many_unseen_as_seeds(spark, as_docs):
     assert all(r.text == "some words here call [PHONE] today and more" for r in pii.redact(as_docs(rows)).collect())
 
 
+def test_confident_slots_propose_what_stands_in_them(spark, as_docs):
+    """Identifiers of other shapes in a context of many seeds; the same groups
+    in other contexts, and plain words in the context, stay."""
+    rows = [(k, f"then write mail at name{k}@host{k % 7}.org please and wait") for k in range(40)]
+    rows += [(100 + k, f"our server sits at 10.0.{k}.{k + 1}, behind a wall") for k in range(40)]
+    other = {200: ("then write mail at alice (at) example.com please and wait", "email", "alice (at) example.com"),
+             201: ("our server sits at 2001:db8::ff00:42, behind a wall", "ip", "2001:db8::ff00:42"), 202: ("our server sits at 10,0,0,1, behind a wall", "ip", "10,0,0,1"),
+             203: ("then write mail at once please and wait", None, None), 204: ("we met alice (at) example.com at 10,0,0,1 on 2001:db8::ff00:42 there", None, None)}
+    docs = as_docs(rows + [(k, t) for k, (t, _, _) in other.items()] + [(200, other[200][0])])
+    got = {r.doc_id: r for r in pii.digest(docs).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    for k, (text, kind, ident) in other.items():
+        if kind is None:
+            assert got[k].spans == "" and clean[k] == text
+        else:
+            at = text.index(ident)
+            assert got[k].spans == f"{kind}:{at}:{at + len(ident)}" and got[k].n_added == 1 and got[k].n_email == got[k].n_ip == 0
+            assert clean[k] == text.replace(ident, f"[{kind.upper()}]")
+    assert all(got[k].n_added == 0 for k in range(40)) and pii.digest(docs).count() == len(rows) + len(other) + 1
+
+
+def test_a_slot_of_mostly_other_things_proposes_nothing(as_docs):
+    rows = [(k, f"we will meet you at 10.0.{k}.{k + 1} today or later") for k in range(12)]
+    rows += [(100 + k, f"we will meet you at {k}:30 today or later") for k in range(24)]
+    assert all(r.n_added == 0 for r in pii.digest(as_docs(rows)).collect())
+
+
+def test_proposals_against_all_groups():
+    """Every group of up to four words with a telling word in an open slot."""
+    rng = random.Random(8)
+    for _ in range(300):
+        words = [rng.choice(["a", "b1", "x.y", "c,", "at", "(at)", "::1", "mail", "z@"]) for _ in range(rng.randint(0, 12))]
+        text = rng.choice([" ", "  ", "\n"]).join(words)
+        spots = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        want = set()
+        for i in range(len(spots)):
+            for j in range(i, min(i + 4, len(spots))):
+                if any(pii._TELLING.search(text[s:e]) for s, e in spots[i:j + 1]):
+                    s, e = spots[i][0], spots[j][0] + len(text[slice(*spots[j])].rstrip(pii._CLOSING))
+                    want |= {(s, e)} if e > s else set()
+        assert {(x["start"], x["end"]) for x in pii._proposals(text, [], lambda slot: True)} == want, text
+        assert pii._proposals(text, [], lambda slot: False) == []
+
+
+def test_proposals_of_long_texts_stay_linear():
+    for text in ("a" * 300_000, "1" * 300_000, "1 " * 30_000, "a.b" * 100_000, "1" + " " * 300_000 + "1", ("a" * 100_000 + " 1 ") * 3):
+        pii._proposals(text, [(k, k + 1) for k in range(0, 1000, 3)], lambda slot: False)
+
+
 def test_overlaps_are_cut_once():
     assert pii._cut("x 1.2.3.4 y", [(2, 1, 9), (4, 2, 9)]) == "x [IP] y"
