@@ -397,7 +397,8 @@ def digest(docs: DataFrame, confidence: float = 0.9, tolerance: float = 1e-4, su
     """Per document: counts of base spans by kind, the SHA-256 of the base
     spans, all spans, and the number of added ones."""
     found = extract(docs, confidence, tolerance, support)
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    kinds = F.transform("base", lambda s: s["kind"])  # filter's second lambda parameter would be the place, not a kind
+    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     every = F.sort_array(F.concat("base", "added"))
     return found.select("doc_id", *count, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
                         span_text(every).alias("spans"), F.size("added").cast("bigint").alias("n_added"))

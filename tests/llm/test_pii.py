@@ -49,6 +49,13 @@ def test_documents(docs, none, texts):
     assert pii.digest(none).collect() == [] and pii.redact(none).count() == 0
 
 
+def test_counts_of_every_kind(as_docs):
+    texts = ["mail a.b@x.org and 10.0.0.1 now", "10.0.0.1 10.0.0.2 c@d.org", "+1 (437) 555-0199 then 4111111111111111 then e@f.org and g@h.org", "1.2.3.4", "", None]
+    for r in pii.digest(as_docs(list(enumerate(texts)))).collect():
+        kinds = [k for _, k, _ in plain(texts[r.doc_id] or "")]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in range(4)], r
+
+
 def test_contexts_find_unseen_identifiers(spark, as_docs):
     rng = random.Random(4)
     rows = [(k, f"some words here call +1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)} today and é more") for k in range(30)]
