@@ -254,3 +254,17 @@ def test_forecast_files(spark, tmp_path):
     _, summary, forecasts = an.forecast_pollutants(s, 2008, str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out" / "forecasts"))
     assert back.count() == forecasts.count() == 3 and summary.count() == 1
+
+
+def test_series_fitted_together_equal_each_alone():
+    rng = np.random.default_rng(8)
+    ys = [np.round(rng.normal(20, 5, n), 6) for n in rng.integers(0, 40, fc.TOGETHER + 20)] + [np.array([1.0, np.nan, 2.0, 3.0]), np.full(7, 4.0)]
+    assert fc.fit_many(ys) == [fc.fit_arima111(y) for y in ys]
+    assert fc.fit_many([]) == []
+
+
+def test_a_batch_of_series_is_searched_at_once(monkeypatch):
+    calls, plain = [], fc._deviances
+    monkeypatch.setattr(fc, "_deviances", lambda ds, *pairs: calls.append(len(ds)) or plain(ds, *pairs))
+    fc.fit_many([np.arange(9.0) ** 2] * fc.TOGETHER)
+    assert len(calls) == fc.REFINEMENTS + 2 and set(calls) == {fc.TOGETHER}  # not as many for each series
