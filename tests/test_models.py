@@ -268,3 +268,15 @@ def test_a_batch_of_series_is_searched_at_once(monkeypatch):
     monkeypatch.setattr(fc, "_deviances", lambda ds, *pairs: calls.append(len(ds)) or plain(ds, *pairs))
     fc.fit_many([np.arange(9.0) ** 2] * fc.TOGETHER)
     assert len(calls) == fc.REFINEMENTS + 2 and set(calls) == {fc.TOGETHER}  # not as many for each series
+
+
+def test_silhouette_points_are_spread_and_sums_kept_in_one_table(spark, monkeypatch):
+    monkeypatch.setattr(cl, "BLOCK", 60)
+    kept, plain = {}, cl.materialize
+    monkeypatch.setattr(cl, "materialize", lambda df, name: kept.setdefault(name, plain(df, name)))
+    df = spark.range(500, numPartitions=1).select("id", F.array(F.col("id").cast("double") % 37, F.col("id").cast("double") % 11).alias("x"), (F.col("id") % 3).alias("label"))
+    out = cl.euclidean_silhouettes(df, "x", ["label"])
+    assert kept["silhouette-points"].select(F.input_file_name()).distinct().count() >= 8 and "silhouette-sums" not in kept
+    rows = sorted(out.select("id", "silhouette_label").collect())
+    x = np.array([[i % 37, i % 11] for i in range(500)], dtype=float)
+    assert len(rows) == 500 and np.allclose([r[1] for r in rows], brute_silhouette(x, np.arange(500) % 3))
