@@ -160,3 +160,13 @@ def test_station_order_holds_for_large_keys(spark):
     raw = spark.sql(dl.RAW_AIR_QUALITY_SQL.replace("ORDINAL(", "struct("), **tables)
     assert [r.pm10_tempcov is not None or r.l for r in raw.orderBy("_ord").select("pm10_tempcov", F.lit(True).alias("l")).collect()] == [True] * 3
     assert raw.select("_ord").distinct().count() == 3
+
+
+def test_collapse_is_one_shuffle_without_a_join(spark):
+    rows = [(1, "a", 1.5, None, "x"), (2, "a", None, None, None), (3, None, 2.0, 4.0, None), (4, None, 3.0, None, "y"), (5, "b", None, None, None)]
+    df = spark.createDataFrame(rows, "_ord long, k string, m double, n double, t string")
+    out = dedupe.collapse_duplicates(df, ["k"], ["m", "n"], ["t"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    got = {r.k: (r.m, r.n, r.t, r._ord) for r in out.collect()}
+    assert got == {"a": (1.5, None, "x", 1), None: (2.5, 4.0, "y", 3), "b": (None, None, "", 5)}
