@@ -62,6 +62,10 @@ _UPPER = range(65, 91)
 _FOLD = bytes(b + 32 if b in _UPPER else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+#: What terms consist of.
+_TERM_CHARACTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+
 def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
@@ -74,6 +78,14 @@ def term_count(text: Column) -> Column:
     return column_function(make, "bigint")(text)
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """doc_id, text and n of the rows that hold a term. Which rows do is asked
+    in the JVM: a condition on n would be moved below it and count every text
+    again, in a second Python worker beside the first."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.where(F.col("text").rlike(_TERM_CHARACTER)).withColumn("n", term_count(F.col("text")))
+
+
 class _Open:
     """A segment that documents of stratum m are added to: a code per term,
     and codes and frequencies per document."""
@@ -140,8 +152,7 @@ class Index:
 
 def build_index(docs: DataFrame, segment: int = SEGMENT) -> Index:
     """The index of all texts of ``docs`` (doc_id, text), written."""
-    texts = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("n", term_count(F.col("text"))).where("n > 0")
+    texts = counted(docs)
     n_docs, n_terms = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.expr(f"10 + (90 * n * {n_docs}L) div {max(1, n_terms)}L").alias("m")
     # By length, and by row within it: a length that many documents have is divided.

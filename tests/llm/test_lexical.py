@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airshed.llm import lexical
 
@@ -47,6 +48,15 @@ def test_against_brute_force(spark, as_docs, texts, monkeypatch, segment, block,
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, queries, 5)
 
 
+def test_terms_are_counted_once_a_pass(as_docs, texts, capsys):
+    odd = texts + [(500 + j, t) for j, t in enumerate(["a", "-", "--a--b--", "\x00é\x7f日", "😀 x😀y", "9:A@Z[a`z{", " a", "\n\n-", "\n\na"])]
+    found = lexical.counted(as_docs(odd))
+    want = [(i, t, len(lexical.terms_of(t.encode()))) for i, t in odd if t is not None]
+    assert Counter(map(tuple, found.collect())) == Counter(r for r in want if r[2])
+    found.agg(F.sum("n")).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_index_holds_every_posting(as_docs, texts):
     index = lexical.build_index(as_docs(texts).repartition(3), segment=7)
     have = Counter()
