@@ -162,6 +162,36 @@ def test_pipeline_from_csv_folders(spark, tmp_path):
     assert store.read("plain").columns == ["x", "updated_at"] and store.version("plain") == 2
 
 
+def test_stagings_are_computed_side_by_side_and_loaded_in_order(spark, tmp_path, monkeypatch):
+    """All three are under way at once; an error of d2 leaves d1 loaded and nothing of d3 written."""
+    from threading import Barrier
+
+    from airshed.plans import pipeline as pl
+    from airshed.session import path_exists
+    from airshed.sources.tables import TableStore
+    met = Barrier(3, timeout=60)
+
+    def stage(df):
+        met.wait()
+        return df
+
+    def fails(df):
+        met.wait()
+        raise ValueError("d2")
+    monkeypatch.setattr(pl, "load_warehouse", lambda spark, store: {})
+    inputs = {d: spark.createDataFrame([(1, d)], "k int, v string") for d in ("d1", "d2", "d3")}
+    monkeypatch.setattr(pl, "STAGE", {d: (stage, ["k"]) for d in inputs})
+    store = TableStore(spark, str(tmp_path / "a"))
+    status = pl.run_pipeline(spark, inputs, store)
+    assert [status[f"staging_{d}"] for d in inputs] == ["loaded"] * 3 and [store.read(f"staging_{d}").first()["v"] for d in inputs] == list(inputs)
+    monkeypatch.setattr(pl, "STAGE", {d: (fails if d == "d2" else stage, ["k"]) for d in inputs})
+    store = TableStore(spark, str(tmp_path / "b"))
+    with pytest.raises(ValueError, match="d2"):
+        pl.run_pipeline(spark, inputs, store)
+    assert store.exists("staging_d1") and not store.exists("staging_d2") and not store.exists("staging_d3")
+    assert not path_exists(spark, f"{store.root}/staging_csv/staging_d3")
+
+
 def test_two_writers_cannot_publish_one_number(spark, tmp_path, monkeypatch):
     from airshed.sources.tables import TableStore
     a, b = (TableStore(spark, str(tmp_path / "wh")) for _ in range(2))
