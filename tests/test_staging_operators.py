@@ -170,3 +170,15 @@ def test_collapse_is_one_shuffle_without_a_join(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     got = {r.k: (r.m, r.n, r.t, r._ord) for r in out.collect()}
     assert got == {"a": (1.5, None, "x", 1), None: (2.5, 4.0, "y", 3), "b": (None, None, "", 5)}
+
+
+def test_sieve_leaves_few_rows_a_key_and_the_same_first_rows(spark):
+    data = [(k, None if (k == "n" and i == 7) else (i * 37) % 101 + 1, i % 3, f"v{i}") for k in ("a", "b", None, "n") for i in range(60)]
+    plain = spark.createDataFrame(data + data[:5], "k string, _ord long, t int, v string")  # rows that come twice
+    nested = plain.withColumn("_ord", F.struct("_ord", "t"))
+    for df in (plain, nested, plain.repartition(3)):
+        sieved = dedupe.sieve_first(df, ["k"])
+        assert sieved.columns == df.columns and sieved.count() <= 8 < df.count()
+        assert rows(dedupe.dedupe_keep_first(sieved, ["k"]), "k", "v") == rows(dedupe.dedupe_keep_first_window(df, ["k"]), "k", "v")
+    text = plain.withColumn("_ord", F.col("_ord").cast("string"))
+    assert dedupe.sieve_first(text, ["k"]).count() == text.count()
