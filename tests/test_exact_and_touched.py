@@ -114,3 +114,18 @@ def test_group_transform_splits_a_hot_group(spark):
         assert (r["lo"], r["hi"], r["n"]) == (min(vs), max(vs), len(vs)) and r["m"] == pytest.approx(sum(vs) / len(vs), abs=1e-12)
     salted = impute.group_transform(df.where("g = 'hot'"), ["g"], outs)
     assert "__salt" in salted._jdf.queryExecution().toString()
+
+
+def test_limbs_hold_a_double_exactly_and_take_no_remainder(spark):
+    rng = random.Random(2)
+    values = [0.0, -0.5, 1 / 3, -2.0 ** 53 - 2, 2.0 ** 60 - 256, 1e-300] + [rng.choice([1, -1]) * rng.random() * 2.0 ** rng.randint(-24, 59) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values + [2.0 ** 60, math.inf, math.nan, None]], "x double")
+    parts = fx.limbs("x")
+    assert not any("%" in str(p) for p in parts)  # a remainder of doubles took most of the time of d2's means
+    for r in df.select("x", F.array(*parts).alias("p")).collect():
+        if r.x is None or not abs(r.x) < 2.0 ** 60:
+            assert r.p == [None] * 5
+        else:
+            total = sum(Fraction(n) * Fraction(2) ** k for n, k in zip(r.p, (26, 0, -26, -52, -78)))
+            unit = Fraction(1, 2 ** 78)
+            assert total == int(Fraction(r.x) / unit) * unit and all(abs(n) < 2 ** 34 + 1 for n in r.p)
