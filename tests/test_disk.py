@@ -5,8 +5,12 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from airshed.operators import impute
+from airshed.operators import changes, impute
+from airshed.plans import catalog_star as cs
+from airshed.plans import star as sk
 from airshed.session import SHUFFLES_GO, materialize
+from airshed.sources import driver_landing as dl
+from airshed.sources.driver import run_sql
 
 
 def shuffle_bytes(spark):
@@ -47,3 +51,41 @@ def test_cells_by_a_key_add_no_exchange(spark, monkeypatch):
     df = odd_rows(spark)
     assert sorted(impute.impute_many(df, [(["a", "b"], [["city", "year"], ["city"]])], by=["city"]).collect()) == sorted(impute.impute_many(df, [(["a", "b"], [["city", "year"], ["city"]])]).collect())
     assert plans[0].count("Exchange hashpartitioning") == 1
+
+
+def twice(spark, tmp_path):
+    """Tables with repeated keys and nulls."""
+    day = "TIMESTAMP '1997-03-01 00:00:00'"
+    lines = [f"({o}, {p}, {s}, {k}, CAST({q} AS DOUBLE), {x}D, 0.05D, CAST({t} AS DOUBLE), 'A', 'O', {day})" for o, p, s, k, q, x, t in
+             [(1, 1, 1, 1, 3.0, 9.0, 0.02), (1, 2, 1, 2, "NULL", 9.0, "NULL"), (2, 1, 1, 1, 5.0, 9.0, 0.04), (2, 1, 1, 1, 5.0, 9.0, 0.04), ("NULL", 1, 1, 1, 7.0, 9.0, 0.01), (3, "NULL", 1, 3, 2.0, 9.0, 0.03), (3, 3, 1, 4, 2.0, 9.0, 0.03)]]
+    tables = {
+        "lineitem": f"SELECT * FROM VALUES {', '.join(lines)} AS t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)",
+        "orders": f"SELECT * FROM VALUES (1, 1, {day}), (2, 1, {day}), (2, 1, {day}), (3, 2, CAST(NULL AS TIMESTAMP)), (NULL, 1, {day}) AS t(o_orderkey, o_custkey, o_orderdate)",
+        "customer": "SELECT * FROM VALUES (1, 'One', 4), (1, 'One', 4), (1, 'Uno', 5), (2, 'Two', NULL) AS t(c_custkey, c_name, c_nationkey)",
+        "part": "SELECT * FROM VALUES (1, 'STANDARD'), (2, 'PROMO'), (3, NULL), (3, 'LARGE') AS t(p_partkey, p_type)"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_emissions_are_landed_with_the_rows_of_their_sql(spark, tmp_path):
+    d = twice(spark, tmp_path)
+    want, got = run_sql(spark, d, dl.RAW_EMISSIONS_SQL), dl.raw_emissions(spark, d)
+    assert want.schema == got.schema and want.count() == 3
+    assert sorted(map(str, want.collect())) == sorted(map(str, got.collect()))
+
+
+def test_a_staged_source_keeps_no_raw_input(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(dl, "land", lambda df, name: made.append(materialize(df, name)) or made[-1])
+    monkeypatch.setitem(cs._RAW, "d3", lambda spark, sf, snapshot: spark.range(5).toDF("k"))
+    monkeypatch.setitem(cs._STAGE, "d3", lambda raw: raw.groupBy((F.col("k") % 2).alias("k")).count())
+    (tmp_path / "x").mkdir()
+    assert cs.staged(spark, str(tmp_path), "d3").count() == 2
+    assert len(made) == 1 and not os.path.exists(made[0]._written.removeprefix("file:"))
+
+
+def test_a_first_batch_meets_no_empty_table(spark):
+    batch = spark.createDataFrame([(1, 2, 3, 0.5, "h")], sk.STAR_SCHEMAS["fact_source_apportionment"][0])
+    plan = changes.upsert_changed_only(sk.empty_table(spark, "fact_source_apportionment"), batch, ["time_id", "location_id", "source_id"], on_duplicate="defer")
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString() and plan.collect() == batch.collect()
