@@ -1,6 +1,7 @@
 """Models beside their SQL oracles: clustering and ARIMA, FIXTURES.md §3 / SURVEY §5 kind 4."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -280,3 +281,29 @@ def test_silhouette_points_are_spread_and_sums_kept_in_one_table(spark, monkeypa
     rows = sorted(out.select("id", "silhouette_label").collect())
     x = np.array([[i % 37, i % 11] for i in range(500)], dtype=float)
     assert len(rows) == 500 and np.allclose([r[1] for r in rows], brute_silhouette(x, np.arange(500) % 3))
+
+
+def pair_sums(x, y, labels, sizes):
+    batch = pa.RecordBatch.from_arrays([pa.array(list(y)), *[pa.array(np.asarray(v)) for v in labels]], ["x", *[f"l{g}" for g in range(len(labels))]])
+    return np.array(list(cl._tile_sums(x, np.arange(len(x)), sizes)(iter([batch])))[0].column("sums").to_pylist())
+
+
+def test_pair_sums_of_close_far_and_endless_points():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 5))
+    x[:40] = x[40:80] + 1e-9 * rng.normal(size=(40, 5))  # nearly equal
+    x[80:90] = x[90:100]  # equal
+    labels, sizes = [rng.integers(0, 3, 300), rng.integers(0, 4, 300)], [3, 4]
+    for points in (x, x + 1e6, x * 1e100, np.where(np.arange(300)[:, None] == 7, 1e153, x)):
+        d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+        want = np.concatenate([np.stack([d[:, v == c].sum(1) for c in range(k)], axis=1) for v, k in zip(labels, sizes)], axis=1)
+        assert np.allclose(pair_sums(points, points, labels, sizes), want, rtol=1e-11, atol=0)
+    assert not np.isfinite(pair_sums(x, np.where(np.arange(300)[:, None] == 7, np.inf, x), labels, sizes)).any()
+
+
+def test_pairs_are_products_and_sums_of_stretches(monkeypatch):
+    calls = []
+    monkeypatch.setattr(cl, "_differences", lambda *a: calls.append(a))
+    x = np.random.default_rng(3).normal(size=(400, 64))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.allclose(pair_sums(x, x, [np.zeros(400, int)], [1])[:, 0], d.sum(1)) and not calls
