@@ -307,3 +307,26 @@ def test_pairs_are_products_and_sums_of_stretches(monkeypatch):
     x = np.random.default_rng(3).normal(size=(400, 64))
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     assert np.allclose(pair_sums(x, x, [np.zeros(400, int)], [1])[:, 0], d.sum(1)) and not calls
+
+
+def test_ward_is_exact_beyond_the_clusters_of_the_driver(spark, monkeypatch, n=500, seed=2):
+    monkeypatch.setattr(cl, "BLOCK", 200)
+    monkeypatch.setattr(cl, "TILE", 16)
+    monkeypatch.setattr(cl, "STRIP", 16)
+    x = np.random.default_rng(seed).gamma(2.0, 1.0, (n, 2))
+    x[:20] = x[20:40]  # equal rows
+    x[-1] = 60.0  # an outlier that merges last
+    best = cl.ward_merge(x, np.ones(n), 4)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id int, x array<double>")
+    for most in (5000, 40):
+        got = {r.id: r.cluster for r in cl.ward_clusters(df, "x", 4, max_micro=most).collect()}
+        assert len(got) == n and same_partition([got[i] for i in range(n)], best)
+
+
+def test_ward_of_a_grid_and_of_few_points(spark):
+    grid = spark.range(144).select((F.col("id") % 12).cast("double").alias("a"), F.floor(F.col("id") / 12).cast("double").alias("b")).withColumn("x", cl.features_array(["a", "b"], "x"))
+    runs = [sorted(cl.ward_clusters(grid.repartition(n), "x", 3, max_micro=most).select("a", "b", "cluster").collect()) for n, most in ((1, 1024), (3, 30))]
+    assert runs[0] == runs[1] and {r.cluster for r in runs[0]} == {0, 1, 2}
+    assert {r.cluster for r in cl.ward_clusters(grid.limit(2), "x", 3).collect()} == {0, 1}
+    assert [r.cluster for r in cl.ward_clusters(grid.limit(1), "x", 3).collect()] == [0]
+    assert cl.ward_clusters(grid.where("false"), "x", 3).count() == 0
